@@ -49,13 +49,9 @@ def classify_engagement(total: Column, *, high: int = 20, medium: int = 5, low:
     )
 
 
-def words(text: Column) -> Column:
-    """The blank-separated words of cleaned text; no words for empty text."""
-    return F.filter(F.split(text, " "), lambda word: word != "")
-
-
 def word_count(text: Column) -> Column:
-    return F.size(words(text))
+    """Number of words of cleaned text, which has single blanks between words and none at the ends."""
+    return F.when(text == "", F.lit(0)).otherwise(F.size(F.split(text, " ")))
 
 
 def known_or(value: Column, default: str) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from loomstat.constants import SOCIAL_FIELDS
 from loomstat.graph.model import PropertyGraph
 from loomstat.graph.overlap import shared_pairs, top_shared_pairs
+from loomstat.graph.paths import bfs_paths
 from loomstat.session import durable
 
 
@@ -125,3 +126,15 @@ def landmarks(g: PropertyGraph, *, k: int = 1, field: str | None = None) -> Data
     papers = g.vertices if field is None else g.vertices.filter(F.col("primary_field") == field)
     columns = ["id", "name", "primary_field"]
     return cited.join(papers.select(*columns), "id").orderBy(F.desc("in_degree"), "id").limit(k)
+
+
+def six_degrees(g: PropertyGraph, source_field: str, target: DataFrame, *, max_sources: int | None = 30,
+                max_length: int = 6) -> DataFrame:
+    """Shortest paths from papers of a field to the target within ``max_length`` hops.
+
+    ``max_sources`` samples the papers with the smallest ids; None takes all of them.
+    """
+    sources = g.vertices.filter((F.col("node_type") == "paper") & (F.col("primary_field") == source_field)).select("id")
+    if max_sources is not None:
+        sources = sources.orderBy("id").limit(max_sources)
+    return bfs_paths(g, sources, target, max_length=max_length)

@@ -157,6 +157,7 @@ ALL_VIEWS = {**SHARED_VIEWS, **DUCKDB_VIEWS}
 
 
 def _needed(sql: str, found: list[str]) -> None:
+    sql = re.sub(r"'[^']*'", "''", sql)
     for name, text in ALL_VIEWS.items():
         if name not in found and re.search(rf"\b{name}\b", sql):
             _needed(text, found)

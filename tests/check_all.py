@@ -17,7 +17,7 @@ FAMILIES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string":
 
 
 def main(sf_dir: str, names: list[str]) -> int:
-    spark = build_session("check", master="local[8]", shuffle_partitions=8, conf={"spark.driver.memory": "8g"})
+    spark = build_session("check", master="local[8]", shuffle_partitions=8, conf={"spark.driver.memory": "8g", "spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     connection = connect(sf_dir)
     oracles, bad = oracle_sql(), 0
