@@ -195,3 +195,40 @@ def build_edges(tables: PaperTables) -> DataFrame:
 
 def build_graph(tables: PaperTables) -> PropertyGraph:
     return PropertyGraph(build_vertices(tables), build_edges(tables))
+
+
+def quality_report(nested: DataFrame) -> DataFrame:
+    """One row on completeness: papers, missing attributes, average list lengths.
+
+    Records that continue a long paper are counted with it: sizes are summed per id first.
+    """
+    sizes = flatten_venue(nested).select(
+        "id",
+        "title",
+        name_key(F.col("venue_raw"), UNKNOWN_VENUE).alias("venue_key"),
+        F.size("authors").alias("authors"),
+        F.size("references").alias("references"),
+        F.size("fos").alias("fos"),
+    )
+    papers = sizes.groupBy("id").agg(
+        F.max("title").alias("title"),
+        F.max("venue_key").alias("venue_key"),
+        *[F.sum(name).alias(name) for name in ("authors", "references", "fos")],
+    )
+
+    def missing(name: str):
+        return F.count(F.when(F.col(name).isNull(), 1))
+
+    def average(name: str):
+        return F.round(F.avg(F.coalesce(F.col(name), F.lit(0))), 2)
+
+    return papers.agg(
+        F.count(F.lit(1)).alias("total_papers"),
+        missing("title").alias("null_title"),
+        missing("authors").alias("null_authors"),
+        F.count(F.when(F.col("venue_key") == UNKNOWN_VENUE, 1)).alias("unknown_venue"),
+        F.count(F.when(F.coalesce("fos", F.lit(0)) == 0, 1)).alias("null_field"),
+        missing("references").alias("null_references"),
+        average("references").alias("avg_refs"),
+        average("authors").alias("avg_authors"),
+    )

@@ -1 +1,246 @@
-"""Pending."""
+"""Queries that prepare text features, train and compare classifiers, and score rows."""
+
+from __future__ import annotations
+
+from pyspark import StorageLevel
+from pyspark.ml import Pipeline
+from pyspark.ml import feature as FT
+from pyspark.sql import functions as F
+
+from loomstat.constants import SENTIMENTS
+from loomstat.functions.nested import label_map
+from loomstat.operators import models as L
+from loomstat.operators import rows as R
+from loomstat.operators.metrics import classification_metrics
+from loomstat.operators.scoring import score_batch
+from loomstat.plans.registry import query
+from loomstat.plans.views import sql_list
+from loomstat.session import durable, new_path
+from loomstat.sources import tables as S
+
+# Spark ML's English stop words, used by the comparison SQL.
+ENGLISH_STOP_WORDS = """
+i me my myself we our ours ourselves you your yours yourself yourselves he him his himself she her hers herself it its
+itself they them their theirs themselves what which who whom this that these those am is are was were be been being
+have has had having do does did doing a an the and but if or because as until while of at by for with about against
+between into through during before after above below to from up down in out on off over under again further then once
+here there when where why how all any both each few more most other some such no nor not only own same so than too very
+s t can will just don should now i'll you'll he'll she'll we'll they'll i'd you'd he'd she'd we'd they'd i'm you're
+he's she's it's we're they're i've we've you've they've isn't aren't wasn't weren't haven't hasn't hadn't don't doesn't
+didn't won't wouldn't shan't shouldn't mustn't can't couldn't cannot could here's how's let's ought that's there's
+what's when's where's who's why's would
+""".split()
+
+TERMS = f"""
+tok AS (SELECT CommentID, unnest(string_split(clean_text, ' ')) AS term, generate_subscripts(string_split(clean_text, ' '), 1) AS pos FROM comments),
+kept AS (SELECT CommentID, term, row_number() OVER (PARTITION BY CommentID ORDER BY pos) AS pos FROM tok
+  WHERE term NOT IN ({sql_list(ENGLISH_STOP_WORDS)}))"""
+
+
+def tokens(t, stages: int):
+    """Comments after the first token stages of the feature pipeline; these stages need no fitting."""
+    staged = Pipeline(stages=L.TextFeatures().token_stages()[:stages])
+    comments = t.comments.select("CommentID", "clean_text", "Sentiment")
+    return staged.fit(comments).transform(comments)
+
+
+@query("tokenize", "SELECT CommentID, array_to_string(string_split(clean_text, ' '), '|') AS tokens FROM comments")
+def tokenize(t):
+    return tokens(t, 1).select("CommentID", F.array_join("tokens", "|").alias("tokens"))
+
+
+@query("remove_stop_words", f"""
+WITH {TERMS} SELECT c.CommentID, coalesce(string_agg(k.term, '|' ORDER BY k.pos), '') AS terms FROM comments c
+LEFT JOIN kept k ON c.CommentID = k.CommentID GROUP BY c.CommentID""")
+def remove_stop_words(t):
+    return tokens(t, 2).select("CommentID", F.array_join("terms", "|").alias("terms"))
+
+
+@query("ngrams", f"""
+WITH {TERMS}, pairs AS (SELECT CommentID, pos, term || ' ' || lead(term) OVER (PARTITION BY CommentID ORDER BY pos) AS gram FROM kept)
+SELECT c.CommentID, coalesce(string_agg(p.gram, '|' ORDER BY p.pos), '') AS ngrams FROM comments c
+LEFT JOIN pairs p ON c.CommentID = p.CommentID AND p.gram IS NOT NULL GROUP BY c.CommentID""")
+def ngrams(t):
+    return tokens(t, 3).select("CommentID", F.array_join("ngrams", "|").alias("ngrams"))
+
+
+def entries(vector: str):
+    """The stored entries of a sparse vector column, as an array of (indices, values)."""
+    raw = F.unwrap_udt(F.col(vector))
+    return F.arrays_zip(raw["indices"].alias("indices"), raw["values"].alias("values"))
+
+
+@query("hashing_tf")
+def hashing_tf(t):
+    counted = FT.HashingTF(numFeatures=10_000, inputCol="terms", outputCol="tf").transform(tokens(t, 2))
+    values = F.unwrap_udt(F.col("tf"))["values"]
+    total = F.aggregate(values, F.lit(0.0), lambda sum_, value: sum_ + value)
+    return counted.select("CommentID", F.size(values).alias("buckets_used"), total.alias("n_terms"))
+
+
+VOCABULARY = """
+df AS (SELECT term, count(DISTINCT CommentID) AS doc_freq, count(*) AS n FROM kept GROUP BY term HAVING count(DISTINCT CommentID) >= 3)"""
+
+
+@query("count_vectorize", f"""
+WITH {TERMS}, {VOCABULARY}
+SELECT n, count(*) AS n_terms FROM (SELECT term, n FROM df ORDER BY n DESC LIMIT 10000) x GROUP BY n""")
+def count_vectorize(t):
+    """Term counts in the vocabulary; equal counts may be cut in any order, so counts are compared, not terms."""
+    terms = tokens(t, 2).select("terms")
+    model = FT.CountVectorizer(vocabSize=10_000, minDF=3, inputCol="terms", outputCol="tf").fit(terms)
+    counted = model.transform(terms).select(F.inline(entries("tf")))
+    totals = counted.groupBy("indices").agg(F.sum("values").cast("bigint").alias("n"))
+    return totals.groupBy("n").agg(F.count(F.lit(1)).alias("n_terms"))
+
+
+@query("idf_weight", f"""
+WITH {TERMS}, {VOCABULARY}
+SELECT round(ln((docs + 1.0) / (doc_freq + 1.0)), 6) AS idf, count(*) AS n_terms FROM df
+CROSS JOIN (SELECT count(*) AS docs FROM comments) c GROUP BY 1""")
+def idf_weight(t):
+    terms = tokens(t, 2).select("terms")
+    counted = FT.CountVectorizer(vocabSize=1 << 18, minDF=3, inputCol="terms", outputCol="tf").fit(terms).transform(terms)
+    weighted = FT.IDF(inputCol="tf", outputCol="tfidf").fit(counted).transform(counted)
+    both = F.arrays_zip(
+        F.unwrap_udt(F.col("tf"))["indices"].alias("term"),
+        F.unwrap_udt(F.col("tf"))["values"].alias("n"),
+        F.unwrap_udt(F.col("tfidf"))["values"].alias("weight"),
+    )
+    weights = weighted.select(F.inline(both)).groupBy("term").agg(F.max(F.col("weight") / F.col("n")).alias("idf"))
+    return weights.groupBy(F.round("idf", 6).alias("idf")).agg(F.count(F.lit(1)).alias("n_terms"))
+
+
+@query("index_labels", """
+SELECT CommentID, CAST(i.idx AS DOUBLE) AS label FROM comments c JOIN (
+  SELECT Sentiment, row_number() OVER (ORDER BY count(*) DESC, Sentiment) - 1 AS idx FROM comments GROUP BY Sentiment) i
+ON c.Sentiment = i.Sentiment""")
+def index_labels(t):
+    comments = t.comments.select("CommentID", "Sentiment")
+    return L.TextFeatures(invalid_labels="skip").label_stage().fit(comments).transform(comments).select("CommentID", "label")
+
+
+def splits(t):
+    """Prepared comments cut into disjoint train and test rows by a per-row hash, read twice from one table."""
+    comments = durable(t.comments.select("CommentID", "clean_text", "Sentiment"), "model-input")
+    position = R.seeded_hash(F.col("CommentID"))
+    cut = int(0.8 * (1 << 60))
+    return comments.filter(position < cut), comments.filter(position >= cut)
+
+
+def trained(t, classifier):
+    """Test rows with the class the freshly trained model predicts."""
+    train_rows, test_rows = splits(t)
+    model = L.train(train_rows, classifier)
+    return model.transform(test_rows).select("CommentID", "label", "prediction")
+
+
+@query("train_logreg")
+def train_logreg(t):
+    return trained(t, L.logistic_regression())
+
+
+@query("train_svm_ovr")
+def train_svm_ovr(t):
+    return trained(t, L.linear_svm())
+
+
+@query("train_naive_bayes")
+def train_naive_bayes(t):
+    return trained(t, L.naive_bayes())
+
+
+@query("train_decision_tree")
+def train_decision_tree(t):
+    return trained(t, L.decision_tree())
+
+
+@query("train_random_forest")
+def train_random_forest(t):
+    return trained(t, L.random_forest())
+
+
+@query("compare_models")
+def compare_models(t):
+    metrics, models = L.compare_models(*splits(t))
+    name, model = L.best_model(metrics, models)
+    L.save_model(model, new_path(t.spark, "best-model"))
+    return metrics.withColumn("best", F.col("model") == name)
+
+
+@query("model_save_load")
+def model_save_load(t):
+    """Rows whose prediction differs between a model and its saved copy, per class: always 0."""
+    train_rows, test_rows = splits(t)
+    model = L.train(train_rows, L.naive_bayes())
+    path = new_path(t.spark, "model")
+    L.save_model(model, path)
+    before = model.transform(test_rows).select("CommentID", "Sentiment", "prediction")
+    after = L.load_model(path).transform(test_rows).select("CommentID", F.col("prediction").alias("reloaded"))
+    return before.join(after, "CommentID").groupBy("Sentiment").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("prediction") != F.col("reloaded")).alias("changed")
+    )
+
+
+def metric_rows(t):
+    """Metrics of two cheap models, under their names."""
+    cheap = {"Naive Bayes": L.naive_bayes, "Decision Tree": L.decision_tree}
+    return L.compare_models(*splits(t), classifiers=cheap)[0]
+
+
+@query("sink_metrics_table")
+def sink_metrics_table(t):
+    return S.write_metrics(metric_rows(t), new_path(t.spark, "metrics"))
+
+
+@query("append_metric_rows")
+def append_metric_rows(t):
+    stored = S.write_metrics(metric_rows(t), new_path(t.spark, "metrics"))
+    fixed = classification_metrics(t.view("predictions")).select(F.lit("Fixed predictions").alias("model"), "*")
+    return S.append_metric_rows(stored, fixed)
+
+
+@query("score_model_stages")
+def score_model_stages(t):
+    train_rows, _ = splits(t)
+    model = L.train(train_rows, L.logistic_regression())
+    scored = L.score_rows(model, t.view("messages"), model_name="logreg")
+    return scored.select("comment_id", "predicted_sentiment", "prediction_index", "model_name")
+
+
+@query("score_batch_udf", """
+WITH dims AS (SELECT vec_id, label, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS i FROM embeddings),
+means AS (SELECT label, i, avg(x) AS m FROM dims GROUP BY label, i),
+far AS (SELECT d.vec_id, m.label, sum((d.x - m.m) * (d.x - m.m)) AS dist FROM dims d JOIN means m ON d.i = m.i GROUP BY d.vec_id, m.label)
+SELECT vec_id, arg_min(label, round(dist, 9)) AS prediction FROM far GROUP BY vec_id""")
+def score_batch_udf(t):
+    return score_batch(t.table("embeddings").select("vec_id", "embedding", "label")).select("vec_id", "prediction")
+
+
+@query("train_neural")
+def train_neural(t):
+    """A small network on hashed text, trained on the train split and scored on the others."""
+    ids = F.array_position(F.array(*[F.lit(s) for s in SENTIMENTS]), F.col("Sentiment")).cast("int") - 1
+    rows = t.comments.select("CommentID", "clean_text", ids.alias("label_id"))
+    data = durable(R.stratified_split(rows, "label_id", "CommentID"), "neural-splits")
+    steps = [
+        FT.Tokenizer(inputCol="clean_text", outputCol="tokens"),
+        FT.HashingTF(numFeatures=256, inputCol="tokens", outputCol="tf"),
+        FT.IDF(inputCol="tf", outputCol="features"),
+    ]
+    features = Pipeline(stages=steps).fit(data.filter("split = 'train'"))
+    vectors = features.transform(data).select("CommentID", "split", F.col("label_id").cast("double").alias("label"), "features")
+    vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
+    model = L.neural_network([256, 32, 3], max_iter=40).fit(vectors.filter("split = 'train'"))
+    scored = durable(
+        model.transform(vectors.filter("split <> 'train'")).select("CommentID", "split", "label", "prediction"), "neural"
+    )
+    vectors.unpersist()
+    return scored
+
+
+@query("map_lookup", """
+SELECT doc_id, CASE CAST(prediction AS INT) WHEN 0 THEN 'Negative' WHEN 1 THEN 'Neutral' END AS predicted FROM predictions""")
+def map_lookup(t):
+    names = label_map({0: "Negative", 1: "Neutral"})  # 2 is left out on purpose: absent keys give null
+    return t.view("predictions").select("doc_id", names[F.col("prediction").cast("int")].alias("predicted"))

@@ -1 +1,180 @@
-"""Pending."""
+"""Queries on message envelopes, incremental ingest, the keyed table and the scoring stream."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from loomstat.constants import SENTIMENTS
+from loomstat.functions.nested import label_map
+from loomstat.functions.text import clean_text
+from loomstat.operators import models as L
+from loomstat.plans.model_queries import splits
+from loomstat.plans.registry import query
+from loomstat.session import durable, new_path
+from loomstat.sources import ingest as I
+from loomstat.sources import messages as E
+from loomstat.streaming.keyed import KeyedTable
+from loomstat.streaming.scoring import SCORED_SCHEMA, start_scoring
+
+FETCHED = "2026-06-03T00:00:00Z"
+
+
+def envelopes(t):
+    fetched = F.to_timestamp(F.lit(FETCHED))
+    return E.encode_messages(t.view("messages"), fetched_at=fetched)
+
+
+def stored_envelopes(t, files: int = 4) -> str:
+    """A folder of envelope files, enough of them for several micro-batches."""
+    path = new_path(t.spark, "envelopes")
+    envelopes(t).repartition(files).write.parquet(path)
+    return path
+
+
+def rule_score(messages):
+    """A scorer without a model, so that SQL can restate it: the class follows from the length of the clean text."""
+    index = (F.length(clean_text(F.col("text"))) % 3).cast("int")
+    return messages.select(
+        "*",
+        label_map(dict(enumerate(SENTIMENTS)))[index].alias("predicted_sentiment"),
+        index.alias("prediction_index"),
+        F.lit("rule").alias("model_name"),
+        E.parse_rfc3339(F.col("published_at")).alias("scored_at"),
+    )
+
+
+def scored_table(t) -> KeyedTable:
+    return KeyedTable(t.spark, new_path(t.spark, "scored"), SCORED_SCHEMA)
+
+
+RULE = r"""
+clean_messages AS (SELECT *, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower(coalesce(text, '')),
+  'https?://\S+|www\.\S+', ' ', 'g'), '@[\p{L}\p{N}_]+', ' ', 'g'), '[^\p{L}\p{N}_\s]', ' ', 'g'), '\s+', ' ', 'g')) AS words FROM messages),
+scored AS (SELECT comment_id, video_id, published_at, length(words) % 3 AS prediction_index, CASE length(words) % 3
+  WHEN 0 THEN 'Negative' WHEN 1 THEN 'Neutral' ELSE 'Positive' END AS predicted_sentiment FROM clean_messages)"""
+
+
+@query("encode_messages", """
+SELECT comment_id AS key, CAST(json_object('comment_id', comment_id, 'video_id', video_id, 'text', coalesce(text, ''),
+  'author', coalesce(author, 'unknown'), 'published_at', published_at, 'fetched_at', fetched_at, 'source', source) AS VARCHAR) AS value
+FROM messages""")
+def encode_messages(t):
+    return envelopes(t).select(F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"))
+
+
+@query("stream_parse_envelope", """
+SELECT comment_id AS comment_key, comment_id, video_id, text, author, published_at, fetched_at, source FROM messages""")
+def stream_parse_envelope(t):
+    return E.parse_envelope(envelopes(t), keep_key=True)
+
+
+@query("stream_source", "SELECT comment_id AS key, video_id FROM messages")
+def stream_source(t):
+    """Envelopes copied from a file stream to a table, one file per micro-batch."""
+    target = new_path(t.spark, "copied")
+    stream = E.file_stream(t.spark, stored_envelopes(t), files_per_batch=1)
+    writer = stream.writeStream.format("parquet").option("checkpointLocation", new_path(t.spark, "offsets"))
+    writer.trigger(availableNow=True).start(target).awaitTermination()
+    copied = E.parse_envelope(t.spark.read.schema(E.ENVELOPE_SCHEMA).parquet(target), keep_key=True)
+    return copied.select(F.col("comment_key").alias("key"), "video_id")
+
+
+MARK = "2026-06-02T12:00:00Z"
+OLD_SOURCES = "'v0', 'v2', 'v4', 'v6'"
+
+
+@query("incremental_ingest", f"""
+WITH fresh AS (SELECT * FROM messages WHERE video_id NOT IN ({OLD_SOURCES}) OR published_at > '{MARK}'),
+sources AS (SELECT DISTINCT video_id FROM messages UNION ALL SELECT 'v-empty')
+SELECT s.video_id, count(f.comment_id) AS n_taken,
+  coalesce(max(f.published_at), CASE WHEN s.video_id IN ({OLD_SOURCES}) THEN '{MARK}' ELSE '{FETCHED}' END) AS last_fetched_time
+FROM sources s LEFT JOIN fresh f ON s.video_id = f.video_id GROUP BY s.video_id""")
+def incremental_ingest(t):
+    """Marks and rows taken per source, from a state that knows four of the sources and one source without rows."""
+    messages = t.view("messages")
+    sources = messages.select("video_id").distinct()
+    state = sources.filter(f"video_id IN ({OLD_SOURCES})").select(
+        "video_id", F.lit(MARK).alias("last_fetched_time"), F.lit(True).alias("first_run_completed"),
+        F.lit(MARK).alias("updated_at"),
+    )
+    tracked = sources.union(t.spark.sql("SELECT 'v-empty'"))
+    batch = durable(I.new_rows(messages, state), "ingest")
+    after = I.next_state(batch, state, tracked, now=F.to_timestamp(F.lit(FETCHED)))
+    taken = batch.groupBy("video_id").agg(F.count(F.lit(1)).alias("n_taken"))
+    return after.join(taken, "video_id", "left").fillna(0, ["n_taken"]).select("video_id", "n_taken", "last_fetched_time")
+
+
+@query("sink_upsert_keyed", """
+SELECT comment_id, video_id, CASE WHEN video_id IN ('v0', 'v1', 'v2') THEN 'edited' ELSE author END AS author,
+  (SELECT count(*) FROM messages WHERE video_id IN ('v0', 'v1', 'v2')) AS matched,
+  (SELECT count(*) FROM messages WHERE video_id IN ('v0', 'v1', 'v2')) AS modified, 0 AS upserted FROM messages""")
+def sink_upsert_keyed(t):
+    """All messages, then a second batch that edits some; the second is written twice, as after a failure."""
+    table = scored_table(t)
+    scored = rule_score(t.view("messages"))
+    table.upsert(scored.unionAll(scored), run="000001-a", batch_id=0)
+    edited = scored.filter("video_id IN ('v0', 'v1', 'v2')").withColumn("author", F.lit("edited"))
+    for _ in range(2):
+        table.upsert(edited, run="000001-a", batch_id=1)
+    counters = table.counters(run="000001-a", batch_id=1)
+    return table.read().select("comment_id", "video_id", "author").crossJoin(F.broadcast(counters))
+
+
+@query("scored_inspect", f"""
+WITH {RULE} SELECT comment_id, video_id, predicted_sentiment, published_at AS scored_at FROM scored
+ORDER BY published_at DESC, comment_id LIMIT 200""")
+def scored_inspect(t):
+    newest = rule_score(t.view("messages")).orderBy(F.desc("scored_at"), "comment_id").limit(200)
+    return newest.select(
+        "comment_id", "video_id", "predicted_sentiment", F.col("published_at").alias("scored_at")
+    )
+
+
+@query("prediction_distribution", f"""
+WITH {RULE} SELECT predicted_sentiment, count(*) AS n, CAST(sum(count(*)) OVER () AS BIGINT) AS total FROM scored
+GROUP BY predicted_sentiment""")
+def prediction_distribution(t):
+    counts = rule_score(t.view("messages")).groupBy("predicted_sentiment").agg(F.count(F.lit(1)).alias("n"))
+    return counts.crossJoin(F.broadcast(counts.agg(F.sum("n").alias("total"))))
+
+
+RESULT = "comment_id", "video_id", "predicted_sentiment", "prediction_index"
+
+
+@query("stream_foreach_batch", f"WITH {RULE} SELECT comment_id, video_id, predicted_sentiment, prediction_index FROM scored")
+def stream_foreach_batch(t):
+    table = scored_table(t)
+    stream = E.file_stream(t.spark, stored_envelopes(t), files_per_batch=1)
+    start_scoring(stream, rule_score, table, new_path(t.spark, "offsets"), available_now=True).awaitTermination()
+    return table.read().select(*RESULT)
+
+
+@query("stream_restart", f"WITH {RULE} SELECT comment_id, video_id, predicted_sentiment, prediction_index FROM scored")
+def stream_restart(t):
+    """Half of the input, a stop, the rest after a restart from the checkpoint, then everything replayed."""
+    table, checkpoint, folder = scored_table(t), new_path(t.spark, "offsets"), new_path(t.spark, "envelopes")
+    early = durable(envelopes(t), "envelopes").withColumn("early", F.xxhash64("key") > 0)
+    for part in ("early", "NOT early"):
+        early.filter(part).select("key", "value").write.mode("append").parquet(folder)
+        stream = E.file_stream(t.spark, folder, files_per_batch=1)
+        start_scoring(stream, rule_score, table, checkpoint, available_now=True).awaitTermination()
+    again = E.file_stream(t.spark, folder)
+    start_scoring(again, rule_score, table, new_path(t.spark, "offsets"), available_now=True).awaitTermination()
+    return table.read().select(*RESULT)
+
+
+@query("stream_score_upsert")
+def stream_score_upsert(t):
+    """A trained model on the stream, the input played twice; next to it the same model on the rows as one batch."""
+    model = L.train(splits(t)[0], L.naive_bayes())
+    table, folder = scored_table(t), stored_envelopes(t)
+
+    def score(rows):
+        return L.score_rows(model, rows, model_name="naive bayes")
+
+    for _ in range(2):
+        stream = E.file_stream(t.spark, folder, files_per_batch=2)
+        start_scoring(stream, score, table, new_path(t.spark, "offsets"), available_now=True).awaitTermination()
+    expected = score(t.view("messages")).select("comment_id", F.col("predicted_sentiment").alias("expected"))
+    stored = table.read().select(*RESULT).join(expected, "comment_id")
+    return stored.withColumn("agrees", F.col("predicted_sentiment") == F.col("expected")).drop("expected")
