@@ -32,6 +32,25 @@ def clean_text_strict(text: Column) -> Column:
     return _scrub(F.lower(text), SYMBOL_STRICT)
 
 
+def _keeps(text: Column, first: str, cleaned: Column) -> Column:
+    """True where ``cleaned`` is not empty, decided from the first character where that is enough.
+
+    A word character at the very start survives cleaning unless a link begins there, so most rows need no cleaning
+    to be kept.
+    """
+    return text.rlike(rf"(?i)^\s*(?!https?://|www\.){first}") | (cleaned != "")
+
+
+def has_words(text: Column) -> Column:
+    """Whether :func:`clean_text` leaves anything."""
+    return F.coalesce(_keeps(text, r"[\p{L}\p{N}_]", clean_text(text)), F.lit(False))
+
+
+def has_words_strict(text: Column) -> Column:
+    """Whether :func:`clean_text_strict` leaves anything."""
+    return F.coalesce(_keeps(text, r"[\p{L}\p{N}]", clean_text_strict(text)), F.lit(False))
+
+
 def safe_integer(value: Column) -> Column:
     """The value as an int, 0 where it is null, unreadable or out of range."""
     return F.coalesce(value.try_cast("int"), F.lit(0))

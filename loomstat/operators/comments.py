@@ -15,7 +15,8 @@ def prepare_comments(raw: DataFrame, *, keep_empty: bool = False) -> DataFrame:
 
     Unknown columns pass through. Rows without a word after cleaning are dropped unless ``keep_empty``.
     """
-    cleaned = raw.withColumns(
+    kept = raw if keep_empty else raw.filter(T.has_words(F.col("CommentText")))
+    cleaned = kept.withColumns(
         {
             "Likes": T.safe_integer(F.col("Likes")),
             "Replies": T.safe_integer(F.col("Replies")),
@@ -23,8 +24,6 @@ def prepare_comments(raw: DataFrame, *, keep_empty: bool = False) -> DataFrame:
             "clean_text": T.clean_text(F.col("CommentText")),
         }
     )
-    if not keep_empty:
-        cleaned = cleaned.filter(F.col("clean_text") != "")
     total = F.col("Likes") + F.col("Replies")
     return cleaned.withColumns(
         {
@@ -38,7 +37,8 @@ def prepare_comments(raw: DataFrame, *, keep_empty: bool = False) -> DataFrame:
 
 def clean_text_column(df: DataFrame, input_col: str = "text", output_col: str = "clean_text") -> DataFrame:
     """``df`` with a cleaned copy of a text column; rows left without text are dropped."""
-    return df.withColumn(output_col, T.clean_text_strict(F.col(input_col))).filter(F.length(output_col) > 0)
+    kept = df.filter(T.has_words_strict(F.col(input_col)))
+    return kept.withColumn(output_col, T.clean_text_strict(F.col(input_col)))
 
 
 def group_counts(df: DataFrame, *keys: str) -> DataFrame:

@@ -11,7 +11,7 @@ from loomstat.operators import metrics as M
 from loomstat.operators import rows as R
 from loomstat.plans.registry import query
 from loomstat.plans.views import CLEAN, CLEAN_STRICT
-from loomstat.session import new_path
+from loomstat.session import durable, new_path
 from loomstat.sources import tables as S
 
 MODEL_COLUMNS = (
@@ -41,18 +41,26 @@ def sink_parquet_partitioned(t):
     return S.write_partitioned(t.comments.select("CommentID", "engagement_level"), path, "engagement_level")
 
 
-@query("derive_clean_schema", """
-SELECT * FROM (VALUES
-  ('CommentID', 'string', 0), ('VideoID', 'string', 1), ('CommentText', 'string', 2), ('Likes', 'int', 3),
-  ('Replies', 'int', 4), ('CountryCode', 'string', 5), ('Sentiment', 'string', 6), ('clean_text', 'string', 7),
-  ('comment_word_count', 'int', 8), ('comment_char_count', 'int', 9), ('engagement_total', 'int', 10),
-  ('engagement_level', 'string', 11)) x(column_name, type_name, position)""")
+CLEAN_TYPES = {
+    "CommentID": "string", "VideoID": "string", "CommentText": "string", "Likes": "int", "Replies": "int",
+    "CountryCode": "string", "Sentiment": "string", "clean_text": "string", "comment_word_count": "int",
+    "comment_char_count": "int", "engagement_total": "int", "engagement_level": "string",
+}
+
+
+@query("derive_clean_schema", " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, '{kind}' AS type_name, count({c}) AS n_values FROM comments"
+    for c, kind in CLEAN_TYPES.items()))
 def derive_clean_schema(t):
+    """The schema derived from the raw one, which the cleaned table must have, with the values per column."""
     derived = S.clean_comment_schema(t.raw_comments.schema)
-    produced = t.comments.schema
-    assert [(f.name, f.dataType) for f in derived] == [(f.name, f.dataType) for f in produced]
-    rows = [(f.name, f.dataType.simpleString(), i) for i, f in enumerate(derived)]
-    return t.spark.createDataFrame(rows, "column_name string, type_name string, position int")
+    if [(f.name, f.dataType) for f in derived] != [(f.name, f.dataType) for f in t.comments.schema]:
+        raise AssertionError("the cleaned table does not have the derived schema")
+    filled = t.comments.agg(*[F.count(f.name).alias(f.name) for f in derived])
+    types = F.create_map(*[F.lit(x) for f in derived for x in (f.name, f.dataType.simpleString())])
+    return filled.unpivot([], derived.names, "column_name", "n_values").select(
+        "column_name", types[F.col("column_name")].alias("type_name"), "n_values"
+    )
 
 
 @query("table_profile", """
@@ -109,10 +117,11 @@ def sample_fraction(t):
     return R.hash_sample(t.comments, "CommentID", 0.40).select("CommentID", "Sentiment")
 
 
-@query("train_test_split")
+@query("train_test_split", "SELECT CommentID, Sentiment, CAST(1 AS BIGINT) AS copies FROM comments")
 def train_test_split(t):
-    train, test = R.train_test_split(t.comments.select("CommentID", "Sentiment"), 0.8)
-    return train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
+    """Both parts together hold every row once."""
+    train, test = R.train_test_split(durable(t.comments.select("CommentID", "Sentiment"), "split"), 0.8)
+    return train.unionByName(test).groupBy("CommentID", "Sentiment").agg(F.count(F.lit(1)).alias("copies"))
 
 
 @query("stratified_split", """
@@ -224,7 +233,7 @@ def missing_values_by_column(t):
 SELECT (SELECT count(*) FROM raw_comments) AS before, (SELECT count(*) FROM comments) AS after,
   (SELECT count(*) FROM raw_comments) - (SELECT count(*) FROM comments) AS removed""")
 def kept_removed_counts(t):
-    return C.kept_removed_counts(t.raw_comments, T.clean_text(F.col("CommentText")) != "")
+    return C.kept_removed_counts(t.raw_comments, T.has_words(F.col("CommentText")))
 
 
 @query("word_count_top20", """
@@ -234,7 +243,7 @@ def word_count_top20(t):
 
 
 @query("top_words_per_class", """
-SELECT Sentiment, word, n, position FROM (
+SELECT Sentiment, word, n, CAST(position AS INT) AS position FROM (
   SELECT Sentiment, word, count(*) AS n, row_number() OVER (PARTITION BY Sentiment ORDER BY count(*) DESC, word) AS position
   FROM comment_words GROUP BY Sentiment, word) x WHERE position <= 10""")
 def top_words_per_class(t):
@@ -252,14 +261,14 @@ def share_within_group(t):
 @query("rank_within_group", """
 SELECT engagement_level, Sentiment, count(*) AS n,
   round(count(*) * 100.0 / sum(count(*)) OVER (PARTITION BY engagement_level), 1) AS pct_within,
-  rank() OVER (PARTITION BY engagement_level ORDER BY count(*) DESC) AS rank_within
+  CAST(rank() OVER (PARTITION BY engagement_level ORDER BY count(*) DESC) AS INT) AS rank_within
 FROM comments GROUP BY engagement_level, Sentiment""")
 def rank_within_group(t):
     return C.rank_within(t.comments, "engagement_level", "Sentiment").orderBy("engagement_level", "rank_within")
 
 
 @query("top3_per_group", """
-SELECT Sentiment, CommentText, Likes, Replies, position FROM (
+SELECT Sentiment, CommentText, Likes, Replies, CAST(position AS INT) AS position FROM (
   SELECT Sentiment, CommentText, Likes, Replies, row_number() OVER (PARTITION BY Sentiment ORDER BY Likes DESC, CommentID) AS position
   FROM comments WHERE Likes > 0) x WHERE position <= 3""")
 def top3_per_group(t):

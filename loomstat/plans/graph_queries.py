@@ -223,7 +223,7 @@ def node_type_summary(t):
 
 
 @query("top5_per_node_type", f"""
-WITH {DEGREES} SELECT node_type, id, degree, position FROM (
+WITH {DEGREES} SELECT node_type, id, degree, CAST(position AS INT) AS position FROM (
   SELECT *, row_number() OVER (PARTITION BY node_type ORDER BY degree DESC, id) AS position FROM deg) x WHERE position <= 5""")
 def top5_per_node_type(t):
     ranked = top_per_group(t.graph.degrees(), "node_type", F.desc("degree"), F.col("id"), k=5)

@@ -13,12 +13,14 @@ from loomstat.graph.model import PropertyGraph
 from loomstat.operators.comments import prepare_comments
 from loomstat.plans.views import FIXTURE_FIELDS, FIXTURE_MAX_YEAR, FIXTURE_MIN_YEAR, SHARED_VIEWS
 from loomstat.session import new_path
-from loomstat.sources.tables import write_partitioned
+from loomstat.sources.tables import balanced, write_partitioned
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
     "conversations"
 ).split()
+# Tables whose rows take long to process each, next to the time to read them.
+TEXT_TABLES = ("documents", "conversations")
 # Entries per list of one nested record; longer papers continue in further records with the same id.
 MAX_LIST = 1000
 
@@ -41,7 +43,8 @@ class Inputs:
         text = SHARED_VIEWS[name]
         for table in TABLES:
             if f" {table} " in text.replace("\n", " ") + " ":
-                self.table(table).createOrReplaceTempView(table)
+                rows = self.table(table)
+                (balanced(rows) if table in TEXT_TABLES else rows).createOrReplaceTempView(table)
         return self.spark.sql(text)
 
     @cached_property

@@ -70,12 +70,14 @@ def entries(vector: str):
     return F.arrays_zip(raw["indices"].alias("indices"), raw["values"].alias("values"))
 
 
-@query("hashing_tf")
+@query("hashing_tf", f"""
+WITH {TERMS} SELECT c.CommentID, CAST(count(k.term) AS DOUBLE) AS n_terms FROM comments c
+LEFT JOIN kept k ON c.CommentID = k.CommentID GROUP BY c.CommentID""")
 def hashing_tf(t):
     counted = FT.HashingTF(numFeatures=10_000, inputCol="terms", outputCol="tf").transform(tokens(t, 2))
     values = F.unwrap_udt(F.col("tf"))["values"]
     total = F.aggregate(values, F.lit(0.0), lambda sum_, value: sum_ + value)
-    return counted.select("CommentID", F.size(values).alias("buckets_used"), total.alias("n_terms"))
+    return counted.select("CommentID", total.alias("n_terms"))
 
 
 VOCABULARY = """
@@ -168,7 +170,10 @@ def compare_models(t):
     return metrics.withColumn("best", F.col("model") == name)
 
 
-@query("model_save_load")
+@query("model_save_load", """
+SELECT Sentiment, count(*) AS n, CAST(0 AS BIGINT) AS changed FROM comments
+WHERE CAST('0x' || substr(md5('42:' || CommentID), 1, 15) AS BIGINT) >= CAST(floor(0.8 * 1152921504606846976) AS BIGINT)
+GROUP BY Sentiment""")
 def model_save_load(t):
     """Rows whose prediction differs between a model and its saved copy, per class: always 0."""
     train_rows, test_rows = splits(t)

@@ -22,7 +22,7 @@ def stored_lines(t):
 
 
 @query("scan_json_lines", """
-SELECT p.id, p.title, p.year, p.n_citation, p.venue_raw, p.venue_type, coalesce(a.n, 0) AS n_authors, coalesce(r.n, 0) AS n_refs
+SELECT p.id, p.title, p.year, p.n_citation, p.venue_raw, p.venue_type, CAST(coalesce(a.n, 0) AS INT) AS n_authors, CAST(coalesce(r.n, 0) AS INT) AS n_refs
 FROM p_paper p LEFT JOIN (SELECT paper_id, count(*) AS n FROM p_author GROUP BY paper_id) a ON p.id = a.paper_id
 LEFT JOIN (SELECT paper_id, count(*) AS n FROM p_ref GROUP BY paper_id) r ON p.id = r.paper_id
 UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, 0, 0""")

@@ -50,7 +50,7 @@ def scored_table(t) -> KeyedTable:
 RULE = r"""
 clean_messages AS (SELECT *, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower(coalesce(text, '')),
   'https?://\S+|www\.\S+', ' ', 'g'), '@[\p{L}\p{N}_]+', ' ', 'g'), '[^\p{L}\p{N}_\s]', ' ', 'g'), '\s+', ' ', 'g')) AS words FROM messages),
-scored AS (SELECT comment_id, video_id, published_at, length(words) % 3 AS prediction_index, CASE length(words) % 3
+scored AS (SELECT comment_id, video_id, published_at, CAST(length(words) % 3 AS INT) AS prediction_index, CASE length(words) % 3
   WHEN 0 THEN 'Negative' WHEN 1 THEN 'Neutral' ELSE 'Positive' END AS predicted_sentiment FROM clean_messages)"""
 
 
@@ -107,7 +107,7 @@ def incremental_ingest(t):
 @query("sink_upsert_keyed", """
 SELECT comment_id, video_id, CASE WHEN video_id IN ('v0', 'v1', 'v2') THEN 'edited' ELSE author END AS author,
   (SELECT count(*) FROM messages WHERE video_id IN ('v0', 'v1', 'v2')) AS matched,
-  (SELECT count(*) FROM messages WHERE video_id IN ('v0', 'v1', 'v2')) AS modified, 0 AS upserted FROM messages""")
+  (SELECT count(*) FROM messages WHERE video_id IN ('v0', 'v1', 'v2')) AS modified, CAST(0 AS BIGINT) AS upserted FROM messages""")
 def sink_upsert_keyed(t):
     """All messages, then a second batch that edits some; the second is written twice, as after a failure."""
     table = scored_table(t)
@@ -163,7 +163,7 @@ def stream_restart(t):
     return table.read().select(*RESULT)
 
 
-@query("stream_score_upsert")
+@query("stream_score_upsert", "SELECT comment_id, video_id, true AS agrees FROM messages")
 def stream_score_upsert(t):
     """A trained model on the stream, the input played twice; next to it the same model on the rows as one batch."""
     model = L.train(splits(t)[0], L.naive_bayes())
@@ -177,4 +177,4 @@ def stream_score_upsert(t):
         start_scoring(stream, score, table, new_path(t.spark, "offsets"), available_now=True).awaitTermination()
     expected = score(t.view("messages")).select("comment_id", F.col("predicted_sentiment").alias("expected"))
     stored = table.read().select(*RESULT).join(expected, "comment_id")
-    return stored.withColumn("agrees", F.col("predicted_sentiment") == F.col("expected")).drop("expected")
+    return stored.select("comment_id", "video_id", (F.col("predicted_sentiment") == F.col("expected")).alias("agrees"))

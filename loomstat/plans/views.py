@@ -61,7 +61,7 @@ SELECT concat(conv_id, ':', turn) AS comment_id, concat('v', conv_id % 10) AS vi
   '2026-06-03T00:00:00Z' AS fetched_at, 'fixture' AS source
 FROM conversations""",
     "predictions": """
-SELECT doc_id, CASE WHEN toxic = 1 THEN 0.0 WHEN quality = 0 THEN 1.0 ELSE 2.0 END AS label,
+SELECT doc_id, CAST(CASE WHEN toxic = 1 THEN 0 WHEN quality = 0 THEN 1 ELSE 2 END AS DOUBLE) AS label,
   CAST((CASE WHEN toxic = 1 THEN 0 WHEN quality = 0 THEN 1 ELSE 2 END
         + CASE WHEN doc_id % 5 = 0 THEN 1 ELSE 0 END) % 3 AS DOUBLE) AS prediction
 FROM labels""",
@@ -89,8 +89,8 @@ SELECT * FROM (
     coalesce(TRY_CAST(Likes AS INT), 0) AS Likes, coalesce(TRY_CAST(Replies AS INT), 0) AS Replies,
     CASE WHEN CountryCode IS NULL OR trim(CountryCode) = '' THEN 'Unknown'
          ELSE substr(upper(trim(CountryCode)), 1, 2) END AS CountryCode,
-    clean_text, CASE WHEN clean_text = '' THEN 0 ELSE len(string_split(clean_text, ' ')) END AS comment_word_count,
-    length(clean_text) AS comment_char_count,
+    clean_text, CAST(len(string_split(clean_text, ' ')) AS INT) AS comment_word_count,
+    CAST(length(clean_text) AS INT) AS comment_char_count,
     coalesce(TRY_CAST(Likes AS INT), 0) + coalesce(TRY_CAST(Replies AS INT), 0) AS engagement_total
   FROM (SELECT *, {CLEAN} AS clean_text FROM raw_comments) a) b
 WHERE clean_text <> ''""",

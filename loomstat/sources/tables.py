@@ -20,6 +20,15 @@ def scan_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def balanced(df: DataFrame) -> DataFrame:
+    """``df`` over all cores if its files split into fewer tasks than there are cores, untouched otherwise.
+
+    Only an input too small to occupy the cores is moved, so what is moved stays below one split per core.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def scan_json_lines(spark: SparkSession, path: str, schema: str = PAPER_SCHEMA) -> DataFrame:
     """Splittable JSON Lines under a declared schema; a malformed line gives a row of nulls."""
     return spark.read.schema(schema).option("mode", "PERMISSIVE").json(path)

@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 @dataclass(frozen=True)
@@ -48,7 +49,7 @@ class KeyedTable:
 
     @property
     def columns(self) -> list[str]:
-        return self.spark.createDataFrame([], self.schema).columns
+        return T.StructType.fromDDL(self.schema).names
 
     def _stored(self) -> DataFrame:
         files, path = self._files()
