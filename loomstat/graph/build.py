@@ -16,6 +16,7 @@ from loomstat.functions.nested import primary_by_weight
 from loomstat.functions.text import name_key
 from loomstat.graph.model import PropertyGraph
 from loomstat.operators.rows import dedupe_rows
+from loomstat.session import durable
 
 PAPER, AUTHOR, VENUE = "P:", "A:", "V:"
 
@@ -30,6 +31,15 @@ class PaperTables:
     references: DataFrame
     primary_fields: DataFrame
 
+    def stored(self) -> "PaperTables":
+        """The same tables written once, for builds that read each of them several times."""
+        return PaperTables(
+            durable(self.papers, "papers"),
+            durable(in_scope(self.authors, self.papers).select("paper_id", "author_id", "author_name"), "authors"),
+            durable(in_scope(self.references, self.papers), "references"),
+            durable(self.primary_fields, "primary-fields"),
+        )
+
 
 def cast_papers(papers: DataFrame) -> DataFrame:
     """Year and citation count as numbers; unreadable text becomes null."""
@@ -132,9 +142,12 @@ def venue_quality_filter(venues: DataFrame, key: str = "venue_key", *, min_lengt
     )
 
 
+def known_venues(papers: DataFrame) -> DataFrame:
+    return venue_quality_filter(papers.filter(F.col("venue_key") != UNKNOWN_VENUE))
+
+
 def representative_venue(papers: DataFrame) -> DataFrame:
-    known = venue_quality_filter(papers.filter(F.col("venue_key") != UNKNOWN_VENUE))
-    return most_frequent(known, "venue_key", "venue_raw", "venue_type")
+    return most_frequent(known_venues(papers), "venue_key", "venue_raw", "venue_type")
 
 
 def build_author_vertices(tables: PaperTables) -> DataFrame:
@@ -170,9 +183,8 @@ def build_wrote_edges(tables: PaperTables) -> DataFrame:
 
 
 def build_published_in_edges(tables: PaperTables) -> DataFrame:
-    venues = representative_venue(tables.papers).select("venue_key")
-    published = tables.papers.join(venues, "venue_key", "left_semi")
-    return _edge(published, (PAPER, "id"), (VENUE, "venue_key"), "published_in")
+    """A venue vertex exists for exactly the keys that pass the quality filter, so the filter replaces a join."""
+    return _edge(known_venues(tables.papers), (PAPER, "id"), (VENUE, "venue_key"), "published_in")
 
 
 def build_cites_edges(tables: PaperTables) -> DataFrame:

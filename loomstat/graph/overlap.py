@@ -24,8 +24,9 @@ def shared_pairs(occurrences: DataFrame, *, item: str, context: str, min_shared:
     if min_shared < 2:
         raise ValueError("min_shared must be at least 2: pairs with one common context are all pairs of a context")
     rows = occurrences.select(F.col(item).alias("item"), F.col(context).alias("context"))
-    frequent_enough = rows.groupBy("item").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_shared)
-    rows = rows.join(frequent_enough.select("item"), "item", "left_semi")
+    if min_shared > 2:
+        large = rows.groupBy("item").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_shared)
+        rows = rows.join(large.select("item"), "item", "left_semi")
     frequency = rows.groupBy("context").agg(F.count(F.lit(1)).alias("frequency")).filter(F.col("frequency") > 1)
     # Contexts with a single item cannot be shared.
     rows = durable(rows.join(frequency, "context"), "overlap")
@@ -75,7 +76,8 @@ def top_shared_pairs(occurrences: DataFrame, *, item: str, context: str, k: int
     spark = occurrences.sparkSession
     rows = occurrences.select(F.col(item).alias("item"), F.col(context).alias("context"))
     sizes = rows.groupBy("item").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n")).limit(k + 1).collect()
-    threshold = max(2, sizes[-1]["n"] // 4) if sizes else 2
+    # High thresholds leave few candidates, so they come first; small counts are not worth a try of their own.
+    threshold = max(2, sizes[-1]["n"] // 16) if sizes else 2
     order = [F.desc("shared"), "a", "b"]
     while True:
         found = shared_pairs(rows, item="item", context="context", min_shared=threshold)

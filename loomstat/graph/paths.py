@@ -11,6 +11,20 @@ from loomstat.graph.model import PropertyGraph
 from loomstat.session import durable
 
 
+# Levels after which the tables of visited vertices are merged into one.
+MERGE_EVERY = 4
+
+
+def _merged(tables: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionAll, tables)
+
+
+def _with_level(visited: list[DataFrame], level: DataFrame) -> list[DataFrame]:
+    """Tables that hold all visited rows, never more than ``MERGE_EVERY`` of them."""
+    visited = [*visited, level]
+    return [durable(_merged(visited), "visited")] if len(visited) >= MERGE_EVERY else visited
+
+
 def bfs_paths(g: PropertyGraph, sources: DataFrame, targets: DataFrame, *, max_length: int = 10) -> DataFrame:
     """``from_id, to_id, hops, path``: every path of the smallest length that leads from a source to a target.
 
@@ -19,20 +33,21 @@ def bfs_paths(g: PropertyGraph, sources: DataFrame, targets: DataFrame, *, max_l
     joins build no path that is not in the result.
     """
     spark = g.edges.sparkSession
-    edges = g.edges.select("src", "dst").distinct()
+    edges = durable(g.edges.select("src", "dst").distinct(), "links")
     start = durable(sources.select("id").distinct(), "bfs")
     goal = targets.select("id").distinct()
     hit = start.join(goal, "id", "left_semi")
-    levels = [start]
+    levels, visited = [start], [start]
     while hit.isEmpty():
         if len(levels) > max_length:
             return spark.createDataFrame([], "from_id string, to_id string, hops int, path array<string>")
         reached = edges.join(levels[-1].withColumnRenamed("id", "src"), "src", "left_semi")
-        visited = reduce(DataFrame.unionAll, levels)
-        level = durable(reached.select(F.col("dst").alias("id")).distinct().join(visited, "id", "left_anti"), "bfs")
+        fresh = reached.select(F.col("dst").alias("id")).distinct().join(_merged(visited), "id", "left_anti")
+        level = durable(fresh, "bfs")
         if level.isEmpty():
             return spark.createDataFrame([], "from_id string, to_id string, hops int, path array<string>")
         levels.append(level)
+        visited = _with_level(visited, level)
         hit = level.join(goal, "id", "left_semi")
     steps: list[DataFrame] = []
     alive = hit
@@ -53,23 +68,23 @@ def bfs_paths(g: PropertyGraph, sources: DataFrame, targets: DataFrame, *, max_l
 
 def landmark_distances(g: PropertyGraph, landmarks: DataFrame) -> DataFrame:
     """``id, landmark, hops`` for all pairs with a path from ``id`` to the landmark along the edges."""
-    edges = g.edges.select("src", "dst").distinct()
+    edges = durable(g.edges.select("src", "dst").distinct(), "links")
     frontier = durable(
         landmarks.select("id", F.col("id").alias("landmark"), F.lit(0).alias("hops")).distinct(), "distance"
     )
-    found = [frontier]
+    found, hops = [frontier], 0
     while not frontier.isEmpty():
-        visited = reduce(DataFrame.unionAll, found).select("id", "landmark")
+        hops += 1
         step = (
             edges.join(frontier.withColumnRenamed("id", "dst"), "dst")
             .select(F.col("src").alias("id"), "landmark")
             .distinct()
-            .join(visited, ["id", "landmark"], "left_anti")
-            .withColumn("hops", F.lit(len(found)))
+            .join(_merged(found), ["id", "landmark"], "left_anti")
+            .withColumn("hops", F.lit(hops))
         )
         frontier = durable(step, "distance")
-        found.append(frontier)
-    return reduce(DataFrame.unionAll, found)
+        found = _with_level(found, frontier)
+    return _merged(found)
 
 
 def shortest_paths(g: PropertyGraph, landmarks: DataFrame) -> DataFrame:

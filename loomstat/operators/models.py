@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml import classification as K
 from pyspark.ml import feature as FT
@@ -17,6 +16,10 @@ from loomstat.constants import TREE_SEED
 from loomstat.functions.nested import label_map
 from loomstat.functions.text import clean_text
 from loomstat.operators.metrics import classification_metrics
+from loomstat.session import durable
+
+
+TOKEN_COLUMNS = ("terms", "ngrams")
 
 
 @dataclass(frozen=True)
@@ -47,27 +50,28 @@ class TextFeatures:
             FT.NGram(n=self.ngram, inputCol="terms", outputCol="ngrams"),
         ]
 
-    def vector_stages(self) -> list:
-        stages, vectors = [], []
-        for tokens in ("terms", "ngrams"):
-            counts, weighted = f"{tokens}_tf", f"{tokens}_tfidf"
-            if self.vocabulary == "hashed":
-                stages.append(FT.HashingTF(numFeatures=self.buckets, inputCol=tokens, outputCol=counts))
-                stages.append(FT.IDF(minDocFreq=self.min_df, inputCol=counts, outputCol=weighted))
-            else:
-                stages.append(
-                    FT.CountVectorizer(vocabSize=self.buckets, minDF=self.min_df, inputCol=tokens, outputCol=counts)
-                )
-                stages.append(FT.IDF(inputCol=counts, outputCol=weighted))
-            vectors.append(weighted)
-        stages.append(FT.VectorAssembler(inputCols=vectors, outputCol="features"))
-        return stages
+    def count_stages(self) -> list:
+        """Tokens and n-grams to count vectors: fixed hash buckets, or a vocabulary that has to be fitted."""
+        if self.vocabulary == "hashed":
+            return [FT.HashingTF(numFeatures=self.buckets, inputCol=c, outputCol=f"{c}_tf") for c in TOKEN_COLUMNS]
+        return [
+            FT.CountVectorizer(vocabSize=self.buckets, minDF=self.min_df, inputCol=c, outputCol=f"{c}_tf")
+            for c in TOKEN_COLUMNS
+        ]
+
+    def weight_stages(self) -> list:
+        rare = self.min_df if self.vocabulary == "hashed" else 0
+        weighted = [f"{c}_tfidf" for c in TOKEN_COLUMNS]
+        stages = [
+            FT.IDF(minDocFreq=rare, inputCol=f"{c}_tf", outputCol=out) for c, out in zip(TOKEN_COLUMNS, weighted)
+        ]
+        return [*stages, FT.VectorAssembler(inputCols=weighted, outputCol="features")]
 
     def label_stage(self):
         return FT.StringIndexer(inputCol=self.label, outputCol="label", handleInvalid=self.invalid_labels)
 
     def stages(self) -> list:
-        return [*self.token_stages(), *self.vector_stages(), self.label_stage()]
+        return [*self.token_stages(), *self.count_stages(), *self.weight_stages(), self.label_stage()]
 
 
 def logistic_regression(max_iter: int = 50, reg: float = 0.05, elastic_net: float = 0.0) -> Estimator:
@@ -112,13 +116,22 @@ def text_pipeline(classifier: Estimator, features: TextFeatures = TextFeatures()
 
 
 def featurize(train: DataFrame, features: TextFeatures = TextFeatures()) -> tuple[PipelineModel, DataFrame]:
-    """Fitted feature stages and the training vectors, kept on executor disks where memory runs out.
+    """Fitted feature stages and the training vectors.
 
-    Every learner reads the vectors many times, so the text is tokenised and hashed once, not once per pass.
-    Blocks lost with an executor are recomputed from the input.
+    Text is tokenised once: the stages that need no fitting run first, their result is written, and every fit and
+    every learner reads the written table.
     """
-    model = Pipeline(stages=features.stages()).fit(train)
-    return model, model.transform(train).select("features", "label").persist(StorageLevel.MEMORY_AND_DISK)
+    fixed = features.token_stages()
+    columns = [*TOKEN_COLUMNS, features.label]
+    if features.vocabulary == "hashed":
+        fixed += features.count_stages()
+        columns = [*[f"{c}_tf" for c in TOKEN_COLUMNS], features.label]
+        fitted_stages = features.weight_stages()
+    else:
+        fitted_stages = [*features.count_stages(), *features.weight_stages()]
+    counted = durable(PipelineModel(fixed).transform(train).select(*columns), "features")
+    fitted = Pipeline(stages=[*fitted_stages, features.label_stage()]).fit(counted)
+    return PipelineModel([*fixed, *fitted.stages]), fitted.transform(counted).select("features", "label")
 
 
 def train(
@@ -126,9 +139,7 @@ def train(
 ) -> PipelineModel:
     """Fit features and classifier on ``data``."""
     feature_model, vectors = featurize(data, features)
-    fitted = classifier.fit(vectors)
-    vectors.unpersist()
-    return PipelineModel([*feature_model.stages, fitted])
+    return PipelineModel([*feature_model.stages, classifier.fit(vectors)])
 
 
 def compare_models(
@@ -144,15 +155,13 @@ def compare_models(
     """
     spark = train_rows.sparkSession
     feature_model, vectors = featurize(train_rows, features)
-    test = feature_model.transform(test_rows).select("features", "label").persist(StorageLevel.MEMORY_AND_DISK)
+    test = durable(feature_model.transform(test_rows).select("features", "label"), "features")
     models, rows = {}, []
     for name, make in classifiers.items():
         fitted = make().fit(vectors)
         models[name] = PipelineModel([*feature_model.stages, fitted])
         metrics = classification_metrics(fitted.transform(test).select("label", "prediction")).first()
         rows.append((name, *metrics))
-    vectors.unpersist()
-    test.unpersist()
     schema = "model string, accuracy double, f1 double, weightedPrecision double, weightedRecall double"
     table = spark.createDataFrame(rows, schema)  # one row per classifier
     return table.orderBy(F.desc("f1"), "model"), models

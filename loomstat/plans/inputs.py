@@ -7,6 +7,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
+from pyspark.sql.types import StructType
 
 from loomstat.graph.build import PaperTables, build_edges, build_vertices, heaviest_field, prepare_papers
 from loomstat.graph.model import PropertyGraph
@@ -24,6 +25,7 @@ TEXT_TABLES = ("documents", "conversations")
 # Entries per list of one nested record; longer papers continue in further records with the same id.
 MAX_LIST = 1000
 
+_schemas: dict[str, StructType] = {}
 _stores: dict[tuple[str, str], tuple[str, str]] = {}
 
 
@@ -35,7 +37,10 @@ class Inputs:
         self.sf_dir = sf_dir.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        path = f"{self.sf_dir}/{name}.parquet"
+        if path not in _schemas:
+            _schemas[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_schemas[path]).parquet(path)
 
     def view(self, name: str) -> DataFrame:
         if name == "p_ref":
@@ -59,24 +64,29 @@ class Inputs:
     def references(self) -> DataFrame:
         """Each order cites the order before it that contained the same part.
 
-        A part may sit in a third of all orders, so the order before is looked up within (part, month) and, for the
-        first order of a month, among the last orders of the part's earlier months: a window task then never holds
-        more of one part than a month, or one row per month.
+        A part may sit in a third of all orders, so the order before is looked up within (part, month); only the
+        first order of a month needs the last one of an earlier month, found among one row per part and month.
         """
         orders = self.table("orders").select("o_orderkey", "o_orderdate")
         lines = self.table("lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_partkey").distinct()
         bought = lines.join(orders, "o_orderkey").withColumn("month", F.trunc("o_orderdate", "month"))
         month = Window.partitionBy("l_partkey", "month").orderBy("o_orderdate", "o_orderkey")
-        within = bought.withColumn("before", F.lag("o_orderkey").over(month))
-        last = bought.groupBy("l_partkey", "month").agg(
-            F.max(F.struct("o_orderdate", "o_orderkey"))["o_orderkey"].alias("last")
+        whole = month.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        within = bought.select(
+            "l_partkey", "month", "o_orderkey",
+            F.lag("o_orderkey").over(month).alias("before"),
+            F.last("o_orderkey").over(whole).alias("last"),
         )
-        carried = last.withColumn("earlier", F.lag("last").over(Window.partitionBy("l_partkey").orderBy("month")))
-        pairs = within.join(carried, ["l_partkey", "month"]).select(
-            F.col("o_orderkey").cast("string").alias("paper_id"),
-            F.coalesce("before", "earlier").cast("string").alias("ref_id"),
+        first = within.filter(F.col("before").isNull())
+        earlier = F.lag("last").over(Window.partitionBy("l_partkey").orderBy("month"))
+        pairs = (
+            within.filter(F.col("before").isNotNull())
+            .select("o_orderkey", "before")
+            .union(first.select("o_orderkey", earlier.alias("before")).filter(F.col("before").isNotNull()))
         )
-        return pairs.filter(F.col("ref_id").isNotNull()).distinct()
+        return pairs.select(
+            F.col("o_orderkey").cast("string").alias("paper_id"), F.col("before").cast("string").alias("ref_id")
+        ).distinct()
 
     @cached_property
     def paper_tables(self) -> PaperTables:
@@ -93,8 +103,9 @@ class Inputs:
         key = (self.spark.sparkContext.applicationId, self.sf_dir)
         if key not in _stores:
             vertices, edges = new_path(self.spark, "vertices"), new_path(self.spark, "edges")
-            write_partitioned(build_vertices(self.paper_tables), vertices, "node_type")
-            write_partitioned(build_edges(self.paper_tables), edges, "rel_type")
+            flat = self.paper_tables.stored()
+            write_partitioned(build_vertices(flat), vertices, "node_type")
+            write_partitioned(build_edges(flat), edges, "rel_type")
             _stores[key] = (vertices, edges)
         vertices, edges = _stores[key]
         return PropertyGraph(self.spark.read.parquet(vertices), self.spark.read.parquet(edges))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.ml import Pipeline
 from pyspark.ml import feature as FT
 from pyspark.sql import functions as F
@@ -89,7 +88,7 @@ WITH {TERMS}, {VOCABULARY}
 SELECT n, count(*) AS n_terms FROM (SELECT term, n FROM df ORDER BY n DESC LIMIT 10000) x GROUP BY n""")
 def count_vectorize(t):
     """Term counts in the vocabulary; equal counts may be cut in any order, so counts are compared, not terms."""
-    terms = tokens(t, 2).select("terms")
+    terms = durable(tokens(t, 2).select("terms"), "terms")
     model = FT.CountVectorizer(vocabSize=10_000, minDF=3, inputCol="terms", outputCol="tf").fit(terms)
     counted = model.transform(terms).select(F.inline(entries("tf")))
     totals = counted.groupBy("indices").agg(F.sum("values").cast("bigint").alias("n"))
@@ -101,7 +100,7 @@ WITH {TERMS}, {VOCABULARY}
 SELECT round(ln((docs + 1.0) / (doc_freq + 1.0)), 6) AS idf, count(*) AS n_terms FROM df
 CROSS JOIN (SELECT count(*) AS docs FROM comments) c GROUP BY 1""")
 def idf_weight(t):
-    terms = tokens(t, 2).select("terms")
+    terms = durable(tokens(t, 2).select("terms"), "terms")
     counted = FT.CountVectorizer(vocabSize=1 << 18, minDF=3, inputCol="terms", outputCol="tf").fit(terms).transform(terms)
     weighted = FT.IDF(inputCol="tf", outputCol="tfidf").fit(counted).transform(counted)
     both = F.arrays_zip(
@@ -234,14 +233,12 @@ def train_neural(t):
         FT.IDF(inputCol="tf", outputCol="features"),
     ]
     features = Pipeline(stages=steps).fit(data.filter("split = 'train'"))
-    vectors = features.transform(data).select("CommentID", "split", F.col("label_id").cast("double").alias("label"), "features")
-    vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
-    model = L.neural_network([256, 32, 3], max_iter=40).fit(vectors.filter("split = 'train'"))
-    scored = durable(
-        model.transform(vectors.filter("split <> 'train'")).select("CommentID", "split", "label", "prediction"), "neural"
+    vectors = durable(
+        features.transform(data).select("CommentID", "split", F.col("label_id").cast("double").alias("label"), "features"),
+        "features",
     )
-    vectors.unpersist()
-    return scored
+    model = L.neural_network([256, 32, 3], max_iter=40).fit(vectors.filter("split = 'train'"))
+    return model.transform(vectors.filter("split <> 'train'")).select("CommentID", "split", "label", "prediction")
 
 
 @query("map_lookup", """
