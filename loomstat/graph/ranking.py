@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomstat.graph.model import PropertyGraph
@@ -13,6 +13,11 @@ from loomstat.session import bucketed, durable
 CUT_EVERY = 4
 
 
+def _rank(reset: float) -> Column:
+    """Rank of a vertex from its ``inflow``, which is null where it has no in-edges."""
+    return F.lit(reset) + F.lit(1 - reset) * F.coalesce(F.col("inflow"), F.lit(0.0))
+
+
 def pagerank(g: PropertyGraph, *, reset: float = 0.15, max_iter: int = 5) -> DataFrame:
     """``id, pagerank`` of every vertex.
 
@@ -23,31 +28,28 @@ def pagerank(g: PropertyGraph, *, reset: float = 0.15, max_iter: int = 5) -> Dat
     A round is one join and one aggregate: the edges carry their share 1/out_degree and lie bucketed by source, the
     incoming sums arrive hashed the same way, and a vertex without in-edges needs no row in between.
     """
+    if max_iter < 1:
+        raise ValueError("max_iter must be at least 1")
     out = durable(g.edges.groupBy("src").agg(F.count(F.lit(1)).alias("out_degree")), "out-degree")
     hubs = Salting.measure_counts(out, "src", "out_degree")
     parallel = g.edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n"))
     edges = salted_lookup(parallel, out, "src", spread="dst", how="inner", salting=hubs).select(
-        "src", "dst", (F.col("n") / F.col("out_degree")).alias("share"), hubs.of_big(F.col("src"), F.col("dst")).alias("salt")
-    )
-    edges = bucketed(edges, "src", "salt", label="shares")
-    incoming = edges.groupBy("dst").agg(F.sum("share").alias("inflow"))
-    for step in range(2, max_iter + 1):
-        lookup = incoming.select(F.col("dst").alias("src"), "inflow", hubs.of_lookup(F.col("dst")).alias("salt"))
-        rank = F.lit(reset) + F.lit(1 - reset) * F.coalesce(F.col("inflow"), F.lit(0.0))
-        incoming = (
-            edges.join(lookup, ["src", "salt"], "left")
-            .groupBy("dst")
-            .agg(F.sum(F.col("share") * rank).alias("inflow"))
-        )
-        if step % CUT_EVERY == 0 and step < max_iter:
-            incoming = durable(incoming, "inflow")
-    if max_iter < 1:
-        raise ValueError("max_iter must be at least 1")
-    inflow = incoming.withColumnRenamed("dst", "id")
-    raw = g.vertices.select("id").join(inflow, "id", "left").select(
-        "id", (F.lit(reset) + F.lit(1 - reset) * F.coalesce(F.col("inflow"), F.lit(0.0))).alias("raw")
+        "src", "dst", (F.col("n") / F.col("out_degree")).alias("share")
     )
-    raw = durable(raw, "ranks")
+    by_source = hubs.join_keys("src")
+    with bucketed(hubs.big(edges, "src", "dst"), *by_source, label="shares") as shares:
+        incoming = shares.groupBy("dst").agg(F.sum("share").alias("inflow"))
+        for step in range(2, max_iter + 1):
+            lookup = hubs.lookup(incoming.withColumnRenamed("dst", "src"), "src")
+            incoming = (
+                shares.join(lookup, by_source, "left")
+                .groupBy("dst")
+                .agg(F.sum(F.col("share") * _rank(reset)).alias("inflow"))
+            )
+            if step % CUT_EVERY == 0 and step < max_iter:
+                incoming = durable(incoming, "inflow")
+        raw = g.vertices.select("id").join(incoming.withColumnRenamed("dst", "id"), "id", "left")
+        raw = durable(raw.select("id", _rank(reset).alias("raw")), "ranks")
     scale = raw.agg((F.count(F.lit(1)) / F.sum("raw")).alias("scale"))
     return raw.crossJoin(F.broadcast(scale)).select("id", (F.col("raw") * F.col("scale")).alias("pagerank"))
 
@@ -64,20 +66,21 @@ def label_propagation(g: PropertyGraph, *, max_iter: int = 5) -> DataFrame:
     )))
     links = durable(both.groupBy("at", "to").agg(F.count(F.lit(1)).alias("n")), "links")
     hubs = Salting.measure_counts(links.groupBy("at").agg(F.count(F.lit(1)).alias("rows")), "at", "rows")
-    links = bucketed(links.withColumn("salt", hubs.of_big(F.col("at"), F.col("to"))), "at", "salt", label="links")
-    labels = None
-    for step in range(1, max_iter + 1):
-        if labels is None:
-            votes = links.select("to", F.col("at").alias("label"), "n")
-        else:
-            lookup = labels.select(F.col("id").alias("at"), "label", hubs.of_lookup(F.col("id")).alias("salt"))
-            votes = links.join(lookup, ["at", "salt"], "inner").select("to", "label", "n")
-        tally = votes.groupBy("to", "label").agg(F.sum("n").alias("n"))
-        best = F.min(F.struct((-F.col("n")).alias("n"), "label"))["label"]
-        labels = tally.groupBy(F.col("to").alias("id")).agg(best.alias("label"))
-        if step % CUT_EVERY == 0 and step < max_iter:
-            labels = durable(labels, "labels")
-    own = F.col("id")
+    by_vertex = hubs.join_keys("at")
+    with bucketed(hubs.big(links, "at", "to"), *by_vertex, label="links") as near:
+        labels = None
+        for step in range(1, max_iter + 1):
+            if labels is None:
+                votes = near.select("to", F.col("at").alias("label"), "n")
+            else:
+                lookup = hubs.lookup(labels.withColumnRenamed("id", "at"), "at")
+                votes = near.join(lookup, by_vertex, "inner").select("to", "label", "n")
+            tally = votes.groupBy("to", "label").agg(F.sum("n").alias("n"))
+            best = F.min(F.struct((-F.col("n")).alias("n"), "label"))["label"]
+            labels = tally.groupBy(F.col("to").alias("id")).agg(best.alias("label"))
+            if step % CUT_EVERY == 0 or step == max_iter:
+                labels = durable(labels, "labels")
     if labels is None:
-        return g.vertices.select("id", own.alias("label"))
-    return g.vertices.select("id").join(labels, "id", "left").select("id", F.coalesce("label", own).alias("label"))
+        return g.vertices.select("id", F.col("id").alias("label"))
+    own = F.coalesce("label", F.col("id")).alias("label")
+    return g.vertices.select("id").join(labels, "id", "left").select("id", own)

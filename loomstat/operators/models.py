@@ -131,7 +131,17 @@ def featurize(train: DataFrame, features: TextFeatures = TextFeatures()) -> tupl
         fitted_stages = [*features.count_stages(), *features.weight_stages()]
     counted = durable(PipelineModel(fixed).transform(train).select(*columns), "features")
     fitted = Pipeline(stages=[*fitted_stages, features.label_stage()]).fit(counted)
-    return PipelineModel([*fixed, *fitted.stages]), fitted.transform(counted).select("features", "label")
+    return PipelineModel([*fixed, *fitted.stages]), _filled(fitted.transform(counted).select("features", "label"))
+
+
+# Rows one training task should have at least; an iteration over few rows is all scheduling otherwise.
+ROWS_PER_TASK = 2000
+
+
+def _filled(vectors: DataFrame) -> DataFrame:
+    """``vectors`` in fewer, fuller partitions if the table is small; a large one keeps its own."""
+    wanted = max(1, vectors.count() // ROWS_PER_TASK)
+    return vectors.coalesce(wanted) if wanted < vectors.rdd.getNumPartitions() else vectors
 
 
 def train(

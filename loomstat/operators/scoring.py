@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+# Most classes a model may have to travel whole to every worker.
+MAX_CLASSES = 10_000
+
+
 def class_centroids(vectors: DataFrame, *, vector: str = "embedding", label: str = "label") -> DataFrame:
     """Mean vector per class, summed up map-side: one small row per class."""
     dense = array_to_vector(F.col(vector).cast("array<double>"))
@@ -38,6 +42,8 @@ def nearest_centroid_udf(labels: list[int], centroids: np.ndarray, *, batch_size
 
 def score_batch(vectors: DataFrame, *, vector: str = "embedding", label: str = "label", batch_size: int = 32):
     """``vectors`` with the label of the nearest class centroid; the model is one vector per class."""
-    model = class_centroids(vectors, vector=vector, label=label).orderBy(label).collect()  # one row per class
+    model = class_centroids(vectors, vector=vector, label=label).orderBy(label).limit(MAX_CLASSES + 1).collect()
+    if len(model) > MAX_CLASSES:
+        raise ValueError(f"more than {MAX_CLASSES} classes: too many centroids to send to every worker")
     udf = nearest_centroid_udf([r[label] for r in model], np.array([r["centroid"] for r in model]), batch_size=batch_size)
     return vectors.withColumn("prediction", udf(F.col(vector).cast("array<double>")))

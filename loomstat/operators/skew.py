@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 HEAVY_KEYS = 1024
@@ -23,6 +23,9 @@ def heavy_keys(df: DataFrame, key: str, *, min_rows: int = HEAVY_ROWS, limit: in
     return [row["key"] for row in top.collect()]
 
 
+SALT = "__salt"
+
+
 @dataclass(frozen=True)
 class Salting:
     """How rows of hot keys are spread: ``keys`` get ``salts`` sub-keys, all others get one."""
@@ -42,19 +45,24 @@ class Salting:
         top = counts.filter(F.col(rows) >= min_rows).orderBy(F.desc(rows), key).limit(HEAVY_KEYS).select(key)
         return cls(tuple(row[key] for row in top.collect()), salts)
 
-    def of_big(self, key: Column, spread: Column) -> Column:
-        """Salt of a row of the large side; ``spread`` is any column that varies within a key."""
+    def join_keys(self, key: str) -> list[str]:
+        """Columns to join, partition or bucket by: the salt belongs to them only if there are hot keys."""
+        return [key, SALT] if self.keys else [key]
+
+    def big(self, df: DataFrame, key: str, spread: str) -> DataFrame:
+        """The large side; ``spread`` is any column that varies within a key."""
         if not self.keys:
-            return F.lit(0)
+            return df
         salt = F.pmod(F.xxhash64(spread), F.lit(self.salts)).cast("int")
-        return F.when(key.isin(list(self.keys)), salt).otherwise(F.lit(0))
+        return df.withColumn(SALT, F.when(F.col(key).isin(list(self.keys)), salt).otherwise(F.lit(0)))
 
-    def of_lookup(self, key: Column) -> Column:
-        """Every salt a lookup row must be present under; only hot keys are repeated."""
+    def lookup(self, df: DataFrame, key: str) -> DataFrame:
+        """The lookup side, the rows of hot keys once per salt."""
         if not self.keys:
-            return F.lit(0)
+            return df
         every = F.sequence(F.lit(0), F.lit(self.salts - 1))
-        return F.explode(F.when(key.isin(list(self.keys)), every).otherwise(F.array(F.lit(0))))
+        salts = F.when(F.col(key).isin(list(self.keys)), every).otherwise(F.array(F.lit(0)))
+        return df.withColumn(SALT, F.explode(salts))
 
 
 def salted_lookup(
@@ -62,8 +70,5 @@ def salted_lookup(
 ) -> DataFrame:
     """``big`` joined with ``lookup`` (one row per ``key``), the rows of hot keys spread over many tasks."""
     salting = salting if salting is not None else Salting.measure(big, key)
-    if not salting.keys:
-        return big.join(lookup, key, how)
-    left = big.withColumn("__salt", salting.of_big(F.col(key), F.col(spread)))
-    right = lookup.withColumn("__salt", salting.of_lookup(F.col(key)))
-    return left.join(right, [key, "__salt"], how).drop("__salt")
+    joined = salting.big(big, key, spread).join(salting.lookup(lookup, key), salting.join_keys(key), how)
+    return joined.drop(SALT)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -71,11 +73,12 @@ def durable(df: DataFrame, label: str = "cut") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def bucketed(df: DataFrame, *keys: str, label: str = "bucketed") -> DataFrame:
+@contextmanager
+def bucketed(df: DataFrame, *keys: str, label: str = "bucketed") -> Iterator[DataFrame]:
     """``df`` as a durable table hash-bucketed on ``keys`` with one bucket per shuffle partition.
 
     Joins on ``keys`` read it without an exchange, which is what a loop that joins the same big side again and
-    again needs.
+    again needs. The catalog entry lives as long as the context, so what is built from it must be written inside.
     """
     spark = df.sparkSession
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -88,4 +91,7 @@ def bucketed(df: DataFrame, *keys: str, label: str = "bucketed") -> DataFrame:
         .option("path", path)
         .saveAsTable(table)
     )
-    return spark.table(table)
+    try:
+        yield spark.table(table)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
