@@ -94,9 +94,10 @@ def parse_rfc3339(text: Column) -> Column:
 
 
 def to_rfc3339(instant: Column) -> Column:
-    """RFC 3339 text in UTC (the session time zone is UTC), fractions of a second only where present."""
-    whole = F.date_format(instant, "yyyy-MM-dd'T'HH:mm:ss")
-    micros = F.date_format(instant, "SSSSSS")
+    """RFC 3339 text in UTC whatever the session's time zone, fractions of a second only where present."""
+    utc = F.to_utc_timestamp(instant, F.current_timezone())
+    whole = F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss")
+    micros = F.date_format(utc, "SSSSSS")
     return F.concat(whole, F.when(micros != "000000", F.concat(F.lit("."), micros)).otherwise(""), F.lit("Z"))
 
 

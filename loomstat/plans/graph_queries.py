@@ -4,18 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from loomstat.functions.text import name_key
+from loomstat.functions.nested import cagr as growth_rate
 from loomstat.graph import biblio as Q
 from loomstat.graph import build as B
 from loomstat.graph.components import connected_components as components_of
 from loomstat.graph.components import group_sizes
 from loomstat.graph.model import PropertyGraph
 from loomstat.graph.paths import bfs_paths as bfs
-from loomstat.graph.paths import distance_histogram, landmark_distances, shortest_paths as shortest
+from loomstat.graph.paths import distance_histogram
+from loomstat.graph.paths import shortest_paths as shortest
 from loomstat.graph import projection as P
 from loomstat.graph.ranking import label_propagation as propagate
 from loomstat.graph.ranking import pagerank as rank
-from loomstat.operators.comments import group_counts, top_per_group
+from loomstat.operators.comments import top_per_group
 from loomstat.plans.registry import query
 from loomstat.plans.views import FIELD_LIST, FIXTURE_FIELDS, FIXTURE_MAX_YEAR, FIXTURE_MIN_YEAR
 from loomstat.session import durable, new_path
@@ -529,8 +530,6 @@ SELECT venue_key, first_count, last_count, CASE WHEN first_count > 0 AND last_co
   SELECT venue_key, count(*) FILTER (WHERE year = 1996) AS first_count, count(*) FILTER (WHERE year = 2000) AS last_count
   FROM papers GROUP BY venue_key) x""")
 def cagr(t):
-    from loomstat.functions.nested import cagr as growth_rate
-
     in_year = {n: F.count(F.when(F.col("year") == y, 1)).alias(n) for n, y in (("first_count", FIRST), ("last_count", LAST))}
     ends = t.paper_tables.papers.groupBy("venue_key").agg(*in_year.values())
     rate = growth_rate(F.col("first_count"), F.col("last_count"), years=LAST - FIRST)

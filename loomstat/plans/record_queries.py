@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from loomstat.functions.nested import array_size_default as size_of
 from loomstat.functions.nested import primary_by_weight as heaviest
-from loomstat.functions.text import name_key
 from loomstat.graph import build as B
 from loomstat.plans.registry import query
 from loomstat.session import new_path

@@ -205,3 +205,13 @@ def test_envelope_defaults(spark):
     messages = spark.createDataFrame(row, "comment_id string, video_id string, text string, author string, published_at string, fetched_at string, source string")
     parsed = parse_envelope(encode_messages(messages), keep_key=True).first()
     assert (parsed["comment_key"], parsed["text"], parsed["author"], parsed["published_at"]) == ("1", "", "unknown", "2026-01-01T00:00:00Z")
+
+
+def test_rfc3339_does_not_depend_on_the_session_zone(spark):
+    df = spark.createDataFrame([("2026-01-01T00:30:00.25+02:00",), ("no time",)], "t string")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        got = [r[0] for r in df.select(T.to_rfc3339(T.parse_rfc3339(F.col("t")))).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert got == ["2025-12-31T22:30:00.250000Z", None]
