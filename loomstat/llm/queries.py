@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomstat.llm import line_dedup
+from loomstat.llm import line_dedup, sentencepiece_codec
 from loomstat.llm.common import read_table
 
+# The vocabulary file of op7; another one can be named here or passed to the operator.
+PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -48,3 +52,10 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = line_dedup.with_bitmaps(read_table(spark, sf_dir, "documents"), min_chars=40, min_docs=5)
     digest = line_dedup.kept_digest(F.col("row.text"), "keep", "n_lines", "n_dropped")
     return marked.select("row.doc_id", "n_lines", "n_dropped", digest.alias("kept_sha256"))
+
+
+@query("op7_sentencepiece")
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    marked = docs.select("doc_id", sentencepiece_codec.digest("text", PIECE_MODEL).alias("d"))
+    return marked.select("doc_id", "d.*")
