@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomstat.llm import line_dedup, sentencepiece_codec
+from loomstat.llm import decontamination, line_dedup, sentencepiece_codec
 from loomstat.llm.common import read_table
 
 # The vocabulary file of op7; another one can be named here or passed to the operator.
@@ -59,3 +59,46 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     marked = docs.select("doc_id", sentencepiece_codec.digest("text", PIECE_MODEL).alias("d"))
     return marked.select("doc_id", "d.*")
+
+
+_SQL_ITEM_WORDS = r"""
+  list_filter(regexp_split_to_array({fold}, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')
+"""
+
+
+def _sql_words(text: str) -> str:
+    return _SQL_ITEM_WORDS.format(fold=SQL_FOLD.format(f"coalesce({text}, '')"))
+
+
+@query("op8_decontamination", f"""
+WITH d AS (SELECT doc_id, {_sql_words('text')} AS w FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item, {_sql_words('text')} AS w FROM benchmark),
+sized AS (SELECT item, w, least(len(w), 10) AS n FROM b WHERE len(w) > 0),
+windows AS (
+  SELECT item, n, array_to_string(w[i:i + n - 1], ' ') AS k
+  FROM (SELECT item, w, n, unnest(generate_series(1, len(w) - n + 1)) AS i FROM sized)
+),
+sizes AS (SELECT DISTINCT n FROM windows),
+found AS (
+  SELECT doc_id, item, p.n, i FROM (
+    SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS k
+    FROM (SELECT doc_id, w, n, unnest(generate_series(1, len(w) - n + 1)) AS i FROM d, sizes WHERE len(w) >= n)
+  ) p JOIN windows ON p.k = windows.k AND p.n = windows.n
+),
+hits AS (SELECT doc_id, count(DISTINCT pos) AS n_hit FROM (
+  SELECT doc_id, unnest(generate_series(i, i + n - 1)) AS pos FROM found) GROUP BY doc_id),
+named AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, item FROM found) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hits ON d.doc_id = hits.doc_id LEFT JOIN named ON d.doc_id = named.doc_id
+""")
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.find_benchmark(
+        read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), carry=["doc_id"], window=10
+    )
+    return found.select(
+        "row.doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
