@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomstat.llm import decontamination, line_dedup, sentencepiece_codec
+from loomstat.llm import decontamination, line_dedup, sentencepiece_codec, simhash
 from loomstat.llm.common import read_table
 
 # The vocabulary file of op7; another one can be named here or passed to the operator.
@@ -102,3 +102,10 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+@query("op2_simhash")
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = simhash.near_duplicates(read_table(spark, sf_dir, "documents"), shingle=4, distance=4)
+    written = F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint")
+    return groups.select(F.col("id").alias("doc_id"), written, F.col("component").alias("component_id"))
