@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomstat.llm import decontamination, line_dedup, sentencepiece_codec, simhash
+from loomstat.llm import decontamination, line_dedup, quality, sentencepiece_codec, simhash
 from loomstat.llm.common import read_table
+from loomstat.llm.labelled import fold_of
 
 # The vocabulary file of op7; another one can be named here or passed to the operator.
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -109,3 +110,11 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.near_duplicates(read_table(spark, sf_dir, "documents"), shingle=4, distance=4)
     written = F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint")
     return groups.select(F.col("id").alias("doc_id"), written, F.col("component").alias("component_id"))
+
+
+@query("op9_quality_classifier")
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    model = quality.fit_documents(docs, labels, "quality", held_out=0)
+    scored = docs.select("doc_id", (fold_of("doc_id") == 0).alias("held_out"), model.column("text").alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
