@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomstat.llm import decontamination, line_dedup, quality, sentencepiece_codec, simhash
+from loomstat.llm import decontamination, line_dedup, quality, sentencepiece_codec, simhash, toxicity
 from loomstat.llm.common import read_table
 from loomstat.llm.labelled import fold_of
 
@@ -118,3 +118,11 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = quality.fit_documents(docs, labels, "quality", held_out=0)
     scored = docs.select("doc_id", (fold_of("doc_id") == 0).alias("held_out"), model.column("text").alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
+@query("op10_toxicity")
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    model = toxicity.fit_documents(docs, labels, "toxic", held_out=0)
+    scored = docs.select("doc_id", (fold_of("doc_id") == 0).alias("held_out"), model.column("text").alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
