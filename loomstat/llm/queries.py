@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomstat.llm import decontamination, line_dedup, quality, sentencepiece_codec, simhash, toxicity
+from loomstat.llm import decontamination, line_dedup, quality, quality_rules, quotation, sentencepiece_codec, simhash, toxicity
 from loomstat.llm.common import read_table
 from loomstat.llm.labelled import fold_of
 
@@ -126,3 +126,74 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.fit_documents(docs, labels, "toxic", held_out=0)
     scored = docs.select("doc_id", (fold_of("doc_id") == 0).alias("held_out"), model.column("text").alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+@query("op5_quality_rules", f"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+w AS (SELECT doc_id, text,
+  list_filter(regexp_split_to_array(text, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS words,
+  list_filter(string_split(text, chr(10)), lambda x: trim(x, {SQL_BLANKS}) <> '') AS lines FROM t),
+p AS (SELECT doc_id, i, array_to_string(words[i:i + 4], ' ') AS k
+  FROM (SELECT doc_id, words, unnest(generate_series(1, len(words) - 4)) AS i FROM w WHERE len(words) >= 5)),
+r AS (SELECT doc_id, count(DISTINCT pos) AS n FROM (
+  SELECT doc_id, unnest(generate_series(i, i + 4)) AS pos
+  FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, k) AS c FROM p) WHERE c > 1) GROUP BY doc_id),
+f AS (SELECT w.doc_id, text, CAST(len(words) AS BIGINT) AS n_words,
+  CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
+  CAST(length(text) - length(translate(text, '#*$%&|<>', '')) AS BIGINT) AS n_symbols,
+  len(lines) AS n_lines, CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+  coalesce(r.n, 0) AS n_repeat_words FROM w LEFT JOIN r ON w.doc_id = r.doc_id),
+b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM f)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT (base_failed OR 10 * n_symbols > n_words OR word_chars < 2 * n_words OR word_chars > 20 * n_words
+    OR 2 * n_dup_lines > n_lines OR 10 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 4 * word_chars
+    OR 10 * (length(text) - length(replace(text, '!', ''))) > 3 * n_words
+    OR 10 * length(regexp_replace(text, '[^0-9]', '', 'g')) > 3 * word_chars) AS kept
+FROM b
+""")
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality_rules.judge(read_table(spark, sf_dir, "documents"))
+    return judged.select(
+        "row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
+@query("op6_quotation_linking", r"""
+WITH RECURSIVE m AS (SELECT DISTINCT conv_id, CAST(turn AS BIGINT) AS turn FROM conversations),
+lines AS (SELECT conv_id, CAST(turn AS BIGINT) AS turn, unnest(string_split(coalesce(text, ''), chr(10))) AS line FROM conversations),
+parsed AS (SELECT conv_id, turn,
+  length(regexp_replace(regexp_extract(line, '^(?:[ \t]*>)+'), '[^>]', '', 'g')) AS level,
+  trim(regexp_replace(lower(regexp_replace(line, '^(?:[ \t]*>)+', '')), '\s+', ' ', 'g')) AS body FROM lines),
+found AS (SELECT q.conv_id, q.turn, q.level,
+  (SELECT max(o.turn) FROM parsed o WHERE o.conv_id = q.conv_id AND o.level = 0 AND o.body = q.body AND o.turn < q.turn) AS origin
+  FROM parsed q WHERE q.level > 0 AND q.body <> ''),
+counts AS (SELECT conv_id, turn, level, origin, count(*) AS n FROM found GROUP BY ALL),
+quotes AS (SELECT conv_id, turn, sum(n) AS n_quoted, coalesce(sum(n) FILTER (WHERE origin IS NOT NULL), 0) AS n_linked,
+  first(origin ORDER BY level, n DESC, origin DESC) FILTER (WHERE origin IS NOT NULL) AS origin FROM counts GROUP BY ALL),
+t AS (SELECT m.conv_id, m.turn, n_quoted, n_linked, origin,
+  lag(m.turn) OVER (PARTITION BY m.conv_id ORDER BY m.turn) AS previous
+  FROM m LEFT JOIN quotes ON m.conv_id = quotes.conv_id AND m.turn = quotes.turn),
+r AS (SELECT *, coalesce(origin, previous) AS reply_to,
+  CASE WHEN previous IS NULL OR coalesce(origin, previous) <> previous THEN turn END AS start FROM t),
+s AS (SELECT *, max(start) OVER (PARTITION BY conv_id ORDER BY turn) AS strand FROM r),
+paths AS (
+  SELECT conv_id, strand, '' AS path FROM s WHERE start IS NOT NULL AND reply_to IS NULL
+  UNION ALL
+  SELECT c.conv_id, c.strand, p.path || '/' || lpad(CAST(999999999999 - c.reply_to AS VARCHAR), 12, '0') || '.'
+    || lpad(CAST(c.strand AS VARCHAR), 12, '0')
+  FROM paths p JOIN s u ON u.conv_id = p.conv_id AND u.strand = p.strand
+  JOIN s c ON c.conv_id = u.conv_id AND c.reply_to = u.turn AND c.start IS NOT NULL
+)
+SELECT c.conv_id, CAST(c.turn AS BIGINT) AS turn, c.role, CAST(coalesce(n_quoted, 0) AS BIGINT) AS n_quoted,
+  CAST(coalesce(n_linked, 0) AS BIGINT) AS n_linked, reply_to, s.strand, path,
+  sha256(array_to_string(list_filter(string_split(coalesce(c.text, ''), chr(10)),
+    lambda x: NOT regexp_matches(x, '^(?:[ \t]*>)+')), chr(10))) AS own_sha256
+FROM conversations c LEFT JOIN s ON c.conv_id = s.conv_id AND c.turn = s.turn
+LEFT JOIN paths ON s.conv_id = paths.conv_id AND s.strand = paths.strand
+""")
+def op6_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    linked = quotation.link_conversations(read_table(spark, sf_dir, "conversations"))
+    return linked.select(
+        F.col("row.conv_id").alias("conv_id"), F.col("row.turn").cast("bigint").alias("turn"), F.col("row.role").alias("role"),
+        "n_quoted", "n_linked", "reply_to", "strand", "path", F.sha2(F.col("own").cast("binary"), 256).alias("own_sha256"),
+    )
