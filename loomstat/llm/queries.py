@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomstat.llm import decontamination, line_dedup, quality, quality_rules, quotation, sentencepiece_codec, simhash, toxicity
+from loomstat.llm import decontamination, line_dedup, quality, quality_rules, quotation, sentencepiece_codec, simhash, toxicity, warc
 from loomstat.llm.common import read_table
 from loomstat.llm.labelled import fold_of
 
@@ -197,3 +197,17 @@ def op6_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("row.conv_id").alias("conv_id"), F.col("row.turn").cast("bigint").alias("turn"), F.col("row.role").alias("role"),
         "n_quoted", "n_linked", "reply_to", "strand", "path", F.sha2(F.col("own").cast("binary"), 256).alias("own_sha256"),
     )
+
+
+@query("op4_warc", """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS n FROM pages),
+t AS (SELECT html, max(page_id) AS keeper FROM p WHERE n >= 1000 GROUP BY html)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, sha1(p.html) AS payload_digest,
+  CASE WHEN keeper IS NULL OR page_id = keeper THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> keeper THEN keeper END AS refers_to
+FROM p LEFT JOIN t ON p.html = t.html
+""")
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archive = warc.convert(read_table(spark, sf_dir, "pages"), version=2, revisit_bytes=1000)
+    found = warc.read_warc(spark, archive, with_payload=False)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
