@@ -162,4 +162,7 @@ def judge(
 
 def keep_passing(docs: DataFrame, **options) -> DataFrame:
     """``docs`` without the documents that a rule rejects."""
-    return judge(docs, **options).filter("kept").select("row.*")
+    judged = judge(docs, **options)
+    # A plain filter would be pushed below the features and would work them out again for each use of them.
+    passed = judged.select(F.explode_outer(F.when(F.col("kept"), F.array("row"))).alias("row"))
+    return passed.filter(F.col("row").isNotNull()).select("row.*")
