@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomstat.llm import decontamination, line_dedup, quality, quality_rules, quotation, sentencepiece_codec, simhash, toxicity, warc
-from loomstat.llm.common import read_table
+from loomstat.llm import decontamination, language_model, line_dedup, quality, quality_rules, quotation, sentencepiece_codec, simhash, toxicity, warc
+from loomstat.llm.common import durable, read_table
 from loomstat.llm.labelled import fold_of
 
 # The vocabulary file of op7; another one can be named here or passed to the operator.
@@ -211,3 +211,16 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     archive = warc.convert(read_table(spark, sf_dir, "pages"), version=2, revisit_bytes=1000)
     found = warc.read_warc(spark, archive, with_payload=False)
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op3_language_model")
+def op3_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    training = docs.filter(fold_of("doc_id") != 1)
+    counts = durable(language_model.count_tokens(training), "token-counts")
+    model = language_model.train(training, counts=counts)
+    scored = language_model.score(docs, model, counts)
+    return scored.select(
+        F.col("id").alias("doc_id"), (fold_of("id") == 1).alias("held_out"), "n_tokens", "n_known",
+        F.lit(int(model.total)).cast("bigint").alias("train_tokens"), "base_score", "score",
+    )
