@@ -23,13 +23,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from loomstat.llm.common import durable, fold, slices, utf8
+from loomstat.llm.common import durable, fold, slices, text_hash, utf8
 from loomstat.llm.labelled import labelled_sample
 
 # Least log odds of a term, and least share of the toxic documents that have it; the share bounds the lexicon.
 TERM_ODDS, TERM_SHARE, TERM_DOCS = 2.0, 0.002, 5
 # Beginnings of words that can be terms; whole words are terms from the least length on.
 PREFIXES, LEAST = (4, 5, 6), 3
+# Log odds by which a longer term must be better than a beginning of it.
+COVERED = 1.0
+# Share of a beginning's documents that one word may account for.
+ONE_WORD = 0.7
 # Words shorter than this match exactly only; longer ones may differ in one sign.
 FUZZY = 5
 WINDOW = 5
@@ -69,39 +73,55 @@ class Trie:
             for sign in term:
                 node = node.setdefault(sign, {})
             node[""] = (term, weight)
-            # One edit leaves one of the two halves as it is.
-            self.heads.add(term[:len(term) // 2])
-            self.tails.add(term[len(term) // 2:])
-        self.head_sizes = sorted({len(h) for h in self.heads})
-        self.tail_sizes = sorted({len(t) for t in self.tails})
+            # One edit leaves one of the two halves as it is and changes the length by one at most.
+            half = len(term) // 2
+            for size in (len(term) - 1, len(term), len(term) + 1):
+                self.heads.add((size, term[:half]))
+                self.tails.add((size, term[half:]))
+        self.head_sizes = sorted({len(h) for _, h in self.heads})
+        self.tail_sizes = sorted({len(t) for _, t in self.tails})
 
     def in_reach(self, word: str) -> bool:
         if self.distance != 1:
             return True
-        return any(word[:n] in self.heads for n in self.head_sizes) or any(
-            word[-n:] in self.tails for n in self.tail_sizes)
+        size, heads, tails = len(word), self.heads, self.tails
+        return any((size, word[:n]) in heads for n in self.head_sizes) or any(
+            (size, word[-n:]) in tails for n in self.tail_sizes)
 
     def find(self, word: str) -> list[tuple[str, float, int]]:
-        """``(term, weight, edits)`` of all terms within the distance."""
+        """``(term, weight, edits)`` of all terms within the distance.
+
+        A state is a trie node, a place in the word and the edits left; with none left only the word's own signs lead on.
+        """
         if not self.in_reach(word):
             return []
-        found = []
-        # A state of the automaton: for each length of the word's beginning, the edits so far; cut above the distance.
-        start = tuple(min(i, self.distance + 1) for i in range(len(word) + 1))
-        stack = [(self.root, start)]
+        size, found = len(word), {}
+        stack, seen = [(self.root, 0, self.distance)], set()
         while stack:
-            node, state = stack.pop()
-            for sign, child in node.items():
-                if sign == "":
-                    if state[-1] <= self.distance:
-                        found.append((*child, state[-1]))
+            node, i, left = stack.pop()
+            if left:
+                if (id(node), i, left) in seen:
                     continue
-                step = [min(state[0] + 1, self.distance + 1)]
-                for i, other in enumerate(word):
-                    step.append(min(step[i] + 1, state[i + 1] + 1, state[i] + (sign != other), self.distance + 1))
-                if min(step) <= self.distance:
-                    stack.append((child, tuple(step)))
-        return found
+                seen.add((id(node), i, left))
+                for sign, child in node.items():
+                    if sign:
+                        stack.append((child, i, left - 1))
+                        if i < size and sign != word[i]:
+                            stack.append((child, i + 1, left - 1))
+                if i < size:
+                    stack.append((node, i + 1, left - 1))
+                    if (child := node.get(word[i])) is not None:
+                        stack.append((child, i + 1, left))
+            else:
+                while i < size and node is not None:
+                    node = node.get(word[i])
+                    i += 1
+            if i == size and node is not None and "" in node:
+                term, weight = node[""]
+                edits = self.distance - left
+                if edits < found.get(term, (0, self.distance + 1))[1]:
+                    found[term] = (weight, edits)
+        return [(term, weight, edits) for term, (weight, edits) in found.items()]
 
 
 class Lexicon:
@@ -239,13 +259,54 @@ def _count(rows: DataFrame, entries, flush: int = 200_000) -> DataFrame:
     return found.groupBy("kind", "entry").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
+def _take(model: ToxicityModel, rows: list) -> None:
+    """Put terms into the lexicon: a beginning only where no single word makes most of it, a word or a longer beginning
+    only where no beginning in the lexicon speaks for it nearly as well."""
+    most: dict[str, int] = {}
+    for row in rows:
+        if row.kind == WHOLE:
+            for n in PREFIXES:
+                most[row.entry[:n]] = max(most.get(row.entry[:n], 0), row.toxic)
+
+    def covered(row) -> bool:
+        return any(model.beginnings.get(row.entry[:n], 0.0) >= row.odds - COVERED for n in PREFIXES if n < len(row.entry))
+
+    for row in sorted(rows, key=lambda r: (r.kind == WHOLE, len(r.entry), r.entry)):
+        if row.kind == WHOLE:
+            if not covered(row):
+                model.whole[row.entry] = row.odds
+        elif most.get(row.entry, 0) < ONE_WORD * row.toxic and not covered(row):
+            model.beginnings[row.entry] = row.odds
+
+
 def _logit(share: float) -> float:
     return math.log(share / (1 - share))
 
 
+def _one_of_near_copies(labelled: DataFrame, shingle: int = 4) -> DataFrame:
+    """``text, label``, one row of those that agree in label and in the least hash of their shingles.
+
+    Without this the words of a document with a thousand near copies would all look toxic, or all clean.
+    """
+
+    def run(batches):
+        for batch in slices(batches):
+            sketches = []
+            for text in utf8(batch.column("text")):
+                words = fold(text).split() if text else []
+                joined = [b" ".join(words[i:i + shingle]) for i in range(max(1, len(words) - shingle + 1))]
+                sketches.append(min(map(text_hash, joined)))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("text"), batch.column("label"), pa.array(sketches, pa.int64())], ["text", "label", "sketch"]
+            )
+
+    marked = labelled.select("text", "label").mapInArrow(run, "text string, label int, sketch bigint")
+    return marked.groupBy("label", "sketch").agg(F.min_by("text", F.xxhash64("text")).alias("text")).select("text", "label")
+
+
 def fit(labelled: DataFrame) -> ToxicityModel:
     """A model of ``label`` from ``text, label``, a bounded number of rows."""
-    labelled = durable(labelled.select("text", "label"), "toxicity-sample")
+    labelled = durable(_one_of_near_copies(labelled), "toxicity-sample")
     sizes = {r.label: r.n for r in labelled.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     n_toxic, n_clean = sizes.get(1, 0), sizes.get(0, 0)
     model = ToxicityModel()
@@ -261,11 +322,7 @@ def fit(labelled: DataFrame) -> ToxicityModel:
     support = max(TERM_DOCS, TERM_SHARE * n_toxic)
     odds = F.log((F.col("toxic") + 0.5) / (n_toxic + 1.0)) - F.log((F.col("clean") + 0.5) / (n_clean + 1.0))
     strong = _count(labelled, terms).filter((F.col("toxic") >= support) & (odds >= TERM_ODDS))
-    for row in strong.select("kind", "entry", odds.alias("odds")).collect():
-        (model.whole if row.kind == WHOLE else model.beginnings)[row.entry] = row.odds
-    model.beginnings = {
-        b: w for b, w in model.beginnings.items() if b not in model.whole or len(b) > LEAST
-    }
+    _take(model, strong.select("kind", "entry", odds.alias("odds"), "toxic").collect())
 
     def contexts(text):
         words = words_of(text)
