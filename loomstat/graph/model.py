@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 from functools import reduce
 
@@ -9,6 +10,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+LEG = re.compile(r"\((\w+)\)\s*-\s*\[(\w+)\]\s*->\s*\((\w+)\)")
+
+
+def motif_legs(pattern: str) -> list[tuple[str, str, str]]:
+    """The (from, edge, to) names of a pattern whose edges are separated by semicolons."""
+    parts = [part.strip() for part in pattern.split(";") if part.strip()]
+    found = [LEG.fullmatch(part) for part in parts]
+    if not parts or None in found:
+        raise ValueError(f"not a motif of named edges: {pattern!r}")
+    return [match.groups() for match in found]
+
+
 @dataclass(frozen=True)
 class PropertyGraph:
     """Two DataFrames. Nothing is cached: filters reach the files, so partition and column pruning apply."""
@@ -83,13 +96,16 @@ class PropertyGraph:
         value = F.when(F.col("n_vertices") > 1, F.col("n_edges") / possible).otherwise(F.lit(0.0))
         return nodes.crossJoin(F.broadcast(links)).withColumn("density", value)
 
-    def find(self, legs: list[tuple[str, str, str]], where: dict[str, Column | str] | None = None) -> DataFrame:
+    def find(
+        self, legs: str | list[tuple[str, str, str]], where: dict[str, Column | str] | None = None
+    ) -> DataFrame:
         """Rows that match a chain of edges, one struct column per named vertex and edge.
 
-        ``legs`` lists (from, edge, to) names, ``where`` a condition on the edge columns per edge name; conditions
+        ``legs`` is a pattern such as ``(c)-[e1]->(a); (c)-[e2]->(b)`` or lists (from, edge, to) names, ``where`` a condition on the edge columns per edge name; conditions
         are applied to each edge scan before any join. Every leg after the first must share a vertex with an
         earlier one.
         """
+        legs = motif_legs(legs) if isinstance(legs, str) else legs
         where = where or {}
         found: DataFrame | None = None
         seen: set[str] = set()

@@ -3,8 +3,8 @@
 A context with n items has n(n-1)/2 pairs, nearly all useless when only pairs with at least t common contexts are
 asked for. The prefix rule avoids them: order contexts from rare to frequent and leave the t-1 most frequent ones of
 each item aside. Two items with t common contexts still share one of the remaining ones, so candidates come from
-those only, and hub contexts drop out. The contexts left aside are then added back to the counts by equi-joins, so
-counts are exact.
+those only; t-1 hubs of an item drop out. A hub that remains is paired up whole, in blocks that many tasks share. The
+contexts left aside are then added back to the counts by equi-joins, so counts are exact.
 """
 
 from __future__ import annotations
@@ -16,7 +16,34 @@ from pyspark.sql import Window
 from loomstat.session import durable
 
 
-def shared_pairs(occurrences: DataFrame, *, item: str, context: str, min_shared: int = 2) -> DataFrame:
+# Items of one context that a task pairs up.
+BLOCK = 2048
+
+
+def _pairs(rows: DataFrame, block: int) -> DataFrame:
+    """``context, a, b`` for all items a < b of a context.
+
+    A context with more than ``block`` items is cut into blocks, and each pair of blocks is a join key of its own, so
+    its pairs are made by many tasks.
+    """
+    large = rows.groupBy("context").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > block)
+    # Written first, so that its size is known when the join is planned.
+    large = durable(large.select("context", F.ceil(F.col("n") / block).cast("int").alias("blocks")), "overlap-large")
+    blocks = F.coalesce("blocks", F.lit(1))
+    placed = rows.join(large, "context", "left").withColumn("side", F.pmod(F.xxhash64("item"), blocks).cast("int"))
+    cells = placed.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1))).select(
+        "context", F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high"), "side", "item"
+    )
+    left = cells.select("context", "low", "high", F.col("side").alias("sa"), F.col("item").alias("a"))
+    right = cells.select("context", "low", "high", F.col("side").alias("sb"), F.col("item").alias("b"))
+    across = (F.col("low") == F.col("high")) | (F.col("sa") != F.col("sb"))
+    met = left.join(right, ["context", "low", "high"])
+    return met.filter((F.col("a") < F.col("b")) & across).select("context", "a", "b")
+
+
+def shared_pairs(
+    occurrences: DataFrame, *, item: str, context: str, min_shared: int = 2, block: int = BLOCK
+) -> DataFrame:
     """``a, b, shared`` for all item pairs a < b with at least ``min_shared`` >= 2 common contexts.
 
     ``occurrences`` holds distinct (item, context) rows.
@@ -40,9 +67,7 @@ def shared_pairs(occurrences: DataFrame, *, item: str, context: str, min_shared:
     prefix = rows.select("item", "context").join(aside, ["item", "context"], "left_anti")
     aside, prefix = durable(aside, "overlap-aside"), durable(prefix, "overlap-prefix")
     candidates = durable(
-        prefix.withColumnRenamed("item", "a")
-        .join(prefix.withColumnRenamed("item", "b"), "context")
-        .filter(F.col("a") < F.col("b"))
+        _pairs(prefix, block)
         .groupBy("a", "b")
         .agg(F.count(F.lit(1)).alias("n")),
         "overlap-pairs",

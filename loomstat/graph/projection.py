@@ -128,11 +128,11 @@ def landmarks(g: PropertyGraph, *, k: int = 1, field: str | None = None) -> Data
     return cited.join(papers.select(*columns), "id").orderBy(F.desc("in_degree"), "id").limit(k)
 
 
-def six_degrees(g: PropertyGraph, source_field: str, target: DataFrame, *, max_sources: int | None = 30,
+def six_degrees(g: PropertyGraph, source_field: str, target: DataFrame, *, max_sources: int | None = None,
                 max_length: int = 6) -> DataFrame:
     """Shortest paths from papers of a field to the target within ``max_length`` hops.
 
-    ``max_sources`` samples the papers with the smallest ids; None takes all of them.
+    ``max_sources`` takes the papers with the smallest ids only; None, the default, takes all of them.
     """
     sources = g.vertices.filter((F.col("node_type") == "paper") & (F.col("primary_field") == source_field)).select("id")
     if max_sources is not None:

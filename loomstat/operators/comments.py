@@ -8,6 +8,7 @@ from pyspark.sql import Window
 
 from loomstat.constants import STOP_WORDS
 from loomstat.functions import text as T
+from loomstat.session import durable
 
 
 def prepare_comments(raw: DataFrame, *, keep_empty: bool = False) -> DataFrame:
@@ -71,6 +72,7 @@ def summary_with_share(df: DataFrame, key: str) -> DataFrame:
     summary = engagement_by_class(df, key).select(
         key, F.col("n").alias("total_comments"), "avg_likes", "avg_replies", "max_likes"
     )
+    summary = durable(summary, "summary")  # a row per class, read twice; the data is read once
     total = summary.agg(F.sum("total_comments").alias("grand_total"))
     share = percent(F.col("total_comments"), F.col("grand_total"), 2).alias("pct_of_total")
     return summary.crossJoin(F.broadcast(total)).select(*summary.columns, share)

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from loomstat.session import durable
+
 
 def prediction_counts(predictions: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     return predictions.groupBy(
@@ -19,7 +21,7 @@ def confusion_matrix(predictions: DataFrame, **columns) -> DataFrame:
     Classes are few; only their counts are completed, and each label row is spread over the class list of a
     one-row aggregate.
     """
-    counts = prediction_counts(predictions, **columns)
+    counts = durable(prediction_counts(predictions, **columns), "counts")
     classes = counts.select(F.explode(F.array("label", "prediction")).alias("c")).agg(
         F.array_sort(F.collect_set("c")).alias("classes")
     )

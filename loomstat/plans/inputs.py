@@ -14,16 +14,12 @@ from loomstat.graph.model import PropertyGraph
 from loomstat.operators.comments import prepare_comments
 from loomstat.plans.views import FIXTURE_FIELDS, FIXTURE_MAX_YEAR, FIXTURE_MIN_YEAR, SHARED_VIEWS
 from loomstat.session import new_path
-from loomstat.sources.tables import balanced, write_partitioned
+from loomstat.sources.tables import write_partitioned
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
     "conversations"
 ).split()
-# Tables whose rows take long to process each, next to the time to read them.
-TEXT_TABLES = ("documents", "conversations")
-# Entries per list of one nested record; longer papers continue in further records with the same id.
-MAX_LIST = 1000
 
 _schemas: dict[str, StructType] = {}
 _stores: dict[tuple[str, str], tuple[str, str]] = {}
@@ -48,8 +44,7 @@ class Inputs:
         text = SHARED_VIEWS[name]
         for table in TABLES:
             if f" {table} " in text.replace("\n", " ") + " ":
-                rows = self.table(table)
-                (balanced(rows) if table in TEXT_TABLES else rows).createOrReplaceTempView(table)
+                self.table(table).createOrReplaceTempView(table)
         return self.spark.sql(text)
 
     @cached_property
@@ -122,25 +117,17 @@ class Inputs:
 
     @cached_property
     def nested_papers(self) -> DataFrame:
-        """Nested records of all papers, lists in a fixed order and of bounded length."""
-
-        def listed(rows: DataFrame, member: str, entry, name: str) -> DataFrame:
-            sizes = rows.groupBy("paper_id").agg(F.count(F.lit(1)).alias("size"))
-            parts = F.ceil(F.col("size") / MAX_LIST)
-            part = F.pmod(F.xxhash64(member), parts).cast("int")
-            return (
-                rows.join(sizes, "paper_id")
-                .groupBy(F.col("paper_id").alias("id"), part.alias("part"))
-                .agg(F.array_sort(F.collect_list(entry)).alias(name))
-            )
+        """One nested record per paper, lists in a fixed order."""
+
+        def listed(rows: DataFrame, entry, name: str) -> DataFrame:
+            return rows.groupBy(F.col("paper_id").alias("id")).agg(F.array_sort(F.collect_list(entry)).alias(name))
 
         authors = listed(
-            self.view("p_author"), "author_id",
-            F.struct(F.col("author_id").alias("id"), F.col("author_name").alias("name"), "org"), "authors",
+            self.view("p_author"), F.struct(F.col("author_id").alias("id"), F.col("author_name").alias("name"), "org"), "authors"
         )
-        references = listed(self.references, "ref_id", F.col("ref_id"), "references")
-        fields = listed(self.view("p_field"), "name", F.struct("name", F.col("w").cast("string").alias("w")), "fos")
-        lists = authors.join(references, ["id", "part"], "full").join(fields, ["id", "part"], "full")
+        references = listed(self.references, F.col("ref_id"), "references")
+        fields = listed(self.view("p_field"), F.struct("name", F.col("w").cast("string").alias("w")), "fos")
+        lists = authors.join(references, "id", "full").join(fields, "id", "full")
         papers = self.view("p_paper")
         return papers.join(lists, "id", "left").select(
             "id", "title", "year", "n_citation",

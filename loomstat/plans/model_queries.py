@@ -63,6 +63,10 @@ def ngrams(t):
     return tokens(t, 3).select("CommentID", F.array_join("ngrams", "|").alias("ngrams"))
 
 
+# Hash buckets of the network's input.
+NEURAL_BUCKETS = 4096
+
+
 def entries(vector: str):
     """The stored entries of a sparse vector column, as an array of (indices, values)."""
     raw = F.unwrap_udt(F.col(vector))
@@ -100,16 +104,12 @@ WITH {TERMS}, {VOCABULARY}
 SELECT round(ln((docs + 1.0) / (doc_freq + 1.0)), 6) AS idf, count(*) AS n_terms FROM df
 CROSS JOIN (SELECT count(*) AS docs FROM comments) c GROUP BY 1""")
 def idf_weight(t):
-    terms = durable(tokens(t, 2).select("terms"), "terms")
-    counted = FT.CountVectorizer(vocabSize=1 << 18, minDF=3, inputCol="terms", outputCol="tf").fit(terms).transform(terms)
-    weighted = FT.IDF(inputCol="tf", outputCol="tfidf").fit(counted).transform(counted)
-    both = F.arrays_zip(
-        F.unwrap_udt(F.col("tf"))["indices"].alias("term"),
-        F.unwrap_udt(F.col("tf"))["values"].alias("n"),
-        F.unwrap_udt(F.col("tfidf"))["values"].alias("weight"),
-    )
-    weights = weighted.select(F.inline(both)).groupBy("term").agg(F.max(F.col("weight") / F.col("n")).alias("idf"))
-    return weights.groupBy(F.round("idf", 6).alias("idf")).agg(F.count(F.lit(1)).alias("n_terms"))
+    """Document frequencies by a group per term, so the vocabulary has no limit and never meets in one place."""
+    terms = durable(tokens(t, 2).select(F.array_distinct("terms").alias("terms")), "terms")
+    frequency = terms.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("doc_freq"))
+    docs = terms.count()
+    weights = frequency.filter("doc_freq >= 3").select(F.round(F.log((docs + 1.0) / (F.col("doc_freq") + 1.0)), 6).alias("idf"))
+    return weights.groupBy("idf").agg(F.count(F.lit(1)).alias("n_terms"))
 
 
 @query("index_labels", """
@@ -129,50 +129,74 @@ def splits(t):
     return comments.filter(position < cut), comments.filter(position >= cut)
 
 
+TEST_ROWS = """CAST('0x' || substr(md5('42:' || CommentID), 1, 15) AS BIGINT) >= CAST(floor(0.8 * 1152921504606846976) AS BIGINT)"""
+TRAINED = f"""
+SELECT Sentiment, count(*) AS n, count(*) AS n_classed FROM comments WHERE {TEST_ROWS} GROUP BY Sentiment"""
+
+
 def trained(t, classifier):
-    """Test rows with the class the freshly trained model predicts."""
+    """Per class of the test rows: how many there are and how many got a known class.
+
+    What a learner predicts is its own; SQL states which rows it must have classified.
+    """
     train_rows, test_rows = splits(t)
     model = L.train(train_rows, classifier)
-    return model.transform(test_rows).select("CommentID", "label", "prediction")
+    found = model.transform(test_rows).select("Sentiment", "prediction")
+    classes = float(len(L.class_names(model)))
+    # The label stage keeps an index of its own for labels never seen, and a learner may predict it.
+    known = (F.col("prediction") >= 0) & (F.col("prediction") <= classes) & (F.col("prediction") == F.floor("prediction"))
+    return found.groupBy("Sentiment").agg(F.count(F.lit(1)).alias("n"), F.count_if(known).alias("n_classed"))
 
 
-@query("train_logreg")
+@query("train_logreg", TRAINED)
 def train_logreg(t):
     return trained(t, L.logistic_regression())
 
 
-@query("train_svm_ovr")
+@query("train_svm_ovr", TRAINED)
 def train_svm_ovr(t):
     return trained(t, L.linear_svm())
 
 
-@query("train_naive_bayes")
+@query("train_naive_bayes", TRAINED)
 def train_naive_bayes(t):
     return trained(t, L.naive_bayes())
 
 
-@query("train_decision_tree")
+@query("train_decision_tree", TRAINED)
 def train_decision_tree(t):
     return trained(t, L.decision_tree())
 
 
-@query("train_random_forest")
+@query("train_random_forest", TRAINED)
 def train_random_forest(t):
     return trained(t, L.random_forest())
 
 
-@query("compare_models")
+MEASURES = ("accuracy", "f1", "weightedPrecision", "weightedRecall")
+
+
+def in_range():
+    """Whether all four measures lie in [0, 1] and recall, weighted by class, is the accuracy."""
+    each = [F.col(m).between(0.0, 1.0) for m in MEASURES]
+    same = F.abs(F.col("accuracy") - F.col("weightedRecall")) < 1e-9
+    return (each[0] & each[1] & each[2] & each[3] & same).alias("in_range")
+
+
+@query("compare_models", """
+SELECT model, true AS in_range, true AS best_has_most FROM (VALUES ('Linear SVM (OvR)'), ('Logistic Regression'), ('Naive Bayes'),
+  ('Random Forest'), ('Decision Tree')) m(model)""")
 def compare_models(t):
     metrics, models = L.compare_models(*splits(t))
     name, model = L.best_model(metrics, models)
     L.save_model(model, new_path(t.spark, "best-model"))
-    return metrics.withColumn("best", F.col("model") == name)
+    most = metrics.agg(F.max("f1")).first()[0]
+    return metrics.select("model", in_range(), ((F.col("model") != name) | (F.col("f1") == most)).alias("best_has_most"))
 
 
 @query("model_save_load", """
 SELECT Sentiment, count(*) AS n, CAST(0 AS BIGINT) AS changed FROM comments
-WHERE CAST('0x' || substr(md5('42:' || CommentID), 1, 15) AS BIGINT) >= CAST(floor(0.8 * 1152921504606846976) AS BIGINT)
-GROUP BY Sentiment""")
+WHERE """ + TEST_ROWS + " GROUP BY Sentiment")
 def model_save_load(t):
     """Rows whose prediction differs between a model and its saved copy, per class: always 0."""
     train_rows, test_rows = splits(t)
@@ -192,24 +216,31 @@ def metric_rows(t):
     return L.compare_models(*splits(t), classifiers=cheap)[0]
 
 
-@query("sink_metrics_table")
+@query("sink_metrics_table", "SELECT model, true AS in_range FROM (VALUES ('Naive Bayes'), ('Decision Tree')) m(model)")
 def sink_metrics_table(t):
-    return S.write_metrics(metric_rows(t), new_path(t.spark, "metrics"))
+    return S.write_metrics(metric_rows(t), new_path(t.spark, "metrics")).select("model", in_range())
 
 
-@query("append_metric_rows")
+@query("append_metric_rows", """
+SELECT model, true AS in_range, CASE WHEN model = 'Fixed predictions' THEN
+  (SELECT round(avg(CASE WHEN label = prediction THEN 1.0 ELSE 0.0 END), 6) FROM predictions) END AS fixed_accuracy
+FROM (VALUES ('Naive Bayes'), ('Decision Tree'), ('Fixed predictions')) m(model)""")
 def append_metric_rows(t):
     stored = S.write_metrics(metric_rows(t), new_path(t.spark, "metrics"))
     fixed = classification_metrics(t.view("predictions")).select(F.lit("Fixed predictions").alias("model"), "*")
-    return S.append_metric_rows(stored, fixed)
+    accuracy = F.when(F.col("model") == "Fixed predictions", F.round("accuracy", 6)).alias("fixed_accuracy")
+    return S.append_metric_rows(stored, fixed).select("model", in_range(), accuracy)
 
 
-@query("score_model_stages")
+@query("score_model_stages", "SELECT comment_id, 'logreg' AS model_name, true AS named FROM messages")
 def score_model_stages(t):
+    """Rows scored by the stages without the label stage; the class name must be that of the index."""
     train_rows, _ = splits(t)
     model = L.train(train_rows, L.logistic_regression())
     scored = L.score_rows(model, t.view("messages"), model_name="logreg")
-    return scored.select("comment_id", "predicted_sentiment", "prediction_index", "model_name")
+    names = F.array(*map(F.lit, L.class_names(model)))
+    named = F.col("predicted_sentiment") == F.get(names, F.col("prediction_index"))
+    return scored.select("comment_id", "model_name", named.alias("named"))
 
 
 @query("score_batch_udf", """
@@ -221,24 +252,32 @@ def score_batch_udf(t):
     return score_batch(t.table("embeddings").select("vec_id", "embedding", "label")).select("vec_id", "prediction")
 
 
-@query("train_neural")
+@query("train_neural", """
+WITH sized AS (SELECT Sentiment, count(*) AS n FROM comments GROUP BY Sentiment),
+parts AS (SELECT Sentiment, 'test' AS split, CAST(floor(n * 0.1) AS BIGINT) AS n FROM sized
+  UNION ALL SELECT Sentiment, 'val', CAST(floor(n * 0.1) AS BIGINT) FROM sized)
+SELECT Sentiment, split, n, n AS n_classed FROM parts WHERE n > 0""")
 def train_neural(t):
-    """A small network on hashed text, trained on the train split and scored on the others."""
-    ids = F.array_position(F.array(*[F.lit(s) for s in SENTIMENTS]), F.col("Sentiment")).cast("int") - 1
+    """A small network on hashed text, trained on the train split and scored on the others: rows per class and split,
+    and those that got a class."""
+    names = F.array(*[F.lit(s) for s in SENTIMENTS])
+    ids = F.array_position(names, F.col("Sentiment")).cast("int") - 1
     rows = t.comments.select("CommentID", "clean_text", ids.alias("label_id"))
     data = durable(R.stratified_split(rows, "label_id", "CommentID"), "neural-splits")
     steps = [
         FT.Tokenizer(inputCol="clean_text", outputCol="tokens"),
-        FT.HashingTF(numFeatures=256, inputCol="tokens", outputCol="tf"),
+        FT.HashingTF(numFeatures=NEURAL_BUCKETS, inputCol="tokens", outputCol="tf"),
         FT.IDF(inputCol="tf", outputCol="features"),
     ]
     features = Pipeline(stages=steps).fit(data.filter("split = 'train'"))
     vectors = durable(
-        features.transform(data).select("CommentID", "split", F.col("label_id").cast("double").alias("label"), "features"),
-        "features",
+        features.transform(data).select("split", F.col("label_id").cast("double").alias("label"), "features"), "features"
+    )
+    model = L.neural_network([NEURAL_BUCKETS, 32, 3]).fit(vectors.filter("split = 'train'"))
+    found = model.transform(vectors.filter("split <> 'train'"))
+    return found.groupBy(F.get(names, F.col("label").cast("int")).alias("Sentiment"), "split").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("prediction").isin(0.0, 1.0, 2.0)).alias("n_classed")
     )
-    model = L.neural_network([256, 32, 3], max_iter=40).fit(vectors.filter("split = 'train'"))
-    return model.transform(vectors.filter("split <> 'train'")).select("CommentID", "split", "label", "prediction")
 
 
 @query("map_lookup", """

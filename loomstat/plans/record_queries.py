@@ -56,10 +56,10 @@ SELECT p.id, coalesce(a.n, 0) AS n_authors, coalesce(r.n, 0) AS n_refs FROM p_pa
 LEFT JOIN (SELECT paper_id, count(*) AS n FROM p_author GROUP BY paper_id) a ON p.id = a.paper_id
 LEFT JOIN (SELECT paper_id, count(*) AS n FROM p_ref GROUP BY paper_id) r ON p.id = r.paper_id""")
 def array_size_default(t):
-    sizes = t.nested_papers.select(
-        "id", size_of(F.col("authors")).alias("n_authors"), size_of(F.col("references")).alias("n_refs")
+    return t.nested_papers.select(
+        "id", size_of(F.col("authors")).cast("bigint").alias("n_authors"),
+        size_of(F.col("references")).cast("bigint").alias("n_refs"),
     )
-    return sizes.groupBy("id").agg(*[F.sum(c).alias(c) for c in ("n_authors", "n_refs")])
 
 
 @query("explode_nested", """

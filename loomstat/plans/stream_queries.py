@@ -24,10 +24,12 @@ def envelopes(t):
     return E.encode_messages(t.view("messages"), fetched_at=fetched)
 
 
-def stored_envelopes(t, files: int = 4) -> str:
-    """A folder of envelope files, enough of them for several micro-batches."""
+def stored_envelopes(t, rows: int = 200_000) -> str:
+    """A folder of envelope files of bounded size, two of them at least, for several micro-batches."""
     path = new_path(t.spark, "envelopes")
-    envelopes(t).repartition(files).write.parquet(path)
+    stored = durable(envelopes(t), "envelopes")
+    for part in (F.xxhash64("key") > 0, F.xxhash64("key") <= 0):
+        stored.filter(part).write.option("maxRecordsPerFile", rows).mode("append").parquet(path)
     return path
 
 
@@ -47,6 +49,13 @@ def scored_table(t) -> KeyedTable:
     return KeyedTable(t.spark, new_path(t.spark, "scored"), SCORED_SCHEMA)
 
 
+def stored_scores(t) -> KeyedTable:
+    """The keyed table after all messages were scored and stored."""
+    table = scored_table(t)
+    table.upsert(rule_score(t.view("messages")), run="a", batch_id=0)
+    return table
+
+
 RULE = r"""
 clean_messages AS (SELECT *, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower(coalesce(text, '')),
   'https?://\S+|www\.\S+', ' ', 'g'), '@[\p{L}\p{N}_]+', ' ', 'g'), '[^\p{L}\p{N}_\s]', ' ', 'g'), '\s+', ' ', 'g')) AS words FROM messages),
@@ -90,16 +99,21 @@ SELECT s.video_id, count(f.comment_id) AS n_taken,
   coalesce(max(f.published_at), CASE WHEN s.video_id IN ({OLD_SOURCES}) THEN '{MARK}' ELSE '{FETCHED}' END) AS last_fetched_time
 FROM sources s LEFT JOIN fresh f ON s.video_id = f.video_id GROUP BY s.video_id""")
 def incremental_ingest(t):
-    """Marks and rows taken per source, from a state that knows four of the sources and one source without rows."""
+    """Two rounds through the stored state: rows of four sources up to a mark, then all rows of all sources and one
+    source without any. Rows that the second round takes and the marks it leaves."""
     messages = t.view("messages")
-    sources = messages.select("video_id").distinct()
-    state = sources.filter(f"video_id IN ({OLD_SOURCES})").select(
-        "video_id", F.lit(MARK).alias("last_fetched_time"), F.lit(True).alias("first_run_completed"),
-        F.lit(MARK).alias("updated_at"),
-    )
-    tracked = sources.union(t.spark.sql("SELECT 'v-empty'"))
-    batch = durable(I.new_rows(messages, state), "ingest")
-    after = I.next_state(batch, state, tracked, now=F.to_timestamp(F.lit(FETCHED)))
+    folder = new_path(t.spark, "ingest")
+    old = messages.filter(f"video_id IN ({OLD_SOURCES})")
+    first = old.filter(F.col("published_at") < MARK).union(old.select("video_id").distinct().select(
+        F.lit("at-mark").alias("comment_id"), "video_id", *[F.lit(None).cast("string").alias(c) for c in ("text", "author")],
+        F.lit(MARK).alias("published_at"), F.lit(FETCHED).alias("fetched_at"), F.lit("fixture").alias("source"),
+    ).select(*messages.columns))
+    now = F.to_timestamp(F.lit(FETCHED))
+    I.ingest(first, old.select("video_id").distinct(), folder, now=now)
+    tracked = messages.select("video_id").distinct().union(t.spark.sql("SELECT 'v-empty'"))
+    path = I.ingest(messages, tracked, folder, now=now)
+    batch = t.spark.read.schema(messages.schema).parquet(path)
+    after = t.spark.read.schema(I.STATE_SCHEMA).parquet(f"{folder}/state/round=1")
     taken = batch.groupBy("video_id").agg(F.count(F.lit(1)).alias("n_taken"))
     return after.join(taken, "video_id", "left").fillna(0, ["n_taken"]).select("video_id", "n_taken", "last_fetched_time")
 
@@ -112,11 +126,11 @@ def sink_upsert_keyed(t):
     """All messages, then a second batch that edits some; the second is written twice, as after a failure."""
     table = scored_table(t)
     scored = rule_score(t.view("messages"))
-    table.upsert(scored.unionAll(scored), run="000001-a", batch_id=0)
+    table.upsert(scored.unionAll(scored), run="a", batch_id=0)
     edited = scored.filter("video_id IN ('v0', 'v1', 'v2')").withColumn("author", F.lit("edited"))
     for _ in range(2):
-        table.upsert(edited, run="000001-a", batch_id=1)
-    counters = table.counters(run="000001-a", batch_id=1)
+        table.upsert(edited, run="a", batch_id=1)
+    counters = table.counters(run="a", batch_id=1)
     return table.read().select("comment_id", "video_id", "author").crossJoin(F.broadcast(counters))
 
 
@@ -124,7 +138,7 @@ def sink_upsert_keyed(t):
 WITH {RULE} SELECT comment_id, video_id, predicted_sentiment, published_at AS scored_at FROM scored
 ORDER BY published_at DESC, comment_id LIMIT 200""")
 def scored_inspect(t):
-    newest = rule_score(t.view("messages")).orderBy(F.desc("scored_at"), "comment_id").limit(200)
+    newest = stored_scores(t).read().orderBy(F.desc("scored_at"), "comment_id").limit(200)
     return newest.select(
         "comment_id", "video_id", "predicted_sentiment", F.col("published_at").alias("scored_at")
     )
@@ -134,7 +148,8 @@ def scored_inspect(t):
 WITH {RULE} SELECT predicted_sentiment, count(*) AS n, CAST(sum(count(*)) OVER () AS BIGINT) AS total FROM scored
 GROUP BY predicted_sentiment""")
 def prediction_distribution(t):
-    counts = rule_score(t.view("messages")).groupBy("predicted_sentiment").agg(F.count(F.lit(1)).alias("n"))
+    counts = stored_scores(t).read().groupBy("predicted_sentiment").agg(F.count(F.lit(1)).alias("n"))
+    counts = durable(counts, "counts")  # a row per class
     return counts.crossJoin(F.broadcast(counts.agg(F.sum("n").alias("total"))))
 
 

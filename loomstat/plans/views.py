@@ -54,7 +54,7 @@ SELECT DISTINCT CAST(src AS STRING) AS paper_id, CAST(dst AS STRING) AS ref_id F
 WHERE dst IS NOT NULL""",
     "copurchase": """
 SELECT DISTINCT CAST(o.o_custkey AS STRING) AS author_id, CAST(l.l_partkey AS STRING) AS paper_id
-FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey WHERE l.l_quantity >= 25""",
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey""",
     "messages": """
 SELECT concat(conv_id, ':', turn) AS comment_id, concat('v', conv_id % 10) AS video_id, text, role AS author,
   concat('2026-06-02T', lpad(CAST(conv_id % 24 AS STRING), 2, '0'), ':', lpad(CAST(turn % 60 AS STRING), 2, '0'), ':00Z') AS published_at,
@@ -142,10 +142,11 @@ WHERE paper_id IN (SELECT id FROM papers) AND ref_id IN (SELECT id FROM papers)"
     "cited": "SELECT dst AS id, count(*) AS n FROM cites GROUP BY dst",
     "core_papers": f"SELECT id FROM paper_vertices WHERE primary_field IN ({FIELD_LIST})",
     "scope_edges": """
-SELECT * FROM edges WHERE src IN (SELECT id FROM core_papers) OR dst IN (SELECT id FROM core_papers)""",
+SELECT e.* FROM edges e LEFT JOIN core_papers s ON e.src = s.id LEFT JOIN core_papers d ON e.dst = d.id
+WHERE s.id IS NOT NULL OR d.id IS NOT NULL""",
     "scope_vertices": """
-SELECT v.*, v.id IN (SELECT id FROM core_papers) AS is_core FROM vertices v
-WHERE v.id IN (SELECT src FROM scope_edges UNION SELECT dst FROM scope_edges)""",
+SELECT v.*, c.id IS NOT NULL AS is_core FROM vertices v
+JOIN (SELECT src AS id FROM scope_edges UNION SELECT dst FROM scope_edges) e ON v.id = e.id LEFT JOIN core_papers c ON v.id = c.id""",
     "scope_cites": "SELECT * FROM scope_edges WHERE rel_type = 'cites'",
     "coauthors": """
 SELECT a.author_id AS a, b.author_id AS b, count(*) AS shared FROM copurchase a
@@ -172,7 +173,10 @@ def with_views(sql: str) -> str:
     _needed(body, found)
     if not found:
         return body
-    ctes = ",\n".join(f"{name} AS ({ALL_VIEWS[name].strip()})" for name in found)
+    # Views that build on others are worked out once, however often a query names them.
+    ctes = ",\n".join(
+        f"{name} AS {'MATERIALIZED ' if name in DUCKDB_VIEWS else ''}({ALL_VIEWS[name].strip()})" for name in found
+    )
     match = re.match(r"WITH\s+(RECURSIVE\s+)?", body, re.IGNORECASE)
     if match:
         return f"WITH {'RECURSIVE ' if match.group(1) else ''}{ctes},\n{body[match.end():]}"

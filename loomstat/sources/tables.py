@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,30 +21,34 @@ def scan_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def balanced(df: DataFrame) -> DataFrame:
-    """``df`` over all cores if its files split into fewer tasks than there are cores, untouched otherwise.
-
-    Only an input too small to occupy the cores is moved, so what is moved stays below one split per core.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def scan_json_lines(spark: SparkSession, path: str, schema: str = PAPER_SCHEMA) -> DataFrame:
     """Splittable JSON Lines under a declared schema; a malformed line gives a row of nulls."""
     return spark.read.schema(schema).option("mode", "PERMISSIVE").json(path)
 
 
 def scan_json_array(spark: SparkSession, path: str, schema: str = PAPER_SCHEMA) -> DataFrame:
-    """Records of one top-level JSON array written with one record per line; lines are parsed in parallel.
+    """Records of top-level JSON arrays in any layout, one array per file.
 
-    Brackets and separating commas are stripped from each line; an array without such line breaks has to be read
-    with Spark's ``multiLine`` reader, which cannot split a file.
+    If every line holds whole records, one or several, lines are parsed in parallel. A first pass finds out; if any
+    line does not, as in a pretty-printed file, files are read by Spark's ``multiLine`` reader, one task per file. A
+    malformed array stops the job, so no record is lost in silence.
     """
-    line = F.regexp_replace(F.trim("value"), r"^[\[,]\s*|\s*[,\]]+$", "")
-    record = F.regexp_extract("line", r"^(\{.*\})", 1)
-    lines = spark.read.text(path).select(line.alias("line")).filter(F.col("line").startswith("{"))
-    return lines.select(F.from_json(record, schema).alias("r")).select("r.*")
+    body = F.regexp_replace("value", r"^\s*[\[,]?\s*|\s*[,\]]?\s*$", "")
+    # A line of brackets and commas only has no record.
+    lines = spark.read.text(path).select(F.regexp_replace(body, r"^\s*\]?\s*$", "").alias("body")).filter("body <> ''")
+    array = F.concat(F.lit("["), F.col("body"), F.lit("]"))
+    depth = F.from_json(array, "array<string>", {"mode": "PERMISSIVE"})
+    whole = F.col("body").startswith("{") & F.col("body").endswith("}") & depth.isNotNull() & F.forall(
+        F.coalesce(depth, F.array()), lambda record: record.startswith("{"))
+    if not lines.filter(~F.coalesce(whole, F.lit(False))).isEmpty():
+        return spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST").json(path)
+    entry = f"array<struct<{', '.join(f'{f.name}: {f.dataType.simpleString()}' for f in _fields(schema))}>>"
+    records = F.from_json(array, entry, {"mode": "FAILFAST"})
+    return lines.select(F.explode(records).alias("r")).select("r.*")
+
+
+def _fields(schema: str) -> list[T.StructField]:
+    return T.StructType.fromDDL(schema).fields
 
 
 def json_array_to_lines(spark: SparkSession, source: str, target: str, schema: str = PAPER_SCHEMA) -> DataFrame:
@@ -53,9 +58,19 @@ def json_array_to_lines(spark: SparkSession, source: str, target: str, schema: s
 
 
 def write_json_array(records: DataFrame, path: str) -> None:
-    """JSON array text with one record per line, a bracket pair per part file; for fixtures and exports."""
-    body = records.select(F.concat(F.to_json(F.struct(*records.columns)), F.lit(",")).alias("value"))
-    body.write.text(path)
+    """A JSON array per part file, one record per line."""
+
+    def arrays(batches):
+        opened = False
+        for batch in batches:
+            values = batch.column("value").to_pylist()
+            lines = [("," if opened or i else "[") + value for i, value in enumerate(values)]
+            opened = opened or bool(values)
+            yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], ["value"])
+        yield pa.RecordBatch.from_arrays([pa.array(["]" if opened else "[]"])], ["value"])
+
+    texts = records.select(F.to_json(F.struct(*records.columns)).alias("value"))
+    texts.mapInArrow(arrays, "value string").write.text(path)
 
 
 def write_once(df: DataFrame, path: str) -> DataFrame:

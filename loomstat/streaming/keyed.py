@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import hashlib
+import time
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,9 +16,11 @@ from pyspark.sql import types as T
 class KeyedTable:
     """Replace-or-insert by key without rewriting what is already stored.
 
-    Each batch is one folder ``run=<n>-<id>/batch=<m>`` and writing the same batch again replaces its folder, so a
-    repeated micro-batch changes nothing. A write costs what the batch costs, however large the table has grown;
-    ``compact`` folds the batches into one table when reads get slow.
+    Each batch is one folder ``run=<id>/batch=<n>/commit=<time>``; of rows with one key the latest commit wins, whichever
+    stream wrote it. A batch that is written again after a failure adds a folder of the same content, so it changes
+    nothing. Spark's writer puts a folder's files in place when all of them are complete, so a reader sees a batch
+    whole or not at all, and nothing is overwritten. A write costs what the batch costs, however large the table has
+    grown; ``compacted`` folds the batches into one table when reads get slow.
     """
 
     spark: SparkSession
@@ -25,20 +29,10 @@ class KeyedTable:
     keys: tuple[str, ...] = ("comment_id", "video_id")
     newest_first: tuple[str, ...] = field(default=("fetched_at", "published_at"))
 
-    def _files(self):
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
-
-    def run_for(self, checkpoint: str) -> str:
-        """Name of the run that belongs to a checkpoint: the same after a restart, a later one for a new checkpoint."""
-        files, path = self._files()
-        mark = hashlib.md5(checkpoint.encode()).hexdigest()[:8]
-        names = [s.getPath().getName() for s in files.listStatus(path)] if files.exists(path) else []
-        runs = sorted(name[4:] for name in names if name.startswith("run="))
-        for run in runs:
-            if run.endswith(mark):
-                return run
-        return f"{len(runs) + 1:06d}-{mark}"
+    @staticmethod
+    def run_for(checkpoint: str) -> str:
+        """Name of the run that belongs to a checkpoint, the same after a restart."""
+        return hashlib.md5(checkpoint.encode()).hexdigest()[:12]
 
     def latest(self, rows: DataFrame, order: list[Column]) -> DataFrame:
         """One row per key, the greatest by ``order``; combined before the shuffle, so copies of a key are cheap."""
@@ -52,33 +46,41 @@ class KeyedTable:
         return T.StructType.fromDDL(self.schema).names
 
     def _stored(self) -> DataFrame:
-        files, path = self._files()
-        full = f"{self.schema}, run string, batch bigint"
-        if not files.exists(path):
+        full = f"{self.schema}, run string, batch bigint, commit bigint"
+        try:
+            return self.spark.read.schema(full).parquet(self.path)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
             return self.spark.createDataFrame([], full)
-        return self.spark.read.schema(full).parquet(self.path)
 
     def read(self) -> DataFrame:
-        return self.latest(self._stored(), [F.col("run"), F.col("batch")])
+        return self.latest(self._stored(), [F.col("commit"), F.col("run"), F.col("batch")])
 
-    def upsert(self, batch: DataFrame, *, run: str, batch_id: int) -> None:
-        """Store a batch; of several rows with one key the newest is kept."""
+    def upsert(self, batch: DataFrame, *, run: str, batch_id: int, commit: int | None = None) -> int:
+        """Store a batch; of several rows with one key the newest is kept. Returns the commit time, in microseconds."""
+        commit = time.time_ns() // 1000 if commit is None else commit
         newest = self.latest(batch.select(*self.columns), [F.col(c) for c in self.newest_first])
-        newest.write.mode("overwrite").parquet(f"{self.path}/run={run}/batch={batch_id}")
+        newest.write.mode("overwrite").parquet(f"{self.path}/run={run}/batch={batch_id}/commit={commit}")
+        return commit
 
     def counters(self, *, run: str, batch_id: int) -> DataFrame:
         """One row on a stored batch against the table before it: rows matched, modified and inserted.
 
-        Reads only rows of the batch's keys past the semi-join; still a pass over the table, so it is left out of
-        the stream loop unless asked for.
+        Reads only rows of the batch's keys past the semi-join; still a pass over the table, so a stream counts only
+        if asked to. A batch that was written again counts against what was there before its first commit.
         """
-        position = F.struct("run", "batch")
-        here = F.struct(F.lit(run).alias("run"), F.lit(batch_id).cast("bigint").alias("batch"))
         stored = self._stored()
-        batch = stored.filter((F.col("run") == run) & (F.col("batch") == batch_id))
-        before = stored.filter(position < here).join(batch.select(*self.keys), list(self.keys), "left_semi")
+        own = stored.filter((F.col("run") == run) & (F.col("batch") == batch_id))
+        began = own.agg(F.min("commit").alias("began"))
+        batch = self.latest(own, [F.col("commit")])
+        before = stored.filter((F.col("run") != run) | (F.col("batch") != batch_id))
+        # One row, the time the batch was first stored.
+        before = before.crossJoin(F.broadcast(began)).filter(F.col("commit") < F.col("began"))
+        before = before.join(batch.select(*self.keys), list(self.keys), "left_semi")
         rest = [c for c in self.columns if c not in self.keys]
-        old = self.latest(before, [F.col("run"), F.col("batch")]).select(*self.keys, F.struct(*rest).alias("old"))
+        old = self.latest(before, [F.col("commit"), F.col("run"), F.col("batch")])
+        old = old.select(*self.keys, F.struct(*rest).alias("old"))
         both = batch.select(*self.keys, F.struct(*rest).alias("new")).join(old, list(self.keys), "left")
         known = F.col("old").isNotNull()
         return both.agg(
@@ -87,8 +89,8 @@ class KeyedTable:
             F.count_if(~known).alias("upserted"),
         )
 
-    def compact(self, target: str) -> "KeyedTable":
-        """A new table at ``target`` that holds only the newest rows, as its first batch."""
+    def compacted(self, target: str) -> "KeyedTable":
+        """A new table at ``target`` that holds only the newest rows, as a batch older than all that follow."""
         table = KeyedTable(self.spark, target, self.schema, self.keys, self.newest_first)
-        self.read().write.parquet(f"{target}/run=000000-compact/batch=0")
+        self.read().write.parquet(f"{target}/run=compacted/batch=0/commit=0")
         return table

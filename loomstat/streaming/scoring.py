@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from loomstat.sources.messages import PAYLOAD_SCHEMA, parse_envelope
@@ -20,28 +21,40 @@ MONITOR_SECONDS = 3600
 Scorer = Callable[[DataFrame], DataFrame]
 
 
-def batch_writer(score: Scorer, table: KeyedTable, run: str) -> Callable[[DataFrame, int], None]:
-    """The work on one micro-batch: parse, score, store. Nothing of the batch passes through the driver."""
+def batch_writer(
+    score: Scorer, table: KeyedTable, run: str, counters: str | None = None
+) -> Callable[[DataFrame, int], None]:
+    """The work on one micro-batch: parse, score, store. Nothing of the batch passes through the driver.
+
+    Messages without an id are stored too, under the null key. With ``counters``, a folder, each batch also leaves a
+    row of what it matched, modified and inserted and how many of its messages had no id.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        messages = parse_envelope(batch).filter("comment_id IS NOT NULL")
+        messages = parse_envelope(batch)
         table.upsert(score(messages), run=run, batch_id=batch_id)
+        if counters is not None:
+            unnamed = messages.agg(F.count_if(F.col("comment_id").isNull()).alias("without_id"))
+            # Two aggregates of one row each.
+            row = table.counters(run=run, batch_id=batch_id).crossJoin(F.broadcast(unnamed))
+            row.write.mode("overwrite").parquet(f"{counters}/run={run}/batch={batch_id}")
 
     return write
 
 
 def start_scoring(
     stream: DataFrame, score: Scorer, table: KeyedTable, checkpoint: str, *, available_now: bool = False,
-    trigger_seconds: int = TRIGGER_SECONDS,
+    trigger_seconds: int = TRIGGER_SECONDS, counters: str | None = None,
 ) -> StreamingQuery:
     """Start scoring ``stream`` into ``table``.
 
     Micro-batches are replayed after a failure with the same number, and a batch number names the folder it writes,
-    so every key ends up stored once. ``available_now`` takes what is there and stops.
+    so every key ends up stored once. ``available_now`` takes what is there and stops. ``counters`` names a folder for
+    the counts of each batch, which cost a pass over the table.
     """
-    writer = stream.writeStream.foreachBatch(batch_writer(score, table, table.run_for(checkpoint)))
+    writer = stream.writeStream.foreachBatch(batch_writer(score, table, table.run_for(checkpoint), counters))
     writer = writer.outputMode("append").option("checkpointLocation", checkpoint)
     if available_now:
         return writer.trigger(availableNow=True).start()

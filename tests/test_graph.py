@@ -251,3 +251,13 @@ def test_salted_lookup_equals_plain_join(spark):
     for how in ("left", "inner"):
         salted = skew.salted_lookup(big, lookup, "k", spread="v", how=how, salting=salting)
         assert sorted(map(tuple, salted.collect()), key=str) == sorted(map(tuple, big.join(lookup, "k", how).collect()), key=str)
+
+
+def test_pairs_of_two_hubs_are_made_in_blocks(spark):
+    """Items that share two hubs: every pair counts, and no block pairs up more than its size."""
+    rows = [(f"i{i:03}", hub) for i in range(60) for hub in ("h1", "h2")] + [("i000", "x"), ("i001", "x")]
+    frame = spark.createDataFrame(rows, "item string, context string")
+    found = {(r.a, r.b): r.shared for r in overlap.shared_pairs(frame, item="item", context="context", block=7).collect()}
+    want = {(f"i{i:03}", f"i{j:03}"): 2 for i in range(60) for j in range(i + 1, 60)}
+    want["i000", "i001"] = 3
+    assert found == want
