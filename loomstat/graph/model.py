@@ -101,9 +101,9 @@ class PropertyGraph:
     ) -> DataFrame:
         """Rows that match a chain of edges, one struct column per named vertex and edge.
 
-        ``legs`` is a pattern such as ``(c)-[e1]->(a); (c)-[e2]->(b)`` or lists (from, edge, to) names, ``where`` a condition on the edge columns per edge name; conditions
-        are applied to each edge scan before any join. Every leg after the first must share a vertex with an
-        earlier one.
+        ``legs`` is a pattern such as ``(c)-[e1]->(a); (c)-[e2]->(b)`` or lists (from, edge, to) names, ``where`` a
+        condition on the edge columns per edge name; conditions are applied to each edge scan before any join. Every
+        leg after the first must share a vertex with an earlier one.
         """
         legs = motif_legs(legs) if isinstance(legs, str) else legs
         where = where or {}
