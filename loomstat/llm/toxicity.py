@@ -1,9 +1,10 @@
 """Toxicity: a lexicon trie met by Levenshtein automata, and scores of the words around each hit.
 
 The lexicon is learnt from labelled documents: whole words, and beginnings of words, that are far more frequent in toxic
-ones. It becomes a trie. A word is looked up by walking the trie and the word's Levenshtein automaton together: a trie
+ones. Both become tries; a word may go on after a beginning. A word is looked up by walking the trie and the word's Levenshtein automaton together: a trie
 branch is left as soon as the automaton has no live state there, so misspelled terms are found without listing
-spellings. Words that share neither half with a term cannot be in reach and are passed over. Around each hit the words
+spellings. Words that share no piece with a term cannot be in reach and are passed over; words near a term that clean
+labelled documents use are no misspellings. Around each hit the words
 of a window say whether it is quoted or meant; their weights are learnt from hits in toxic and in clean documents. A
 logistic model of what the hits of a document add up to gives its score.
 
@@ -15,7 +16,7 @@ from __future__ import annotations
 
 import math
 from collections import Counter
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
@@ -30,12 +31,14 @@ from loomstat.llm.labelled import labelled_sample
 TERM_ODDS, TERM_SHARE, TERM_DOCS = 2.0, 0.002, 5
 # Beginnings of words that can be terms; whole words are terms from the least length on.
 PREFIXES, LEAST = (4, 5, 6), 3
-# Log odds by which a longer term must be better than a beginning of it.
+# Log odds by which a longer beginning must be better than a shorter one.
 COVERED = 1.0
 # Share of a beginning's documents that one word may account for.
 ONE_WORD = 0.7
 # Words shorter than this match exactly only; longer ones may differ in one sign.
 FUZZY = 5
+# Clean labelled documents that make a word near a term a word of its own.
+CLEAN_DOCS = 2
 WINDOW = 5
 CONTEXT_DOCS = 10
 QUOTES = ('"', "'", "“", "”", "«", "»", "„", "‘", "’", "&quot;")
@@ -62,31 +65,43 @@ def terms_of(word: str) -> list[tuple[int, str]]:
 
 
 class Trie:
-    """Terms by their signs; ``find`` runs a word's Levenshtein automaton over them."""
+    """Terms by their signs; ``find`` runs a word's Levenshtein automaton over them.
 
-    def __init__(self, terms: dict[str, float], distance: int = 1):
-        self.distance = distance
+    With ``swaps`` two neighbours in the wrong order are one edit; with ``prefix`` a word may go on after the term.
+    """
+
+    def __init__(self, terms: dict[str, float], distance: int = 1, *, swaps: bool = False, prefix: bool = False):
+        self.distance, self.swaps, self.prefix = distance, swaps, prefix
         self.root: dict = {}
-        self.heads, self.tails = set(), set()
+        self.pieces: set = set()
+        self.cuts: dict[int, set] = {}
         for term, weight in terms.items():
             node = self.root
             for sign in term:
                 node = node.setdefault(sign, {})
             node[""] = (term, weight)
-            # One edit leaves one of the two halves as it is and changes the length by one at most.
-            half = len(term) // 2
-            for size in (len(term) - 1, len(term), len(term) + 1):
-                self.heads.add((size, term[:half]))
-                self.tails.add((size, term[half:]))
-        self.head_sizes = sorted({len(h) for _, h in self.heads})
-        self.tail_sizes = sorted({len(t) for _, t in self.tails})
+            self._add_pieces(term)
+
+    def _add_pieces(self, term: str) -> None:
+        """Of ``distance`` + 1 pieces one stays as it is, and moves by ``distance`` at most. Only a swap across a border
+        changes two of them, so the term is also entered with its borders swapped."""
+        d = self.distance
+        borders = [len(term) * i // (d + 1) for i in range(d + 2)]
+        forms = {term}
+        if self.swaps:
+            for at in borders[1:-1]:
+                if 0 < at < len(term):
+                    forms |= {f[:at - 1] + f[at] + f[at - 1] + f[at + 1:] for f in forms}
+        for size in [0] if self.prefix else range(max(0, len(term) - d), len(term) + d + 1):
+            cuts = self.cuts.setdefault(size, set())
+            for begin, end in zip(borders, borders[1:]):
+                for at in range(max(0, begin - d), begin + d + 1):
+                    cuts.add((at, end - begin))
+                    self.pieces.update((size, at, form[begin:end]) for form in forms)
 
     def in_reach(self, word: str) -> bool:
-        if self.distance != 1:
-            return True
-        size, heads, tails = len(word), self.heads, self.tails
-        return any((size, word[:n]) in heads for n in self.head_sizes) or any(
-            (size, word[-n:]) in tails for n in self.tail_sizes)
+        size, pieces = 0 if self.prefix else len(word), self.pieces
+        return any((size, at, word[at:at + n]) in pieces for at, n in self.cuts.get(size, ()))
 
     def find(self, word: str) -> list[tuple[str, float, int]]:
         """``(term, weight, edits)`` of all terms within the distance.
@@ -96,6 +111,13 @@ class Trie:
         if not self.in_reach(word):
             return []
         size, found = len(word), {}
+
+        def accept(node, left):
+            term, weight = node[""]
+            edits = self.distance - left
+            if edits < found.get(term, (0, self.distance + 1))[1]:
+                found[term] = (weight, edits)
+
         stack, seen = [(self.root, 0, self.distance)], set()
         while stack:
             node, i, left = stack.pop()
@@ -112,24 +134,26 @@ class Trie:
                     stack.append((node, i + 1, left - 1))
                     if (child := node.get(word[i])) is not None:
                         stack.append((child, i + 1, left))
+                    if self.swaps and i + 1 < size and (child := node.get(word[i + 1], {}).get(word[i])) is not None:
+                        stack.append((child, i + 2, left - 1))
             else:
                 while i < size and node is not None:
+                    if self.prefix and "" in node:
+                        accept(node, left)
                     node = node.get(word[i])
                     i += 1
-            if i == size and node is not None and "" in node:
-                term, weight = node[""]
-                edits = self.distance - left
-                if edits < found.get(term, (0, self.distance + 1))[1]:
-                    found[term] = (weight, edits)
+            if (i == size or self.prefix) and node is not None and "" in node:
+                accept(node, left)
         return [(term, weight, edits) for term, (weight, edits) in found.items()]
 
 
 class Lexicon:
-    """Whole words in a trie, beginnings in a table; remembers the words it has looked up."""
+    """Whole words and beginnings in tries; remembers the words it has looked up."""
 
-    def __init__(self, whole: dict[str, float], beginnings: dict[str, float]):
-        self.whole, self.beginnings = whole, beginnings
+    def __init__(self, whole: dict[str, float], beginnings: dict[str, float], clean: frozenset = frozenset()):
+        self.whole, self.beginnings, self.clean = whole, beginnings, clean
         self.trie = Trie({t: w for t, w in whole.items() if len(t) >= FUZZY})
+        self.starts = Trie({t: w for t, w in beginnings.items() if len(t) >= FUZZY}, prefix=True)
         self.known: dict[str, tuple | None] = {}
 
     def look(self, word: str) -> tuple[float, int] | None:
@@ -137,12 +161,15 @@ class Lexicon:
         weight = self.whole.get(word)
         if weight is not None:
             return weight, 0
-        if len(word) >= FUZZY:
-            found = self.trie.find(word)
-            if found:
-                return max(w for _, w, _ in found), 1
+        fuzzy = len(word) >= FUZZY and word not in self.clean
+        if fuzzy and (found := self.trie.find(word)):
+            return max(w for _, w, _ in found), 1
         found = [w for n in PREFIXES if (w := self.beginnings.get(word[:n])) is not None and len(word) >= n]
-        return (max(found), 2) if found else None
+        if found:
+            return max(found), 2
+        if fuzzy and (found := self.starts.find(word)):
+            return max(w for _, w, _ in found), 1
+        return None
 
     def hits(self, words: list[str]) -> list[tuple[int, float, int]]:
         """``(position, weight, kind)`` of the words that are terms."""
@@ -178,11 +205,12 @@ class ToxicityModel:
 
     whole: dict[str, float] = field(default_factory=dict)
     beginnings: dict[str, float] = field(default_factory=dict)
+    clean: frozenset = frozenset()  # words near a term that labelled documents have as words of their own
     context: dict[str, float] = field(default_factory=dict)
     weights: np.ndarray = field(default_factory=lambda: np.zeros(WIDTH))
 
     def lexicon(self) -> Lexicon:
-        return Lexicon(self.whole, self.beginnings)
+        return Lexicon(self.whole, self.beginnings, self.clean)
 
     def window_score(self, words: list[str], position: int) -> float:
         """Above 0: the words around speak for abuse, below: for quotation or chance."""
@@ -260,8 +288,8 @@ def _count(rows: DataFrame, entries, flush: int = 200_000) -> DataFrame:
 
 
 def _take(model: ToxicityModel, rows: list) -> None:
-    """Put terms into the lexicon: a beginning only where no single word makes most of it, a word or a longer beginning
-    only where no beginning in the lexicon speaks for it nearly as well."""
+    """Put terms into the lexicon: all words, a beginning only where no single word makes most of it, a longer beginning
+    only where no shorter one in the lexicon speaks for it nearly as well."""
     most: dict[str, int] = {}
     for row in rows:
         if row.kind == WHOLE:
@@ -273,8 +301,7 @@ def _take(model: ToxicityModel, rows: list) -> None:
 
     for row in sorted(rows, key=lambda r: (r.kind == WHOLE, len(r.entry), r.entry)):
         if row.kind == WHOLE:
-            if not covered(row):
-                model.whole[row.entry] = row.odds
+            model.whole[row.entry] = row.odds
         elif most.get(row.entry, 0) < ONE_WORD * row.toxic and not covered(row):
             model.beginnings[row.entry] = row.odds
 
@@ -324,6 +351,14 @@ def fit(labelled: DataFrame) -> ToxicityModel:
     strong = _count(labelled, terms).filter((F.col("toxic") >= support) & (odds >= TERM_ODDS))
     _take(model, strong.select("kind", "entry", odds.alias("odds"), "toxic").collect())
 
+    def near(text):
+        known = _lexicon(model)
+        return {(WHOLE, w) for w in {bare(w) for w in words_of(text)} if (hit := known.look(w)) is not None and hit[1] == 1}
+
+    # What clean documents use again and again is not a misspelling, unless toxic ones use it far more.
+    own = _count(labelled, near).filter((F.col("clean") >= CLEAN_DOCS) & (odds < TERM_ODDS)).select("entry")
+    model = replace(model, clean=frozenset(r.entry for r in own.collect()))
+
     def contexts(text):
         words = words_of(text)
         return {(0, c) for i, _, _ in _lexicon(model).hits(words) for c in context_of(words, i)}

@@ -80,3 +80,29 @@ def test_query(spark):
     out = op10_toxicity(spark, SF_DIR)
     assert out.columns == ["doc_id", "held_out", "score", "predicted"]
     assert out.count() == spark.read.parquet(f"{SF_DIR}/documents.parquet").count()
+
+
+def test_families_of_words_keep_their_misspellings():
+    """Words that a beginning explains stay terms, and beginnings are met with an edit too."""
+    from types import SimpleNamespace as Row
+
+    model = tox.ToxicityModel()
+    family = [("blorkig", 30), ("blorkigs", 30), ("blorkigic", 30)]
+    rows = [Row(kind=tox.WHOLE, entry=w, odds=4.0, toxic=n) for w, n in family]
+    tox._take(model, rows + [Row(kind=tox.BEGINNING, entry="blork", odds=4.0, toxic=90)])
+    lexicon = model.lexicon()
+    assert set(model.whole) == {w for w, _ in family} and set(model.beginnings) == {"blork"}
+    for word in ("blorkg", "blorrkig", "bloorkigs", "blurkery", "blrkish"):
+        assert lexicon.look(word) == (4.0, 1), word
+    assert lexicon.look("blorkery") == (4.0, 2)
+    assert lexicon.look("bxorxery") is None
+
+
+def test_prefix_automaton_finds_beginnings():
+    rnd = random.Random(7)
+    terms = {"".join(rnd.choice("abcd") for _ in range(rnd.randint(4, 6))): 1.0 for _ in range(12)}
+    trie = tox.Trie(terms, prefix=True)
+    for _ in range(1500):
+        word = "".join(rnd.choice("abcd") for _ in range(rnd.randint(0, 9)))
+        want = {(t, e) for t in terms if (e := min(edits(word[:n], t) for n in range(len(word) + 1))) <= 1}
+        assert {(t, e) for t, _, e in trie.find(word)} == want
