@@ -35,8 +35,9 @@ PREFIXES, LEAST = (4, 5, 6), 3
 COVERED = 1.0
 # Share of a beginning's documents that one word may account for.
 ONE_WORD = 0.7
-# Words shorter than this match exactly only; longer ones may differ in one sign.
-FUZZY = 5
+# Terms shorter than this match exactly only; longer ones may differ by one edit, those from the second length on by
+# two. An edit is a sign put in, left out or replaced, or two neighbours in the wrong order.
+FUZZY, FAR = 4, 8
 # Clean labelled documents that make a word near a term a word of its own.
 CLEAN_DOCS = 2
 WINDOW = 5
@@ -152,8 +153,11 @@ class Lexicon:
 
     def __init__(self, whole: dict[str, float], beginnings: dict[str, float], clean: frozenset = frozenset()):
         self.whole, self.beginnings, self.clean = whole, beginnings, clean
-        self.trie = Trie({t: w for t, w in whole.items() if len(t) >= FUZZY})
-        self.starts = Trie({t: w for t, w in beginnings.items() if len(t) >= FUZZY}, prefix=True)
+        self.tries = [
+            Trie({t: w for t, w in whole.items() if FUZZY <= len(t) < FAR}, 1, swaps=True),
+            Trie({t: w for t, w in whole.items() if len(t) >= FAR}, 2, swaps=True),
+        ]
+        self.starts = Trie({t: w for t, w in beginnings.items() if len(t) >= FUZZY}, 1, swaps=True, prefix=True)
         self.known: dict[str, tuple | None] = {}
 
     def look(self, word: str) -> tuple[float, int] | None:
@@ -161,8 +165,8 @@ class Lexicon:
         weight = self.whole.get(word)
         if weight is not None:
             return weight, 0
-        fuzzy = len(word) >= FUZZY and word not in self.clean
-        if fuzzy and (found := self.trie.find(word)):
+        fuzzy = len(word) >= FUZZY - 1 and word not in self.clean
+        if fuzzy and (found := [hit for trie in self.tries for hit in trie.find(word)]):
             return max(w for _, w, _ in found), 1
         found = [w for n in PREFIXES if (w := self.beginnings.get(word[:n])) is not None and len(word) >= n]
         if found:

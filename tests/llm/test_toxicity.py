@@ -106,3 +106,39 @@ def test_prefix_automaton_finds_beginnings():
         word = "".join(rnd.choice("abcd") for _ in range(rnd.randint(0, 9)))
         want = {(t, e) for t in terms if (e := min(edits(word[:n], t) for n in range(len(word) + 1))) <= 1}
         assert {(t, e) for t, _, e in trie.find(word)} == want
+
+
+def swapped_edits(a, b):
+    """As edits(), but a swap of neighbours that stay together is one."""
+    rows = [list(range(len(b) + 1))]
+    for i, x in enumerate(a, 1):
+        row = [i]
+        for j, y in enumerate(b, 1):
+            row.append(min(rows[i - 1][j] + 1, row[j - 1] + 1, rows[i - 1][j - 1] + (x != y)))
+            if i > 1 and j > 1 and a[i - 1] == b[j - 2] and a[i - 2] == b[j - 1]:
+                row[j] = min(row[j], rows[i - 2][j - 2] + 1)
+        rows.append(row)
+    return rows[-1][-1]
+
+
+def test_automaton_with_swaps():
+    rnd = random.Random(2)
+    terms = {"".join(rnd.choice("abcé") for _ in range(rnd.randint(3, 9))): 1.0 for _ in range(60)}
+    for distance in (1, 2):
+        trie = tox.Trie(terms, distance, swaps=True)
+        for n in range(1500):
+            word = list(rnd.choice(list(terms)) if n % 2 else "".join(rnd.choice("abcé") for _ in range(rnd.randint(0, 10))))
+            for _ in range(distance if len(word) > 1 else 0):
+                at = rnd.randrange(len(word) - 1)
+                word[at:at + 2] = word[at:at + 2][::-1]
+            word = "".join(word)
+            want = {(t, e) for t in terms if (e := swapped_edits(word, t)) <= distance}
+            assert {(t, e) for t, _, e in trie.find(word)} == want
+
+
+def test_planted_swaps_and_short_terms():
+    lexicon = tox.ToxicityModel(whole={"blorkig": 3.0, "wrimthless": 3.0, "scaz": 3.0, "zup": 3.0}).lexicon()
+    for word in ("bolrkig", "blokrig", "wirmthless", "rwimthlses", "wr1mthl3ss", "scvz", "sczaz", "caz", "csaz"):
+        assert lexicon.look(word) == (3.0, 1), word
+    for word in ("bolrkgi", "wr1mthl3zs", "zuup", "zpu"):
+        assert lexicon.look(word) is None, word
