@@ -84,8 +84,9 @@ class Trie:
             self._add_pieces(term)
 
     def _add_pieces(self, term: str) -> None:
-        """Of ``distance`` + 1 pieces one stays as it is, and moves by ``distance`` at most. Only a swap across a border
-        changes two of them, so the term is also entered with its borders swapped."""
+        """Of ``distance`` + 1 pieces one stays as it is, say number i from 0, with i edits before it and the rest of the
+        distance after it at most. Only a swap across a border changes two of them, so the term is also entered with its
+        borders swapped."""
         d = self.distance
         borders = [len(term) * i // (d + 1) for i in range(d + 2)]
         forms = {term}
@@ -95,10 +96,11 @@ class Trie:
                     forms |= {f[:at - 1] + f[at] + f[at - 1] + f[at + 1:] for f in forms}
         for size in [0] if self.prefix else range(max(0, len(term) - d), len(term) + d + 1):
             cuts = self.cuts.setdefault(size, set())
-            for begin, end in zip(borders, borders[1:]):
-                for at in range(max(0, begin - d), begin + d + 1):
-                    cuts.add((at, end - begin))
-                    self.pieces.update((size, at, form[begin:end]) for form in forms)
+            for i, (begin, end) in enumerate(zip(borders, borders[1:])):
+                for move in range(-min(i, begin), i + 1):
+                    if self.prefix or abs(size - len(term) - move) <= d - i:
+                        cuts.add((begin + move, end - begin))
+                        self.pieces.update((size, begin + move, form[begin:end]) for form in forms)
 
     def in_reach(self, word: str) -> bool:
         size, pieces = 0 if self.prefix else len(word), self.pieces
