@@ -8,7 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomstat.llm import decontamination, language_model, line_dedup, quality, quality_rules, quotation, sentencepiece_codec, simhash, toxicity, warc
+from loomstat.llm import (
+    decontamination, language_model, line_dedup, prefix_trie, quality, quality_rules, quotation, sentencepiece_codec, simhash, topk,
+    toxicity, warc, whitening,
+)
 from loomstat.llm.common import durable, read_table
 from loomstat.llm.labelled import fold_of
 
@@ -224,3 +227,53 @@ def op3_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("doc_id"), (fold_of("id") == 1).alias("held_out"), "n_tokens", "n_known",
         F.lit(int(model.total)).cast("bigint").alias("train_tokens"), "base_score", "score",
     )
+
+
+@query("op11_topk_search", """
+WITH v AS (SELECT vec_id, row_number() OVER () AS r, list_transform(embedding, lambda c: floor(256 * CAST(c AS DOUBLE))) AS x
+  FROM embeddings WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+s AS (SELECT q.vec_id AS query_id, q.r, v.vec_id, CAST(list_inner_product(q.x, v.x) AS BIGINT) AS score
+  FROM v q JOIN v ON q.r <> v.r WHERE q.vec_id % 50 = 0)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5
+""")
+def op11_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5, scale=256.0)
+
+
+@query("op12_whitening")
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings"), components=32, scale=64.0, offset=1_000_000)
+
+
+# CRC-32 by its bytes' table, which is made from the polynomial.
+_SQL_CRC = """list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST({id} AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+    lambda a, b: xor(a >> 8, steps[(xor(a, b) & 255) + 1]))"""
+
+
+@query("op13_prefix_trie", f"""
+WITH crc AS (SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, CAST(range(8) AS BIGINT[])),
+    lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END)) AS steps),
+t AS (SELECT conv_id, list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}} ORDER BY turn NULLS FIRST) AS l
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+h AS (SELECT conv_id, l, xor({_SQL_CRC.format(id="conv_id")}, 4294967295) % 9 AS h FROM t, crc),
+c AS (SELECT h.conv_id, list_concat(coalesce(b.l, [])[1:h], h.l[h + 1:]) AS l
+  FROM h LEFT JOIN t b ON b.conv_id = h.conv_id - h.conv_id % 5),
+m AS (SELECT conv_id, unnest(range(len(l) + 1)) AS d, l FROM c),
+n AS (SELECT d, l[1:d] AS p, min(conv_id) AS conv_id, count(*) AS n_convs,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE len(l) = d), '')) AS ends_sha256
+  FROM m GROUP BY ALL),
+k AS (SELECT d - 1 AS d, p[1:d - 1] AS p, count(*) AS n_children FROM n WHERE d > 0 GROUP BY ALL),
+w AS (SELECT n.*, coalesce(n_children, 0) AS n_children,
+    CASE WHEN n.d = 0 THEN 0 ELSE (n_convs - 1) * strlen(n.p[-1].text) END AS w
+  FROM n LEFT JOIN k ON n.d = k.d AND n.p = k.p),
+u AS (SELECT e AS d, p[1:e] AS p, sum(w) AS saved_tokens, count(*) FILTER (WHERE n_children = 0) AS n_leaves
+  FROM (SELECT *, unnest(range(d + 1)) AS e FROM w) GROUP BY ALL)
+SELECT w.conv_id, w.d AS depth, a.conv_id AS parent_conv_id, w.n_convs, w.n_children, n_leaves,
+  CAST(saved_tokens AS BIGINT) AS saved_tokens, w.ends_sha256
+FROM w JOIN u ON w.d = u.d AND w.p = u.p LEFT JOIN n a ON a.d = w.d - 1 AND a.p = w.p[1:w.d - 1] AND w.d > 0
+""")
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    convs = durable(prefix_trie.paths(read_table(spark, sf_dir, "conversations")), "conversations")
+    return prefix_trie.trie(prefix_trie.rebuilt(convs, group=5, most=9))
