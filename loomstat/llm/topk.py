@@ -36,8 +36,8 @@ from loomstat.llm.vectors import integer_rows, widen
 BLOCK, CELL, PACK = 4096, 8192, 4096
 # Segments of each resolution, coarse to fine.
 LEVELS = (2, 8, 16)
-# Queries asked together, and pairs refined together.
-STRIP, PAIRS = 256, 1 << 17
+# Queries asked together, pairs refined together, and the share of pairs below which they are refined one by one.
+STRIP, PAIRS, FEW = 256, 1 << 17, 1 / 16
 NO_ID = (1 << 63) - 1
 PACKED = "ids array<bigint>, isquery binary, width int, kind string, x binary"
 FOUND = "block bigint, pos int, query_id bigint, vec_id bigint, score bigint"
@@ -110,30 +110,46 @@ class Vectors:
             self.levels.append(np.hstack([mean, spread]) * np.sqrt(np.concatenate([sizes, sizes])))
 
 
+def _doubles(left: Vectors, right: Vectors) -> bool:
+    """Whether every inner product and every partial sum of one is a double without rounding."""
+    return left.most * right.most * left.whole.shape[1] < 1 << 53
+
+
 def _exact(left: Vectors, right: Vectors, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     """The integer inner products of pairs of rows, exact: doubles while they hold them, else longs, else any size."""
-    reach = left.most * right.most * max(left.whole.shape[1], 1)
-    if reach < 1 << 53:
+    if _doubles(left, right):
         return np.einsum("ij,ij->i", left.real[i], right.real[j]).astype(np.int64)
-    if reach < 1 << 63:
+    if left.most * right.most * left.whole.shape[1] < 1 << 63:
         return np.einsum("ij,ij->i", left.whole[i], right.whole[j])
     whole = (left.whole[i].astype(object) * right.whole[j].astype(object)).sum(axis=1)
     return np.array([min(max(int(s), -NO_ID - 1), NO_ID) for s in whole], np.int64)
 
 
 def _survivors(left: Vectors, right: Vectors, rows: np.ndarray, floor: np.ndarray):
-    """Pairs of ``rows`` of ``left`` and rows of ``right`` whose bounds reach ``floor`` of the row, by all levels."""
-    slack = lambda i, j: 1e-9 * left.norm[i] * right.norm[j] + 1e-6
-    levels = list(zip(left.levels, right.levels, strict=True))
-    if levels:
-        bound = levels[0][0][rows] @ levels[0][1].T + 1e-9 * np.outer(left.norm[rows], right.norm) + 1e-6
-        i, j = np.nonzero(bound >= floor[rows][:, None])
-    else:
-        i, j = np.divmod(np.arange(len(rows) * len(right.norm)), max(len(right.norm), 1))
+    """Pairs of ``rows`` of ``left`` and rows of ``right`` whose scores reach ``floor`` of the row, with the scores.
+
+    While many pairs are left, a level is asked of all of them at once, as one product of matrices; once few are, pair
+    by pair. Both ask the same bounds.
+    """
+    least, levels = floor[rows][:, None], list(zip(left.levels, right.levels, strict=True))
+    alive = np.ones((len(rows), len(right.norm)), bool)
+    while levels and alive.sum() > FEW * alive.size:
+        mine, other = levels.pop(0)
+        bound = mine[rows] @ other.T
+        bound += 1e-9 * np.outer(left.norm[rows], right.norm) + 1e-6
+        alive &= bound >= least
+    if alive.sum() > FEW * alive.size and _doubles(left, right):
+        score = left.real[rows] @ right.real.T
+        alive &= score >= least
+        i, j = np.nonzero(alive)
+        yield rows[i], j, score[i, j].astype(np.int64)
+        return
+    i, j = np.nonzero(alive)
     for start in range(0, len(i), PAIRS):
         a, b = rows[i[start:start + PAIRS]], j[start:start + PAIRS]
-        for mine, other in levels[1:]:
-            good = np.einsum("ij,ij->i", mine[a], other[b]) + slack(a, b) >= floor[a]
+        for mine, other in levels:
+            slack = 1e-9 * left.norm[a] * right.norm[b] + 1e-6
+            good = np.einsum("ij,ij->i", mine[a], other[b]) + slack >= floor[a]
             a, b = a[good], b[good]
         score = _exact(left, right, a, b)
         good = score >= floor[a]
