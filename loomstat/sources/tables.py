@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from loomstat.sources.json_arrays import scan_records
+
 # The nested paper record. Weights are read as text: some writers quote them, and a quoted number read as a
 # double would be lost. Undeclared fields are not parsed.
 PAPER_SCHEMA = (
@@ -27,28 +29,12 @@ def scan_json_lines(spark: SparkSession, path: str, schema: str = PAPER_SCHEMA)
 
 
 def scan_json_array(spark: SparkSession, path: str, schema: str = PAPER_SCHEMA) -> DataFrame:
-    """Records of top-level JSON arrays in any layout, one array per file.
+    """Records of top-level JSON arrays in any layout, one array per file, as many tasks as the files have splits.
 
-    If every line holds whole records, one or several, lines are parsed in parallel. A first pass finds out; if any
-    line does not, as in a pretty-printed file, files are read by Spark's ``multiLine`` reader, one task per file. A
-    malformed array stops the job, so no record is lost in silence.
+    A malformed array or record stops the job, so no record is lost in silence.
     """
-    body = F.regexp_replace("value", r"^\s*[\[,]?\s*|\s*[,\]]?\s*$", "")
-    # A line of brackets and commas only has no record.
-    lines = spark.read.text(path).select(F.regexp_replace(body, r"^\s*\]?\s*$", "").alias("body")).filter("body <> ''")
-    array = F.concat(F.lit("["), F.col("body"), F.lit("]"))
-    depth = F.from_json(array, "array<string>", {"mode": "PERMISSIVE"})
-    whole = F.col("body").startswith("{") & F.col("body").endswith("}") & depth.isNotNull() & F.forall(
-        F.coalesce(depth, F.array()), lambda record: record.startswith("{"))
-    if not lines.filter(~F.coalesce(whole, F.lit(False))).isEmpty():
-        return spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST").json(path)
-    entry = f"array<struct<{', '.join(f'{f.name}: {f.dataType.simpleString()}' for f in _fields(schema))}>>"
-    records = F.from_json(array, entry, {"mode": "FAILFAST"})
-    return lines.select(F.explode(records).alias("r")).select("r.*")
-
-
-def _fields(schema: str) -> list[T.StructField]:
-    return T.StructType.fromDDL(schema).fields
+    record = F.from_json("record", schema, {"mode": "FAILFAST"}).alias("r")
+    return scan_records(spark, path).select(record).select("r.*")
 
 
 def json_array_to_lines(spark: SparkSession, source: str, target: str, schema: str = PAPER_SCHEMA) -> DataFrame:
