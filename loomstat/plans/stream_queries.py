@@ -153,6 +153,26 @@ def prediction_distribution(t):
     return counts.crossJoin(F.broadcast(counts.agg(F.sum("n").alias("total"))))
 
 
+EDITED = "video_id IN ('v0', 'v1', 'v2')"
+
+
+@query("sink_folded_lookup", f"""
+SELECT comment_id, video_id, 'edited' AS author, true AS few_folders, 0 AS first_level FROM messages WHERE {EDITED}""")
+def sink_folded_lookup(t):
+    """Nine batches, every three folders folded into one, then an edit of some keys, which are looked up again."""
+    table = KeyedTable(t.spark, new_path(t.spark, "scored"), SCORED_SCHEMA, fan=3)
+    scored = durable(rule_score(t.view("messages")).withColumn("nth", F.pmod(F.xxhash64("comment_id"), F.lit(9))), "scored")
+    for n in range(9):
+        table.upsert(scored.filter(F.col("nth") == n), run="a", batch_id=n)
+        table.fold()
+    edited = scored.filter(EDITED).withColumn("author", F.lit("edited"))
+    table.upsert(edited, run="b", batch_id=0)
+    folders = table.snapshot().folders
+    found = table.lookup(edited.select("comment_id", "video_id")).select("comment_id", "video_id", "author")
+    newest = min(int(f.split("/")[0].removeprefix("level=")) for f in folders)
+    return found.select("*", F.lit(len(folders) <= 2).alias("few_folders"), F.lit(newest).alias("first_level"))
+
+
 RESULT = "comment_id", "video_id", "predicted_sentiment", "prediction_index"
 
 
@@ -193,3 +213,23 @@ def stream_score_upsert(t):
     expected = score(t.view("messages")).select("comment_id", F.col("predicted_sentiment").alias("expected"))
     stored = table.read().select(*RESULT).join(expected, "comment_id")
     return stored.select("comment_id", "video_id", (F.col("predicted_sentiment") == F.col("expected")).alias("agrees"))
+
+
+@query("stream_counters", f"""
+SELECT 'first' AS phase, CAST(0 AS BIGINT) AS matched, CAST(0 AS BIGINT) AS modified, count(*) AS upserted FROM messages
+UNION ALL SELECT 'again', count(*), 0, 0 FROM messages UNION ALL SELECT 'edited', count(*), count(*), 0 FROM messages WHERE {EDITED}""")
+def stream_counters(t):
+    """What each stream did to the table, from its state: all messages, all of them again, and some with another author."""
+    table, folder = scored_table(t), new_path(t.spark, "counters")
+    plain, changed = stored_envelopes(t), new_path(t.spark, "envelopes")
+    edits = t.view("messages").filter(EDITED).withColumn("author", F.lit("edited"))
+    E.encode_messages(edits, fetched_at=F.to_timestamp(F.lit(FETCHED))).write.parquet(changed)
+    phases = []
+    for phase, source in (("first", plain), ("again", plain), ("edited", changed)):
+        checkpoint = new_path(t.spark, "offsets")
+        stream = E.file_stream(t.spark, source, files_per_batch=1)
+        start_scoring(stream, rule_score, table, checkpoint, available_now=True, counters=folder).awaitTermination()
+        phases.append((table.run_for(checkpoint), phase))
+    schema = "matched bigint, modified bigint, upserted bigint, without_id bigint, run string, batch int"
+    counts = t.spark.read.schema(schema).parquet(folder).join(F.broadcast(t.spark.createDataFrame(phases, "run string, phase string")), "run")
+    return counts.groupBy("phase").agg(*[F.sum(c).alias(c) for c in ("matched", "modified", "upserted")])

@@ -238,18 +238,6 @@ def test_two_streams_into_one_table(spark):
     assert [r["text"] for r in table.read().collect()] == ["d"]
 
 
-def test_stream_counters_and_messages_without_id(spark):
-    table, folder = KeyedTable(spark, new_path(spark, "keyed"), SCHEMA), new_path(spark, "counters")
-    columns = "comment_id string, video_id string, text string, author string, published_at string, fetched_at string, source string"
-    messages = spark.createDataFrame([(i, "v", "t", "a", "2026-01-01T00:00:00Z", "", "s") for i in ("1", "2", None)], columns)
-    write = batch_writer(lambda rows: rows, table, "r", folder)
-    for batch in (0, 1):
-        write(encode_messages(messages), batch)
-    assert table.read().count() == 3
-    rows = {r["batch"]: (r["matched"], r["modified"], r["upserted"], r["without_id"]) for r in spark.read.parquet(folder).collect()}
-    assert rows[0] == (0, 0, 3, 1) and rows[1][3] == 1 and rows[1][0] == 2
-
-
 def test_ingest_rounds(spark):
     """The state moves with the batch; a round that failed before its state was written takes nothing twice."""
     schema = "comment_id string, video_id string, published_at string"
