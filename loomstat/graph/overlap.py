@@ -1,48 +1,94 @@
-"""Pairs of items that occur together in many contexts, without pairing up whole contexts.
+"""Pairs of items that occur together in contexts, without pairing up whole hubs.
 
-A context with n items has n(n-1)/2 pairs, nearly all useless when only pairs with at least t common contexts are
-asked for. The prefix rule avoids them: order contexts from rare to frequent and leave the t-1 most frequent ones of
-each item aside. Two items with t common contexts still share one of the remaining ones, so candidates come from
-those only; t-1 hubs of an item drop out. A hub that remains is paired up whole, in blocks that many tasks share. The
-contexts left aside are then added back to the counts by equi-joins, so counts are exact.
+A context with n items has n(n-1)/2 pairs. Contexts of at most ``HEAVY`` items are paired up directly, which costs at
+most ``HEAVY`` / 2 pairs a row. The larger ones, hubs, are few: at most a ``HEAVY``-th of the rows. They become sets of
+hubs per item, and what two items share of them is the size of an intersection, worked out where it is needed: for
+pairs that share a smaller context, and for sets that can share ``min_shared`` hubs. Items with equal sets are one
+there, so a pair that fails the threshold is never written. Counts are exact.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from loomstat.session import durable
 
+# Items above which a context is a hub, items of one hub that a task pairs up, items that a top-k search begins with.
+HEAVY, BLOCK, SEED = 512, 2048, 256
 
-# Items of one context that a task pairs up.
-BLOCK = 2048
 
+def hubs(rows: DataFrame, heavy: int) -> DataFrame:
+    """``context, n`` of the contexts with more than ``heavy`` items, written so that their number is known."""
+    return durable(rows.groupBy("context").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > heavy), "hubs")
 
-def _pairs(rows: DataFrame, block: int) -> DataFrame:
-    """``context, a, b`` for all items a < b of a context.
 
-    A context with more than ``block`` items is cut into blocks, and each pair of blocks is a join key of its own, so
-    its pairs are made by many tasks.
-    """
-    large = rows.groupBy("context").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > block)
-    # Written first, so that its size is known when the join is planned.
-    large = durable(large.select("context", F.ceil(F.col("n") / block).cast("int").alias("blocks")), "overlap-large")
-    blocks = F.coalesce("blocks", F.lit(1))
-    placed = rows.join(large, "context", "left").withColumn("side", F.pmod(F.xxhash64("item"), blocks).cast("int"))
-    cells = placed.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1))).select(
-        "context", F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high"), "side", "item"
+def _small_pairs(rows: DataFrame) -> DataFrame:
+    """``context, a, b`` for all items a < b of contexts with a bounded number of items."""
+    lists = rows.groupBy("context").agg(F.sort_array(F.collect_list("item")).alias("items")).filter(F.size("items") > 1)
+    first = lists.select("context", "items", F.posexplode("items").alias("at", "a"))
+    return first.select("context", "a", F.explode(F.slice("items", F.col("at") + 2, F.size("items"))).alias("b"))
+
+
+def _block_pairs(rows: DataFrame, sizes: DataFrame, block: int, *, carry: tuple[str, ...] = (), where: Column | None = None) -> DataFrame:
+    """``context, a, b`` of hubs. A hub is cut into blocks and each pair of blocks is a key of its own, so many tasks
+    make its pairs; ``where`` may refuse a pair by the columns ``carry`` of both, named with ``_a`` and ``_b``."""
+    blocks = F.ceil(F.col("n") / block).cast("int")
+    placed = rows.join(sizes.select("context", blocks.alias("blocks")), "context").withColumn("side", F.pmod(F.xxhash64("item"), F.col("blocks")).cast("int"))
+    cells = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "context", F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high"), "side", "item", *carry
     )
-    left = cells.select("context", "low", "high", F.col("side").alias("sa"), F.col("item").alias("a"))
-    right = cells.select("context", "low", "high", F.col("side").alias("sb"), F.col("item").alias("b"))
-    across = (F.col("low") == F.col("high")) | (F.col("sa") != F.col("sb"))
-    met = left.join(right, ["context", "low", "high"])
-    return met.filter((F.col("a") < F.col("b")) & across).select("context", "a", "b")
+    both = [
+        cells.select("context", "low", "high", F.col("side").alias(f"side_{s}"), F.col("item").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in carry])
+        for s in "ab"
+    ]
+    across = (F.col("low") == F.col("high")) | (F.col("side_a") != F.col("side_b"))
+    met = both[0].join(both[1], ["context", "low", "high"]).filter((F.col("a") < F.col("b")) & across)
+    return (met if where is None else met.filter(where)).drop("low", "high", "side_a", "side_b")
+
+
+def pairs_within(rows: DataFrame, *, heavy: int = HEAVY, block: int = BLOCK) -> DataFrame:
+    """``context, a, b`` for all items a < b of each context; ``rows`` holds distinct ``context, item``."""
+    large = hubs(rows, heavy)
+    if large.isEmpty():
+        return _small_pairs(rows)
+    small = rows.join(large.select("context"), "context", "left_anti")
+    return _small_pairs(small).unionByName(_block_pairs(rows, large, block))
+
+
+def _shared_hubs(left: str, right: str) -> Column:
+    none = F.array().cast("array<bigint>")
+    return F.size(F.array_intersect(F.coalesce(left, none), F.coalesce(right, none))).cast("bigint")
+
+
+def _hub_pairs(sets: DataFrame, min_shared: int, block: int) -> DataFrame:
+    """``a, b, shared`` for items whose sets of hubs have ``min_shared`` or more in common; shared counts hubs only."""
+    sets = sets.filter(F.size("hubs") >= min_shared)
+    groups = durable(sets.groupBy("hubs").agg(F.count(F.lit(1)).alias("n")).withColumn("item", F.monotonically_increasing_id()), "hub-sets")
+    members = durable(sets.join(groups.select("hubs", F.col("item").alias("set")), "hubs").select("set", "item"), "hub-members")
+    # Two sets with t hubs in common still share one if each leaves its t-1 most frequent ones aside.
+    spread = groups.select("item", "hubs", F.explode("hubs").alias("context"))
+    often = spread.groupBy("context").agg(F.count(F.lit(1)).alias("often"))
+    most = Window.partitionBy("item").orderBy(F.desc("often"), F.desc("context"))
+    prefix = durable(
+        spread.join(often, "context").withColumn("position", F.row_number().over(most)).filter(F.col("position") >= min_shared)
+        .select("item", "hubs", "context"), "hub-prefix",
+    )
+    meet = prefix.groupBy("context").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
+    shared = _shared_hubs("hubs_a", "hubs_b")
+    close = _block_pairs(prefix, meet, block, carry=("hubs",), where=shared >= min_shared).select("a", "b", shared.alias("shared")).distinct()
+    left, right = (members.select(F.col("set").alias(s), F.col("item").alias(f"item_{s}")) for s in "ab")
+    ends = [F.col("item_a"), F.col("item_b")]
+    apart = close.join(left, "a").join(right, "b").select(F.least(*ends).alias("a"), F.greatest(*ends).alias("b"), "shared")
+    same = _block_pairs(
+        members.withColumnRenamed("set", "context"), groups.filter("n > 1").select(F.col("item").alias("context"), "n"), block
+    ).join(groups.select(F.col("item").alias("context"), F.size("hubs").cast("bigint").alias("shared")), "context")
+    return apart.unionByName(same.select("a", "b", "shared"))
 
 
 def shared_pairs(
-    occurrences: DataFrame, *, item: str, context: str, min_shared: int = 2, block: int = BLOCK
+    occurrences: DataFrame, *, item: str, context: str, min_shared: int = 2, heavy: int = HEAVY, block: int = BLOCK
 ) -> DataFrame:
     """``a, b, shared`` for all item pairs a < b with at least ``min_shared`` >= 2 common contexts.
 
@@ -50,73 +96,55 @@ def shared_pairs(
     """
     if min_shared < 2:
         raise ValueError("min_shared must be at least 2: pairs with one common context are all pairs of a context")
-    rows = occurrences.select(F.col(item).alias("item"), F.col(context).alias("context"))
+    rows = durable(occurrences.select(F.col(item).alias("item"), F.col(context).alias("context")), "overlap")
     if min_shared > 2:
-        large = rows.groupBy("item").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_shared)
-        rows = rows.join(large.select("item"), "item", "left_semi")
-    frequency = rows.groupBy("context").agg(F.count(F.lit(1)).alias("frequency")).filter(F.col("frequency") > 1)
-    # Contexts with a single item cannot be shared.
-    rows = durable(rows.join(frequency, "context"), "overlap")
-    hubs_first = Window.partitionBy("item").orderBy(F.desc("frequency"), F.desc("context"))
-    # A rank filter on row_number is limited per task before the shuffle, so a hot item costs t-1 rows per task.
-    aside = (
-        rows.withColumn("position", F.row_number().over(hubs_first))
-        .filter(F.col("position") < min_shared)
-        .select("item", "context")
-    )
-    prefix = rows.select("item", "context").join(aside, ["item", "context"], "left_anti")
-    aside, prefix = durable(aside, "overlap-aside"), durable(prefix, "overlap-prefix")
-    candidates = durable(
-        _pairs(prefix, block)
-        .groupBy("a", "b")
-        .agg(F.count(F.lit(1)).alias("n")),
-        "overlap-pairs",
+        often = rows.groupBy("item").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_shared)
+        rows = durable(rows.join(often.select("item"), "item", "left_semi"), "overlap")
+    large = hubs(rows, heavy)
+    plain = large.isEmpty()
+    small = rows if plain else rows.join(large.select("context"), "context", "left_anti")
+    near = _small_pairs(small).groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"))
+    if plain:
+        return near.filter(F.col("shared") >= min_shared)
+    numbered = durable(large.select("context", F.monotonically_increasing_id().alias("hub")), "hub-numbers")
+    sets = durable(
+        rows.join(numbered, "context").groupBy("item").agg(F.sort_array(F.collect_list("hub")).alias("hubs")), "hubs-of-items"
     )
-
-    def also(left: str, right: str, found: DataFrame) -> DataFrame:
-        """Candidates once per context that ``left`` left aside and ``right`` has in ``found``."""
-        return (
-            candidates.select("a", "b")
-            .join(aside.withColumnRenamed("item", left), left)
-            .join(found.select(F.col("item").alias(right), "context"), [right, "context"], "left_semi")
-            .select("a", "b", F.lit(1).cast("bigint").alias("n"))
-        )
-
-    return (
-        candidates.unionByName(also("a", "b", rows))
-        .unionByName(also("b", "a", prefix))
-        .groupBy("a", "b")
-        .agg(F.sum("n").alias("shared"))
-        .filter(F.col("shared") >= min_shared)
+    near = durable(near, "overlap-pairs")
+    far = _hub_pairs(sets, min_shared, block).join(near.select("a", "b"), ["a", "b"], "left_anti")
+    left, right = (sets.select(F.col("item").alias(s), F.col("hubs").alias(f"hubs_{s}")) for s in "ab")
+    both = near.join(left, "a", "left").join(right, "b", "left").select(
+        "a", "b", (F.col("shared") + _shared_hubs("hubs_a", "hubs_b")).alias("shared")
     )
+    return both.filter(F.col("shared") >= min_shared).unionByName(far)
 
 
-def top_shared_pairs(occurrences: DataFrame, *, item: str, context: str, k: int = 10) -> DataFrame:
+def top_shared_pairs(occurrences: DataFrame, *, item: str, context: str, k: int = 10, seed: int = SEED) -> DataFrame:
     """The k item pairs with the most common contexts; ties go to the smaller ids.
 
-    The threshold starts near the largest possible count and falls until k pairs reach it. If even two common
-    contexts leave fewer than k pairs, the rest are the smallest pairs with one: each context's smallest pairs
-    come from its first items, so again no context is paired up whole.
+    Two items share no more contexts than the rarer one has. So the pairs of the ``seed`` most frequent items come first:
+    their k-th best count bounds the rest from below, and only items at least as frequent are paired up, once, with that
+    count as the threshold. If even two common contexts leave fewer than k pairs, the rest are the smallest pairs with
+    one: each context's smallest pairs come from its first items, so again no context is paired up whole.
     """
     spark = occurrences.sparkSession
-    rows = occurrences.select(F.col(item).alias("item"), F.col(context).alias("context"))
-    sizes = rows.groupBy("item").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n")).limit(k + 1).collect()
-    # High thresholds leave few candidates, so they come first; small counts are not worth a try of their own.
-    threshold = max(2, sizes[-1]["n"] // 16) if sizes else 2
+    rows = durable(occurrences.select(F.col(item).alias("item"), F.col(context).alias("context")), "top-pairs")
+    often = durable(rows.groupBy("item").agg(F.count(F.lit(1)).alias("n")), "top-degrees")
+    first = F.broadcast(often.orderBy(F.desc("n"), "item").limit(seed).select("item"))  # ``seed`` rows
     order = [F.desc("shared"), "a", "b"]
-    while True:
-        found = shared_pairs(rows, item="item", context="context", min_shared=threshold)
-        best = found.orderBy(*order).limit(k).collect()
-        if len(best) == k or threshold == 2:
-            break
-        threshold = max(2, threshold // 4)
+    # At most ``seed`` items, so a context has at most so many here and all pairs together few groups.
+    begun = _small_pairs(rows.join(first, "item", "left_semi")).groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"))
+    best = begun.orderBy(*order).limit(k).collect()
+    floor = max(2, best[-1]["shared"] if len(best) == k else 0)
+    found = shared_pairs(rows, item="item", context="context", min_shared=floor)
+    best = found.orderBy(*order).limit(k).collect()
     top = spark.createDataFrame(best, found.schema)
     if len(best) == k:
         return top.orderBy(*order)
     # At most k-1 pairs are known, so 2k smallest pairs per context are enough, and these lie among its first 2k+1.
-    first = Window.partitionBy("context").orderBy("item")
+    position = Window.partitionBy("context").orderBy("item")
     few = durable(
-        rows.withColumn("position", F.row_number().over(first)).filter(F.col("position") <= 2 * k + 1), "overlap-few"
+        rows.withColumn("position", F.row_number().over(position)).filter(F.col("position") <= 2 * k + 1), "overlap-few"
     )
     single = (
         few.select("context", F.col("item").alias("a"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from loomstat.constants import SOCIAL_FIELDS
 from loomstat.graph.model import PropertyGraph
-from loomstat.graph.overlap import shared_pairs, top_shared_pairs
+from loomstat.graph.overlap import BLOCK, HEAVY, pairs_within, shared_pairs, top_shared_pairs
 from loomstat.graph.paths import bfs_paths
 from loomstat.session import durable
 
@@ -27,11 +27,12 @@ def coauthor_projection(pairs: DataFrame) -> PropertyGraph:
     return PropertyGraph(vertices, edges)
 
 
-def triangle_count(g: PropertyGraph) -> DataFrame:
+def triangle_count(g: PropertyGraph, *, heavy: int = HEAVY, block: int = BLOCK) -> DataFrame:
     """``id, triangles`` of every vertex; direction, parallel edges and self-loops are ignored.
 
     Each edge points from the end of lower degree to the end of higher degree, so no vertex has more than
-    sqrt(2 * edges) out-edges and a hub is never paired up with itself.
+    sqrt(2 * edges) out-edges and a hub is never paired up with itself. A vertex that still has many out-edges has its
+    pairs of them made block by block, in many tasks.
     """
     links = (
         g.edges.select(F.least("src", "dst").alias("u"), F.greatest("src", "dst").alias("v"))
@@ -46,11 +47,8 @@ def triangle_count(g: PropertyGraph) -> DataFrame:
         .select(F.least("ru", "rv").alias("low"), F.greatest("ru", "rv").alias("high"))
     )
     arcs = durable(ranked.select(F.col("low.id").alias("low"), F.col("high.id").alias("high")), "arcs")
-    wedges = (
-        arcs.select("low", F.col("high").alias("x"))
-        .join(arcs.select("low", F.col("high").alias("y")), "low")
-        .filter(F.col("x") < F.col("y"))
-    )
+    ends = arcs.select(F.col("low").alias("context"), F.col("high").alias("item"))
+    wedges = pairs_within(ends, heavy=heavy, block=block).toDF("low", "x", "y")
     closed = wedges.join(links.select(F.col("u").alias("x"), F.col("v").alias("y")), ["x", "y"], "left_semi")
     per_vertex = (
         closed.select(F.explode(F.array("low", "x", "y")).alias("id"))

@@ -198,13 +198,13 @@ def brute_pairs(rows):
 
 
 @pytest.mark.parametrize("seed", range(3))
-@pytest.mark.parametrize("least", [2, 3, 5])
-def test_shared_pairs_are_exact_with_hubs(spark, seed, least):
+@pytest.mark.parametrize("least,heavy", [(2, 512), (2, 4), (3, 12), (5, 8)])
+def test_shared_pairs_are_exact_with_hubs(spark, seed, least, heavy):
     rng = random.Random(seed)
     rows = {(f"i{rng.randrange(30):02d}", f"c{rng.randrange(25):02d}") for _ in range(260)}
     rows |= {(f"i{i:02d}", hub) for i in range(30) for hub in ("hub1", "hub2") if rng.random() < 0.8}
     df = spark.createDataFrame(sorted(rows), "item string, context string")
-    found = overlap.shared_pairs(df, item="item", context="context", min_shared=least)
+    found = overlap.shared_pairs(df, item="item", context="context", min_shared=least, heavy=heavy, block=5)
     got = {(r["a"], r["b"]): r["shared"] for r in found.collect()}
     assert got == {pair: n for pair, n in brute_pairs(rows).items() if n >= least}
 
@@ -220,16 +220,49 @@ def test_top_shared_pairs(spark, size, k):
 
 
 def test_hub_context_makes_no_candidates(spark, monkeypatch):
-    """A context that all items share, next to one rare context each, yields no pair at all."""
+    """A context that all items share, next to one rare context each, yields no pair of its own."""
     tables = {}
     write = overlap.durable
     monkeypatch.setattr(overlap, "durable", lambda df, label: tables.setdefault(label, write(df, label)))
     rows = [(f"i{i:03d}", "hub") for i in range(300)] + [(f"i{i:03d}", f"c{i // 2}") for i in range(300)]
     df = spark.createDataFrame(rows, "item string, context string")
-    assert overlap.shared_pairs(df, item="item", context="context").count() == 150
+    assert overlap.shared_pairs(df, item="item", context="context", heavy=50).count() == 150
     assert tables["overlap-pairs"].count() == 150
 
 
+def test_hubs_are_compared_as_sets(spark, monkeypatch):
+    """400 items in two of six hubs each: pairs of sets are asked, not pairs of items, and failing ones are not written."""
+    made, pairs = [], overlap._block_pairs
+    monkeypatch.setattr(overlap, "_block_pairs", lambda *a, **k: made.append(pairs(*a, **k)) or made[-1])
+    two = list(itertools.combinations(range(6), 2))
+    sets = {i: two[0] if i < 3 else (i % 6,) if i > 6 else two[i] for i in range(400)}
+    rows = [(f"i{i:03d}", f"hub{h}") for i, hubs in sets.items() for h in hubs]
+    df = spark.createDataFrame(rows, "item string, context string")
+    found = {(r.a, r.b): r.shared for r in overlap.shared_pairs(df, item="item", context="context", heavy=20).collect()}
+    assert found == {pair: n for pair, n in brute_pairs(rows).items() if n >= 2} and len(found) == 3
+    assert sum(m.count() for m in made) <= 10  # of 79,800 pairs, of which a sixth share a hub
+
+
+def test_top_pairs_are_worked_out_once(spark, monkeypatch):
+    """The seed's k-th count is the threshold, and items that occur less often are left out."""
+    asked, whole = [], overlap.shared_pairs
+    monkeypatch.setattr(overlap, "shared_pairs", lambda *a, **k: asked.append(k["min_shared"]) or whole(*a, **k))
+    rng = random.Random(4)
+    rows = {(f"i{i:02d}", f"c{c}") for i in range(8) for c in range(40) if rng.random() < 0.7}
+    rows |= {(f"j{i:03d}", f"c{rng.randrange(40)}") for i in range(200)}
+    df = spark.createDataFrame(sorted(rows), "item string, context string")
+    got = [tuple(r) for r in overlap.top_shared_pairs(df, item="item", context="context", k=5, seed=8).collect()]
+    want = sorted(((a, b, n) for (a, b), n in brute_pairs(rows).items()), key=lambda x: (-x[2], x[0], x[1]))[:5]
+    assert got == want and asked == [want[-1][2]]
+
+
+@pytest.mark.parametrize("heavy", [1, 3])
+def test_triangles_of_vertices_with_many_out_edges(make_graph, heavy):
+    edges = random_edges(5, n=20, m=150) + [(f"k{i}", f"k{j}") for i in range(9) for j in range(i)]
+    g = make_graph(edges)
+    assert values(P.triangle_count(g, heavy=heavy, block=2), "id", "triangles") == values(P.triangle_count(g), "id", "triangles")
+
+
 def test_degrees_subgraph_motif(make_graph):
     g = make_graph([("a", "b"), ("a", "b"), ("b", "c"), ("c", "c")], ["z"])
     degrees = {r["id"]: (r["degree"], r["in_degree"], r["out_degree"]) for r in g.degrees().collect()}
@@ -257,7 +290,7 @@ def test_pairs_of_two_hubs_are_made_in_blocks(spark):
     """Items that share two hubs: every pair counts, and no block pairs up more than its size."""
     rows = [(f"i{i:03}", hub) for i in range(60) for hub in ("h1", "h2")] + [("i000", "x"), ("i001", "x")]
     frame = spark.createDataFrame(rows, "item string, context string")
-    found = {(r.a, r.b): r.shared for r in overlap.shared_pairs(frame, item="item", context="context", block=7).collect()}
+    found = {(r.a, r.b): r.shared for r in overlap.shared_pairs(frame, item="item", context="context", heavy=9, block=7).collect()}
     want = {(f"i{i:03}", f"i{j:03}"): 2 for i in range(60) for j in range(i + 1, 60)}
     want["i000", "i001"] = 3
     assert found == want
