@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from loomstat.constants import SOCIAL_FIELDS
 from loomstat.graph.model import PropertyGraph
 from loomstat.graph.overlap import BLOCK, HEAVY, pairs_within, shared_pairs, top_shared_pairs
-from loomstat.graph.paths import bfs_paths
+from loomstat.graph.paths import bfs_paths, path_counts
 from loomstat.session import durable
 
 
@@ -127,12 +127,13 @@ def landmarks(g: PropertyGraph, *, k: int = 1, field: str | None = None) -> Data
 
 
 def six_degrees(g: PropertyGraph, source_field: str, target: DataFrame, *, max_sources: int | None = None,
-                max_length: int = 6) -> DataFrame:
+                max_length: int = 6, write_paths: bool = True) -> DataFrame:
     """Shortest paths from papers of a field to the target within ``max_length`` hops.
 
-    ``max_sources`` takes the papers with the smallest ids only; None, the default, takes all of them.
+    ``max_sources`` takes the papers with the smallest ids only; None, the default, takes all of them. Without
+    ``write_paths`` there is a row per pair with the number of its paths, however many they are.
     """
     sources = g.vertices.filter((F.col("node_type") == "paper") & (F.col("primary_field") == source_field)).select("id")
     if max_sources is not None:
         sources = sources.orderBy("id").limit(max_sources)
-    return bfs_paths(g, sources, target, max_length=max_length)
+    return (bfs_paths if write_paths else path_counts)(g, sources, target, max_length=max_length)

@@ -11,6 +11,8 @@ from loomstat.graph.components import connected_components as components_of
 from loomstat.graph.components import group_sizes
 from loomstat.graph.model import PropertyGraph
 from loomstat.graph.paths import bfs_paths as bfs
+from loomstat.graph.paths import landmark_distances as landmark_hops
+from loomstat.graph.paths import path_counts as count_paths
 from loomstat.graph.paths import distance_histogram
 from loomstat.graph.paths import shortest_paths as shortest
 from loomstat.graph import projection as P
@@ -474,7 +476,34 @@ QUALIFY min(d.hops) = min(min(d.hops)) OVER ()""")
 def six_degrees(t):
     g = t.citations
     target = P.landmarks(g, k=1, field=FIELD).select("id")
-    return P.six_degrees(g, OTHER_FIELD, target, max_sources=None).select("from_id", "to_id", "hops").distinct()
+    return P.six_degrees(g, OTHER_FIELD, target, max_sources=None, write_paths=False).select("from_id", "to_id", "hops")
+
+
+@query("path_counts", f"""
+WITH RECURSIVE target AS ({LANDMARK}),
+walk(origin, pos, hops, path) AS (
+  SELECT v.id, v.id, 0, v.id FROM paper_vertices v WHERE v.primary_field = '{OTHER_FIELD}'
+  UNION ALL
+  SELECT w.origin, c.dst, w.hops + 1, w.path || '>' || c.dst FROM walk w JOIN cites c ON w.pos = c.src
+  WHERE w.hops < 10 AND NOT EXISTS (SELECT 1 FROM walk d WHERE d.pos IN (SELECT id FROM target)))
+SELECT origin AS from_id, pos AS to_id, hops, CAST(count(DISTINCT path) AS BIGINT) AS n_paths FROM walk
+WHERE pos IN (SELECT id FROM target) GROUP BY origin, pos, hops""")
+def path_counts(t):
+    """As ``bfs_paths``, but how many paths each pair has."""
+    sources = t.citations.vertices.filter(F.col("primary_field") == OTHER_FIELD).select("id")
+    counts = count_paths(t.citations, sources, P.landmarks(t.citations, k=1).select("id"), max_length=10)
+    return counts.withColumn("n_paths", F.col("n_paths").cast("bigint"))
+
+
+@query("many_landmarks", """
+WITH marks AS (SELECT id FROM cited ORDER BY n DESC, id LIMIT 70), links AS (SELECT DISTINCT src, dst FROM cites),
+one AS (SELECT c.src AS id, m.id AS landmark FROM links c JOIN marks m ON c.dst = m.id),
+two AS (SELECT c.src AS id, o.landmark FROM links c JOIN one o ON c.dst = o.id),
+every AS (SELECT id, id AS landmark, 0 AS hops FROM marks UNION ALL SELECT id, landmark, 1 FROM one UNION ALL SELECT id, landmark, 2 FROM two)
+SELECT id, landmark, min(hops) AS hops FROM every GROUP BY id, landmark""")
+def many_landmarks(t):
+    """Papers within two hops of 70 landmarks, more than a search word holds, in one search."""
+    return landmark_hops(t.citations, P.landmarks(t.citations, k=70).select("id"), max_hops=2)
 
 
 # Bibliometric queries

@@ -13,7 +13,7 @@ from loomstat.graph import overlap
 from loomstat.graph import projection as P
 from loomstat.graph.components import connected_components, group_sizes
 from loomstat.graph.model import PropertyGraph
-from loomstat.graph.paths import bfs_paths, landmark_distances, shortest_paths
+from loomstat.graph.paths import bfs_paths, landmark_distances, path_counts, shortest_paths
 from loomstat.graph.ranking import label_propagation, pagerank
 from loomstat.operators import skew
 
@@ -188,6 +188,46 @@ def test_shortest_paths(spark, make_graph):
                 assert hops[a, mark] <= hops[b, mark] + 1
 
 
+def test_many_landmarks_in_one_search(spark, make_graph, hot):
+    """130 landmarks, three words; hubs on both ends."""
+    edges = [(f"v{i:03d}", f"v{(i + 1) % 130:03d}") for i in range(130)] + [("hub", f"v{i:03d}") for i in range(0, 130, 10)]
+    g = make_graph(edges, ["alone"])
+    marks = ids_of(spark, *[f"v{i:03d}" for i in range(130)])
+    got = values(shortest_paths(g, marks), "id", "distances")
+    assert got["alone"] == {} and len(got["hub"]) == 130
+    assert got["v005"] == {f"v{(5 + h) % 130:03d}": h for h in range(130)}
+    assert got["hub"] == {f"v{i:03d}": 1 + i % 10 for i in range(130)}
+
+
+def test_more_paths_than_anyone_writes_out(spark, make_graph):
+    """A chain of 25 diamonds has 2^25 shortest paths: they are counted."""
+    edges = [e for i in range(25) for side in "xy" for e in ((f"n{i}", f"n{i}{side}"), (f"n{i}{side}", f"n{i + 1}"))]
+    g = make_graph(edges)
+    found = path_counts(g, ids_of(spark, "n0", "n25x"), ids_of(spark, "n25"), max_length=60).collect()
+    assert [(r.from_id, r.to_id, r.hops, int(r.n_paths)) for r in found] == [("n0", "n25", 50, 2 ** 25)]
+
+
+def test_path_counts_are_those_of_the_paths(spark, make_graph):
+    g = make_graph(random_edges(8, n=30, m=110))
+    for sources, targets in ((["v01", "v02", "v03"], ["v20", "v21"]), (["v01"], ["v01"]), (["v05"], ["nowhere"])):
+        paths = Counter((r.from_id, r.to_id, r.hops) for r in bfs_paths(g, ids_of(spark, *sources), ids_of(spark, *targets)).collect())
+        counts = path_counts(g, ids_of(spark, *sources), ids_of(spark, *targets)).collect()
+        assert {(r.from_id, r.to_id, r.hops): int(r.n_paths) for r in counts} == paths
+
+
+def test_edges_are_shuffled_once(spark, make_graph):
+    """The join of a level reads the bucketed edges in place."""
+    from loomstat.graph import paths
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with paths._links(make_graph(random_edges(3)), "src") as links:
+            plan = links.at(ids_of(spark, "v01"))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange") == 1 and "Bucketed: true" in plan
+
+
 def brute_pairs(rows):
     contexts = defaultdict(set)
     for item, context in rows:
