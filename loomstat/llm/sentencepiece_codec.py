@@ -18,6 +18,7 @@ import re
 import string
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import Column
@@ -255,6 +256,44 @@ def decode_ids(ids: Column | str, path: str) -> Column:
     return run(ids)
 
 
+ENCODED = StructType([
+    StructField("ids", ArrayType(IntegerType())), StructField("n_tokens", LongType()), StructField("ids_sha256", StringType()),
+    StructField("decoded_sha256", StringType()),
+])
+
+
+def encoded(text: Column | str, path: str) -> Column:
+    """The ids of a text column together with their digests, from one pass: ``ids, n_tokens, ids_sha256, decoded_sha256``.
+
+    Ids are kept as 32-bit arrays, a few rows' worth at a time, however many rows an Arrow batch has.
+    """
+
+    @F.arrow_udf(ENCODED)
+    def run(texts: pa.Array) -> pa.Array:
+        own = codec(path)
+        done = []
+        for piece in slices([pa.RecordBatch.from_arrays([texts], ["text"])]):
+            ids, sizes, hashes, decoded = [], [], [], []
+            for cuts, table in own.encode(piece.column("text").to_pylist()):
+                joined = " ".join([*(table[c] for c in cuts), str(own.end)])
+                ids.append(np.fromstring(joined, np.int32, sep=" "))
+                sizes.append(len(ids[-1]))
+                hashes.append(hashlib.sha256(joined.encode()).hexdigest())
+                decoded.append(hashlib.sha256(own.decoded(cuts).encode()).hexdigest())
+            ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+            flat = np.concatenate(ids) if ids else np.empty(0, np.int32)
+            done.append(pa.StructArray.from_arrays(
+                [pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)), pa.array(sizes, pa.int64()),
+                 pa.array(hashes, pa.string()), pa.array(decoded, pa.string())],
+                ENCODED.names,
+            ))
+        return pa.concat_arrays(done) if done else pa.array([], pa.struct(
+            [("ids", pa.list_(pa.int32())), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())]
+        ))
+
+    return run(text)
+
+
 DIGEST = StructType([
     StructField("n_tokens", LongType()), StructField("ids_sha256", StringType()),
     StructField("decoded_sha256", StringType()),

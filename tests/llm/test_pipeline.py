@@ -7,6 +7,7 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 from test_decontamination import brute as contaminated
 from test_line_dedup import brute as deduplicated
 from test_simhash import components, print_of
@@ -94,3 +95,27 @@ def test_stages_against_plain_python(spark, folder):
         assert row.decoded_sha256 == hashlib.sha256(library.decode(ids).encode()).hexdigest()
     assert sorted(tuple(r) for r in corpus_pipeline.run(spark, folder).select("doc_id", "ids_sha256").collect()) == sorted(
         (r.doc_id, r.ids_sha256) for r in last.values())
+
+
+def test_clashing_columns_empty_and_very_long(spark, folder, tmp_path):
+    """Columns named like those that stages add; a table without rows; a text far longer than the others."""
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    names = ["ids", "digest", "n_tokens", "Ids_SHA256", "row", "tokens", "key", "keep", "label", "score"]
+    rnd = random.Random(1)
+    long = " ".join("".join(rnd.choice("aeinorst") for _ in range(5)) for _ in range(60_000))
+    odd = docs.unionByName(spark.createDataFrame([(900, long, "en", "s", len(long))], docs.schema))
+    for name in names:
+        odd = odd.withColumn(name, F.lit("x"))
+    odd.filter("doc_id > 250").write.parquet(str(tmp_path / "documents.parquet"))
+    for table in ("benchmark", "labels"):
+        spark.read.parquet(f"{folder}/{table}.parquet").write.parquet(str(tmp_path / f"{table}.parquet"))
+    found = corpus_pipeline.run(spark, str(tmp_path))
+    assert {"ids", "n_tokens", "ids_sha256", "decoded_sha256", "digest", "row", "key"} <= set(found.columns)
+    row = {r.doc_id: r for r in found.collect()}[900]
+    library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    assert row.ids == [*library.encode(long), library.eos_id()] and row.n_tokens == len(row.ids) and row.digest == "x"
+
+    empty = str(tmp_path / "empty")
+    for table in ("documents", "benchmark", "labels"):
+        spark.read.parquet(f"{folder}/{table}.parquet").limit(0).write.parquet(f"{empty}/{table}.parquet")
+    assert corpus_pipeline.run(spark, empty).count() == 0
