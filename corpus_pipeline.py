@@ -41,11 +41,14 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Adds the ids of each text with an end id, their number, and the digests of ids and of the decoded text."""
-    return docs.select(
-        "*", sentencepiece_codec.encode_ids("text", PIECE_MODEL).alias("ids"),
-        sentencepiece_codec.digest("text", PIECE_MODEL).alias("digest"),
-    ).select(*docs.columns, "ids", "digest.*")
+    """Adds the ids of each text with an end id, their number, and the digests of ids and of the decoded text.
+
+    Columns of ``docs`` that are named like one of these, in any case, give way to them.
+    """
+    results = {name.lower() for name in sentencepiece_codec.ENCODED.names}
+    own = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in results])
+    both = docs.select(own.alias("row"), sentencepiece_codec.encoded("text", PIECE_MODEL).alias("tokens"))
+    return both.select("row.*", "tokens.*")
 
 
 STAGES = [
