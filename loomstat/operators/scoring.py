@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
+import pyarrow as pa
 from pyspark.ml.functions import array_to_vector, predict_batch_udf, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from loomstat.session import durable
 
-# Most classes a model may have to travel whole to every worker.
-MAX_CLASSES = 10_000
+# Most classes a model may have to travel whole to every worker; rows and centroids of a block beyond that, and blocks of
+# rows for each salt of a block of centroids.
+MAX_CLASSES, BLOCK, CELLS = 10_000, 4096, 64
+ROW = "__row"
 
 
 def class_centroids(vectors: DataFrame, *, vector: str = "embedding", label: str = "label") -> DataFrame:
@@ -40,10 +46,116 @@ def nearest_centroid_udf(labels: list[int], centroids: np.ndarray, *, batch_size
     )
 
 
-def score_batch(vectors: DataFrame, *, vector: str = "embedding", label: str = "label", batch_size: int = 32):
-    """``vectors`` with the label of the nearest class centroid; the model is one vector per class."""
-    model = class_centroids(vectors, vector=vector, label=label).orderBy(label).limit(MAX_CLASSES + 1).collect()
-    if len(model) > MAX_CLASSES:
-        raise ValueError(f"more than {MAX_CLASSES} classes: too many centroids to send to every worker")
+def score_batch(
+    vectors: DataFrame, *, vector: str = "embedding", label: str = "label", batch_size: int = 32, most: int = MAX_CLASSES, block: int = BLOCK,
+):
+    """``vectors`` with the label of the nearest class centroid; the model is one vector per class.
+
+    Up to ``most`` classes the model travels whole to every worker. With more, blocks of rows meet blocks of centroids,
+    and no worker holds more than a few blocks.
+    """
+    centres = durable(class_centroids(vectors, vector=vector, label=label), "centroids")
+    model = centres.orderBy(label).limit(most + 1).collect()
+    if len(model) > most:
+        return _score_in_blocks(vectors, centres, vector, label, block)
     udf = nearest_centroid_udf([r[label] for r in model], np.array([r["centroid"] for r in model]), batch_size=batch_size)
     return vectors.withColumn("prediction", udf(F.col(vector).cast("array<double>")))
+
+
+# Blocks of rows and of centroids
+
+
+def _blocks(df: DataFrame, key: str, vector: str, block: int, n: int) -> DataFrame:
+    """Rows of like norms packed together: ``id, low, high`` (of the norms), ``keys, norms, x``, written."""
+
+    def pack(batches):
+        for batch in batches:
+            for start in range(0, batch.num_rows, block):
+                part = batch.slice(start, block)
+                x = np.array(part.column(1).to_pylist(), np.float64)
+                norms = np.sqrt((x**2).sum(axis=1))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([norms.min()]), pa.array([norms.max()]), pa.array([part.column(0).to_pylist()], pa.list_(pa.int64())),
+                     pa.array([norms.tobytes()], pa.binary()), pa.array([x.tobytes()], pa.binary())],
+                    names=["low", "high", "keys", "norms", "x"],
+                )
+
+    rows = df.select(F.col(key).cast("bigint").alias("key"), F.col(vector).cast("array<double>").alias("v"))
+    norm = F.aggregate("v", F.lit(0.0), lambda total, c: total + c * c)
+    near = rows.withColumn("norm", norm).repartitionByRange(math.ceil(n / block), "norm").select("key", "v")
+    packed = near.mapInArrow(pack, "low double, high double, keys array<bigint>, norms binary, x binary")
+    return durable(packed.withColumn("id", F.monotonically_increasing_id()), "vector-blocks")
+
+
+def _met(rows: DataFrame, centres: DataFrame, spread: int) -> DataFrame:
+    """``id, labels, distances`` per row of ``rows`` (``id, norms, x, centre``): the nearest centroid of block ``centre``.
+
+    A block of centroids that many blocks of rows meet is one key, so it is given ``spread`` salts.
+    """
+
+    def nearest(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
+                names = np.array(row["names"])
+                order = np.argsort(names)
+                centre = np.frombuffer(row["cx"]).reshape(len(names), -1)[order]
+                x, norms = np.frombuffer(row["x"]), np.frombuffer(row["norms"])
+                gaps = (centre**2).sum(axis=1) - 2.0 * x.reshape(len(norms), -1) @ centre.T
+                best = gaps.argmin(axis=1)
+                far = gaps[np.arange(len(best)), best]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([row["id"]], pa.int64()), pa.array([names[order][best].astype(np.int64).tobytes()], pa.binary()), pa.array([far.tobytes()], pa.binary())],
+                    names=["id", "labels", "distances"],
+                )
+
+    left = rows.select("id", "norms", "x", "centre", F.pmod(F.xxhash64("id"), F.lit(spread)).cast("int").alias("salt"))
+    right = centres.select(
+        F.col("id").alias("centre"), F.col("keys").alias("names"), F.col("x").alias("cx"), F.explode(F.sequence(F.lit(0), F.lit(spread - 1))).alias("salt")
+    )
+    return left.join(right, ["centre", "salt"]).mapInArrow(nearest, "id bigint, labels binary, distances binary")
+
+
+def _score_in_blocks(vectors: DataFrame, centres: DataFrame, vector: str, label: str, block: int) -> DataFrame:
+    """Every row with the nearest of any number of centroids.
+
+    A vector is no nearer to a centroid than their norms differ. So each block of rows meets the block of centroids whose
+    norms are most like its own first, and after that only those that could still hold a nearer one for some row.
+    """
+    rows = durable(vectors.withColumn(ROW, F.monotonically_increasing_id()), "scored-rows")
+    packed = _blocks(rows.filter(F.col(vector).isNotNull()), ROW, vector, block, max(1, rows.count()))
+    models = _blocks(centres, label, "centroid", block, centres.count())
+    # a row per block of centroids: one ``block``-th of the classes
+    ranges = [(r["id"], r["low"], r["high"]) for r in models.select("id", "low", "high").collect()]
+    ids, low, high = (np.array(c) for c in zip(*ranges, strict=True))
+    spread = max(1, math.ceil(packed.count() / CELLS))
+
+    def home(batches):
+        for batch in batches:
+            middle = (batch.column(1).to_numpy() + batch.column(2).to_numpy()) / 2
+            gap = np.maximum(np.maximum(low - middle[:, None], middle[:, None] - high), 0)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids[gap.argmin(axis=1)], pa.int64())], names=["id", "home"])
+
+    def others(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
+                norms = np.frombuffer(row["norms"])
+                reach = np.sqrt(np.maximum(np.frombuffer(row["distances"]) + norms**2, 0))
+                gap = np.maximum(np.maximum(low - norms[:, None], norms[:, None] - high), 0)
+                near = (gap <= reach[:, None] * (1 + 1e-9) + 1e-9).any(axis=0) & (ids != row["home"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(near.sum(), row["id"]), pa.int64()), pa.array(ids[near], pa.int64())], names=["id", "centre"])
+
+    homes = durable(packed.select("id", "low", "high").mapInArrow(home, "id bigint, home bigint"), "home-blocks")
+    first = durable(_met(packed.join(homes.withColumnRenamed("home", "centre"), "id"), models, spread), "nearest")
+    asked = packed.select("id", "norms").join(first, "id").join(homes, "id").select("id", "norms", "distances", "home")
+    second = _met(packed.join(asked.mapInArrow(others, "id bigint, centre bigint"), "id"), models, spread)
+
+    def least(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        labels, far = (np.array([np.frombuffer(v.as_py(), kind) for v in table.column(c)]) for c, kind in (("labels", np.int64), ("distances", np.float64)))
+        order = np.lexsort((labels, far), axis=0)[0]
+        return pa.table({"id": pa.array(np.full(1, key[0].as_py()), pa.int64()), "labels": pa.array([labels[order, np.arange(labels.shape[1])].tolist()], pa.list_(pa.int64()))})
+
+    best = first.unionByName(second).groupBy("id").applyInArrow(least, "id bigint, labels array<bigint>")
+    named = best.join(packed.select("id", "keys"), "id").select(F.inline(F.arrays_zip(F.col("keys").alias(ROW), F.col("labels").alias("prediction"))))
+    return rows.join(named.select(ROW, F.col("prediction").cast("int").alias("prediction")), ROW, "left").drop(ROW)

@@ -259,7 +259,7 @@ SELECT w.src AS author, w.dst AS paper, p.dst AS venue, v.year FROM wrote w JOIN
 JOIN vertices v ON v.id = w.dst""")
 def motif_find(t):
     kinds = {"w": F.col("rel_type") == "wrote", "p": F.col("rel_type") == "published_in"}
-    found = t.graph.find("(a)-[w]->(b); (b)-[p]->(c)", kinds)
+    found = t.graph.find("(a)-[w]->(b); (b)-[p]->(c)", kinds, vertices=("b",))
     return found.select(
         F.col("a.id").alias("author"), F.col("b.id").alias("paper"), F.col("c.id").alias("venue"), "b.year"
     )
@@ -269,7 +269,7 @@ def motif_find(t):
 SELECT p.dst AS venue, count(DISTINCT w.src) AS n_authors FROM wrote w JOIN published_in p ON w.dst = p.src GROUP BY p.dst""")
 def count_distinct_struct(t):
     kinds = {"w": F.col("rel_type") == "wrote", "p": F.col("rel_type") == "published_in"}
-    found = t.graph.find([("a", "w", "b"), ("b", "p", "c")], kinds)
+    found = t.graph.find([("a", "w", "b"), ("b", "p", "c")], kinds, vertices=("a",))
     return found.groupBy(F.col("c.id").alias("venue")).agg(F.count_distinct("a").alias("n_authors"))
 
 

@@ -252,6 +252,17 @@ def score_batch_udf(t):
     return score_batch(t.table("embeddings").select("vec_id", "embedding", "label")).select("vec_id", "prediction")
 
 
+@query("score_in_blocks", """
+WITH dims AS (SELECT vec_id, vec_id // 2 AS label, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS i FROM embeddings),
+means AS (SELECT label, i, avg(x) AS m FROM dims GROUP BY label, i),
+far AS (SELECT d.vec_id, m.label, sum((d.x - m.m) * (d.x - m.m)) AS dist FROM dims d JOIN means m ON d.i = m.i GROUP BY d.vec_id, m.label)
+SELECT vec_id, CAST(arg_min(label, round(dist, 9)) AS INT) AS prediction FROM far GROUP BY vec_id""")
+def score_in_blocks(t):
+    """A class for every two vectors, more than one worker is given: blocks of rows against blocks of centroids."""
+    pairs = t.table("embeddings").select("vec_id", "embedding", F.floor(F.col("vec_id") / 2).alias("label"))
+    return score_batch(pairs, most=100, block=256).select("vec_id", "prediction")
+
+
 @query("train_neural", """
 WITH sized AS (SELECT Sentiment, count(*) AS n FROM comments GROUP BY Sentiment),
 parts AS (SELECT Sentiment, 'test' AS split, CAST(floor(n * 0.1) AS BIGINT) AS n FROM sized

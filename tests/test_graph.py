@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from loomstat.graph import overlap
 from loomstat.graph import projection as P
 from loomstat.graph.components import connected_components, group_sizes
-from loomstat.graph.model import PropertyGraph
+from loomstat.graph.model import PropertyGraph, leg_order, motif_legs
 from loomstat.graph.paths import bfs_paths, landmark_distances, path_counts, shortest_paths
 from loomstat.graph.ranking import label_propagation, pagerank
 from loomstat.operators import skew
@@ -316,6 +316,50 @@ def test_degrees_subgraph_motif(make_graph):
     assert g.coherence().first()["dangling_dst"] == 0
 
 
+def brute_motif(edges, legs, where):
+    rows = [{}]
+    for start, name, end in legs:
+        grown = []
+        for row in rows:
+            for a, b, kind in edges:
+                if kind == where[name] and row.get(start, a) == a and row.get(end, b) == b and (start != end or a == b):
+                    grown.append({**row, start: a, end: b})
+        rows = grown
+    return Counter(tuple(sorted(r.items())) for r in rows)
+
+
+def test_motifs_do_not_depend_on_the_written_order(spark, make_graph):
+    """Three legs, a hub in the middle: any order of legs is joined alike and gives the same rows, hubs split or not."""
+    rng = random.Random(2)
+    edges = [(f"a{i}", "hub" if i % 3 else f"p{i % 7}", "wrote") for i in range(60)]
+    edges += [("hub", f"v{i % 4}", "in") for i in range(6)] + [(f"p{i}", f"v{i % 3}", "in") for i in range(7)]
+    edges += [("v1", "x", "near"), ("v2", "x", "near"), ("x", "x", "near")]
+    rng.shuffle(edges)
+    g = PropertyGraph(make_graph([e[:2] for e in edges]).vertices, spark.createDataFrame(edges, "src string, dst string, rel_type string"))
+    legs = [("a", "w", "p"), ("p", "i", "v"), ("v", "n", "x")]
+    where = {"w": "rel_type = 'wrote'", "i": "rel_type = 'in'", "n": "rel_type = 'near'"}
+    want = brute_motif(edges, legs, {"w": "wrote", "i": "in", "n": "near"})
+    orders = []
+    for written in itertools.permutations(legs):
+        counts = dict(zip([e for _, e, _ in written], g.leg_counts(list(written), where)))
+        orders.append(leg_order(list(written), counts))
+        for hub_rows in (1_000_000, 5):
+            found = g.find(list(written), where, vertices=(), hub_rows=hub_rows).select("a.id", "p.id", "v.id", "x.id")
+            assert Counter(tuple(zip("apvx", r)) for r in map(tuple, found.collect())) == want
+    assert all(o == orders[0] for o in orders) and [o[0] for o in orders[0]] == ["n", "i", "w"]
+
+
+def test_motif_of_a_cycle_and_a_loop(spark, make_graph):
+    edges = [(a, b, "r") for a, b in random_edges(6, n=8, m=30)]
+    g = PropertyGraph(make_graph([e[:2] for e in edges]).vertices, spark.createDataFrame(edges, "src string, dst string, rel_type string"))
+    for pattern in ("(a)-[e]->(b); (b)-[f]->(c); (c)-[h]->(a)", "(a)-[e]->(a); (a)-[f]->(b)"):
+        legs = motif_legs(pattern)
+        names = list(dict.fromkeys(n for s, _, t in legs for n in (s, t)))
+        found = g.find(pattern, hub_rows=3).select(*[f"{n}.id" for n in names])
+        got = Counter(tuple(sorted(zip(names, r))) for r in map(tuple, found.collect()))
+        assert got == brute_motif(edges, legs, defaultdict(lambda: "r"))
+
+
 def test_salted_lookup_equals_plain_join(spark):
     big = spark.createDataFrame([(i % 3, i) for i in range(200)] + [(9, 1)], "k int, v int")
     lookup = spark.createDataFrame([(0, "a"), (1, "b"), (2, "c")], "k int, name string")
