@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline
 from pyspark.ml import feature as FT
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from loomstat.constants import SENTIMENTS
@@ -163,6 +164,35 @@ def train_naive_bayes(t):
     return trained(t, L.naive_bayes())
 
 
+@query("naive_bayes_rows", f"""
+WITH {TERMS},
+grams AS (SELECT CommentID, term || ' ' || lead(term) OVER (PARTITION BY CommentID ORDER BY pos) AS term FROM kept),
+counts AS (SELECT CommentID, k, term, count(*) AS n FROM (SELECT CommentID, 1 AS k, term FROM kept
+  UNION ALL SELECT CommentID, 2, term FROM grams WHERE term IS NOT NULL) u GROUP BY ALL),
+rows AS (SELECT CommentID, Sentiment, {TEST_ROWS} AS held_out FROM comments),
+m AS (SELECT CAST(count(*) AS DOUBLE) AS m FROM rows WHERE NOT held_out),
+vocabulary AS (SELECT k, term, count(*) AS df FROM counts JOIN rows USING (CommentID) WHERE NOT held_out GROUP BY k, term HAVING count(*) >= 3),
+weights AS (SELECT c.CommentID, c.k, c.term, c.n * ln((m + 1) / (df + 1)) AS x FROM counts c JOIN vocabulary USING (k, term) CROSS JOIN m),
+classes AS (SELECT Sentiment, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, Sentiment) - 1 AS label FROM rows
+  WHERE NOT held_out GROUP BY Sentiment),
+sums AS (SELECT Sentiment, k, term, sum(x) AS s FROM weights JOIN rows USING (CommentID) WHERE NOT held_out GROUP BY ALL),
+totals AS (SELECT Sentiment, sum(s) + (SELECT count(*) FROM vocabulary) AS t FROM sums GROUP BY Sentiment),
+theta AS (SELECT c.label, v.k, v.term, ln(coalesce(s.s, 0) + 1) - ln(t.t) AS th FROM vocabulary v CROSS JOIN classes c
+  JOIN totals t ON t.Sentiment = c.Sentiment LEFT JOIN sums s ON s.Sentiment = c.Sentiment AND s.k = v.k AND s.term = v.term),
+evidence AS (SELECT CommentID, label, sum(x * th) AS e FROM weights JOIN theta USING (k, term) GROUP BY CommentID, label),
+scores AS (SELECT r.CommentID, c.label, ln(c.n + 1.0) - ln(m + (SELECT count(*) FROM classes)) + coalesce(e.e, 0) AS score
+  FROM rows r CROSS JOIN classes c CROSS JOIN m LEFT JOIN evidence e ON e.CommentID = r.CommentID AND e.label = c.label WHERE held_out)
+SELECT CommentID, CAST(label AS INT) AS prediction, round(score, 4) AS score FROM scores
+QUALIFY row_number() OVER (PARTITION BY CommentID ORDER BY round(score, 9) DESC, label) = 1""")
+def naive_bayes_rows(t):
+    """What multinomial naive Bayes on a counted vocabulary of words and pairs predicts for each test row, and its score."""
+    train_rows, test_rows = splits(t)
+    model = L.train(train_rows, L.naive_bayes(), L.TextFeatures(vocabulary="counted", buckets=1 << 18))
+    found = model.transform(test_rows)
+    score = F.array_max(vector_to_array("rawPrediction"))
+    return found.select("CommentID", F.col("prediction").cast("int").alias("prediction"), F.round(score, 4).alias("score"))
+
+
 @query("train_decision_tree", TRAINED)
 def train_decision_tree(t):
     return trained(t, L.decision_tree())
