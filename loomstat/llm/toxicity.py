@@ -14,6 +14,7 @@ score is the share of label 1, 0.5 without any label. Ids never enter a score.
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections import Counter
 from dataclasses import dataclass, field, replace
@@ -150,11 +151,11 @@ class Trie:
         return [(term, weight, edits) for term, (weight, edits) in found.items()]
 
 
-class Lexicon:
+class Matcher:
     """Whole words and beginnings in tries; remembers the words it has looked up."""
 
-    def __init__(self, whole: dict[str, float], beginnings: dict[str, float], clean: frozenset = frozenset()):
-        self.whole, self.beginnings, self.clean = whole, beginnings, clean
+    def __init__(self, whole: dict[str, float], beginnings: dict[str, float]):
+        self.whole, self.beginnings = whole, beginnings
         self.tries = [
             Trie({t: w for t, w in whole.items() if FUZZY <= len(t) < FAR}, 1, swaps=True),
             Trie({t: w for t, w in whole.items() if len(t) >= FAR}, 2, swaps=True),
@@ -162,21 +163,45 @@ class Lexicon:
         self.starts = Trie({t: w for t, w in beginnings.items() if len(t) >= FUZZY}, 1, swaps=True, prefix=True)
         self.known: dict[str, tuple | None] = {}
 
-    def look(self, word: str) -> tuple[float, int] | None:
-        """``(weight, kind)`` of the best term: kind 0 exact, 1 misspelled, 2 beginning; None if there is none."""
+    def beginning(self, word: str) -> tuple[float, int] | None:
+        found = [w for n in PREFIXES if (w := self.beginnings.get(word[:n])) is not None and len(word) >= n]
+        return (max(found), 2) if found else None
+
+    def _find(self, word: str) -> tuple[float, int] | None:
         weight = self.whole.get(word)
         if weight is not None:
             return weight, 0
-        fuzzy = len(word) >= FUZZY - 1 and word not in self.clean
+        fuzzy = len(word) >= FUZZY - 1
         if fuzzy and (found := [hit for trie in self.tries for hit in trie.find(word)]):
             return max(w for _, w, _ in found), 1
-        found = [w for n in PREFIXES if (w := self.beginnings.get(word[:n])) is not None and len(word) >= n]
-        if found:
-            return max(found), 2
+        if (hit := self.beginning(word)) is not None:
+            return hit
         if fuzzy and (found := self.starts.find(word)):
             return max(w for _, w, _ in found), 1
         return None
 
+    def find(self, word: str) -> tuple[float, int] | None:
+        """``(weight, kind)`` of the best term: kind 0 exact, 1 misspelled, 2 beginning; None if there is none."""
+        if word in self.known:
+            return self.known[word]
+        if len(self.known) > KNOWN_WORDS:
+            self.known.clear()
+        hit = self.known[word] = self._find(word)
+        return hit
+
+
+class Lexicon:
+    """The terms of a matcher, less misspellings that are words of their own."""
+
+    def __init__(self, matcher: Matcher, clean: frozenset = frozenset()):
+        self.matcher, self.clean = matcher, clean
+        self.known: dict[str, tuple | None] = {}
+
+    def look(self, word: str) -> tuple[float, int] | None:
+        """As :meth:`Matcher.find`; a clean word is a term itself or has its beginning, but is no misspelling."""
+        hit = self.matcher.find(word)
+        return self.matcher.beginning(word) if hit is not None and hit[1] == 1 and word in self.clean else hit
+
     def hits(self, words: list[str]) -> list[tuple[int, float, int]]:
         """``(position, weight, kind)`` of the words that are terms."""
         known = self.known
@@ -214,9 +239,16 @@ class ToxicityModel:
     clean: frozenset = frozenset()  # words near a term that labelled documents have as words of their own
     context: dict[str, float] = field(default_factory=dict)
     weights: np.ndarray = field(default_factory=lambda: np.zeros(WIDTH))
+    key: tuple[str, str] | None = None
 
     def lexicon(self) -> Lexicon:
-        return Lexicon(self.whole, self.beginnings, self.clean)
+        return Lexicon(Matcher(self.whole, self.beginnings), self.clean)
+
+    def keyed(self) -> "ToxicityModel":
+        """With names for its terms and its clean words, by which tasks know that they have them already."""
+        terms = repr((sorted(self.whole.items()), sorted(self.beginnings.items())))
+        digest = lambda text: hashlib.md5(text.encode()).hexdigest()
+        return replace(self, key=(digest(terms), digest(repr(sorted(self.clean)))))
 
     def window_score(self, words: list[str], position: int) -> float:
         """Above 0: the words around speak for abuse, below: for quotation or chance."""
@@ -242,27 +274,38 @@ class ToxicityModel:
     def column(self, text: Column | str) -> Column:
         """The score of a text column."""
 
+        model = self if self.key is not None else self.keyed()
+
         @F.arrow_udf(DoubleType())
         def run(texts: pa.Array) -> pa.Array:
-            lexicon = _lexicon(self)
+            lexicon = _lexicon(model)
             out = []
             for part in slices([pa.RecordBatch.from_arrays([texts], ["t"])]):
-                rows = [self.features(words_of(t), lexicon) for t in utf8(part.column(0))]
-                out.append(self.score(np.array(rows, np.float64).reshape(-1, WIDTH)))
+                rows = [model.features(words_of(t), lexicon) for t in utf8(part.column(0))]
+                out.append(model.score(np.array(rows, np.float64).reshape(-1, WIDTH)))
             return pa.array(np.concatenate(out) if out else np.zeros(0))
 
         return run(text)
 
 
-_LEXICONS: dict[int, tuple[ToxicityModel, Lexicon]] = {}
+_MATCHERS: dict[str, Matcher] = {}
+_LEXICONS: dict[tuple[str, str], Lexicon] = {}
 
 
 def _lexicon(model: ToxicityModel) -> Lexicon:
-    """One lexicon per model in a task, so that looked-up words are remembered across batches."""
-    if id(model) not in _LEXICONS:
+    """One lexicon per model in a worker, and one matcher for all passes of a fit and the scoring after it.
+
+    Each task is sent a model of its own; by its key a worker finds the tries and the words looked up by earlier tasks.
+    """
+    if model.key is None:
+        return model.lexicon()
+    if model.key not in _LEXICONS:
+        if model.key[0] not in _MATCHERS:
+            _MATCHERS.clear()
+            _MATCHERS[model.key[0]] = Matcher(model.whole, model.beginnings)
         _LEXICONS.clear()
-        _LEXICONS[id(model)] = (model, model.lexicon())
-    return _LEXICONS[id(model)][1]
+        _LEXICONS[model.key] = Lexicon(_MATCHERS[model.key[0]], model.clean)
+    return _LEXICONS[model.key]
 
 
 def _count(rows: DataFrame, entries, flush: int = 200_000) -> DataFrame:
@@ -356,6 +399,7 @@ def fit(labelled: DataFrame) -> ToxicityModel:
     odds = F.log((F.col("toxic") + 0.5) / (n_toxic + 1.0)) - F.log((F.col("clean") + 0.5) / (n_clean + 1.0))
     strong = _count(labelled, terms).filter((F.col("toxic") >= support) & (odds >= TERM_ODDS))
     _take(model, strong.select("kind", "entry", odds.alias("odds"), "toxic").collect())
+    model = model.keyed()
 
     def near(text):
         known = _lexicon(model)
@@ -363,7 +407,7 @@ def fit(labelled: DataFrame) -> ToxicityModel:
 
     # What clean documents use again and again is not a misspelling, unless toxic ones use it far more.
     own = _count(labelled, near).filter((F.col("clean") >= CLEAN_DOCS) & (odds < TERM_ODDS)).select("entry")
-    model = replace(model, clean=frozenset(r.entry for r in own.collect()))
+    model = replace(model, clean=frozenset(r.entry for r in own.collect())).keyed()
 
     def contexts(text):
         words = words_of(text)
