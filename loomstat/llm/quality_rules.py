@@ -4,6 +4,10 @@ A rule is a condition that rejects a document. Each rule's cost and the share it
 bounded size; the rules then run in order of rejected share per cost, and a document that one of them rejects is not
 looked at by those that follow. The order has no influence on the verdict, only on the work.
 
+:func:`judge` reports every feature, so it works all of them out first and orders the rules beyond the base rules.
+:func:`keep_passing` reports none: there each rule, base rules included, works out what it reads itself, is timed with
+that, and what only a later rule reads is never worked out for a document that was rejected before.
+
 All of it is DataFrame functions: words by a split, repeated windows of words by hashes that are sorted only where
 there is a repeat at all.
 
@@ -13,8 +17,9 @@ so repeated rows and null ids need no care; columns with the names of helpers ar
 
 from __future__ import annotations
 
+import re
 import time
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -77,6 +82,37 @@ def word_features(docs: DataFrame, text_col: str = "text", window: int = WINDOW)
     )
 
 
+def _let(name: str, value: str, body: str) -> str:
+    """SQL of ``body`` in which ``name`` stands for ``value``, worked out once."""
+    return f"element_at(transform(array({value}), {name} -> {body}), 1)"
+
+
+def _feature_sql(window: int = WINDOW) -> dict[str, str]:
+    """Each column of :func:`word_features` as SQL of ``text`` alone."""
+    blank = r"[\\x20\\x09-\\x0D]"
+    words = f"filter(split(text, '{blank}+'), w -> w <> '')"
+    lines = f"filter(split(text, '\\n'), line -> line rlike '[^{blank[1:]}')"
+    whole = ", ".join(f"get(h, i + {k})" for k in range(window))
+    steps = f"transform(at, (p, i) -> coalesce(least({window}, get(at, i + 1) - p), {window}))"
+    twice = "coalesce(get(o, i - 1).w = e.w, false) or coalesce(get(o, i + 1).w = e.w, false)"
+    covered = _let("at", f"array_sort(transform(filter(o, (e, i) -> {twice}), e -> e.i))", f"aggregate({steps}, 0, (a, b) -> a + b)")
+    placed = _let("o", "array_sort(transform(v, (w, i) -> named_struct('w', w, 'i', i)))", covered)
+    checked = f"if(size(array_distinct(v)) < size(v), {placed}, 0)"
+    windows = _let("v", f"transform(sequence(0, size(h) - {window}), i -> xxhash64({whole}))", checked)
+    repeated = _let("h", f"transform({words}, w -> xxhash64(w))", f"if(size(h) < {window}, 0, {windows})")
+    return {
+        "n_words": f"cast(size({words}) as bigint)",
+        "word_chars": f"cast(length(array_join({words}, '')) as bigint)",
+        "n_symbols": f"cast(length(text) - length(regexp_replace(text, '{SYMBOLS}', '')) as bigint)",
+        "n_lines": f"cast(size({lines}) as bigint)",
+        "n_dup_lines": _let("l", lines, "cast(size(l) - size(array_distinct(l)) as bigint)"),
+        "n_repeat_words": f"cast({repeated} as bigint)",
+    }
+
+
+FEATURES = _feature_sql()
+
+
 @dataclass(frozen=True)
 class Rule:
     """``rejects`` is SQL over the columns of :func:`word_features`; null counts as no."""
@@ -88,6 +124,15 @@ class Rule:
     def condition(self) -> Column:
         return F.coalesce(F.expr(self.rejects), F.lit(False))
 
+    @property
+    def on_text(self) -> Column:
+        """The condition over ``text`` alone: the features it names are worked out within it, each once."""
+        sql = self.rejects
+        for name, value in FEATURES.items():
+            if re.search(rf"\b{name}\b", self.rejects):
+                sql = f"exists(array({value}), {name} -> {sql})"
+        return F.coalesce(F.expr(sql), F.lit(False))
+
 
 BASE = (
     Rule("few_words", "n_words < 10"),
@@ -114,8 +159,19 @@ class Measured:
         return self.rejected / max(self.seconds, 1e-6)
 
 
-def measure(features: DataFrame, rules: Sequence[Rule], sample_rows: int = SAMPLE) -> list[Measured]:
-    """Cost and rejected share of each rule, best first.
+def over_features(rule: Rule) -> Column:
+    return rule.condition
+
+
+def over_text(rule: Rule) -> Column:
+    return rule.on_text
+
+
+def measure(
+    features: DataFrame, rules: Sequence[Rule], sample_rows: int = SAMPLE,
+    condition: Callable[[Rule], Column] = over_features,
+) -> list[Measured]:
+    """Cost and rejected share of each rule, best first; ``condition`` is how a rule is asked.
 
     The rows measured are a bounded number of some hundredth of ``features``; they are written once, so that each
     rule is timed on its own work. A job without any rule gives the time to take off.
@@ -132,18 +188,18 @@ def measure(features: DataFrame, rules: Sequence[Rule], sample_rows: int = SAMPL
     floor = run(F.lit(False))[0]
     found = []
     for rule in rules:
-        seconds, n, hit = run(rule.condition)
+        seconds, n, hit = run(condition(rule))
         found.append(Measured(rule, max(seconds - floor, 1e-3), (hit + 1) / (n + 2)))
     return sorted(found, key=lambda m: (-m.gain, m.rule.name))
 
 
-def cascade(rules: Sequence[Rule]) -> Column:
+def cascade(rules: Sequence[Rule], condition: Callable[[Rule], Column] = over_features) -> Column:
     """Whether no rule rejects; a rule is evaluated only for rows that passed those before it."""
     if not rules:
         return F.lit(True)
-    verdict = F.when(rules[0].condition, False)
+    verdict = F.when(condition(rules[0]), False)
     for rule in rules[1:]:
-        verdict = verdict.when(rule.condition, False)
+        verdict = verdict.when(condition(rule), False)
     return verdict.otherwise(True)
 
 
@@ -160,9 +216,11 @@ def judge(
     ).drop("text")
 
 
-def keep_passing(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` without the documents that a rule rejects."""
-    judged = judge(docs, **options)
-    # A plain filter would be pushed below the features and would work them out again for each use of them.
-    passed = judged.select(F.explode_outer(F.when(F.col("kept"), F.array("row"))).alias("row"))
-    return passed.filter(F.col("row").isNotNull()).select("row.*")
+def keep_passing(
+    docs: DataFrame, *, text_col: str = "text", base: Sequence[Rule] = BASE, rules: Sequence[Rule] = RULES,
+    sample_rows: int = SAMPLE,
+) -> DataFrame:
+    """``docs`` without the documents that a rule rejects; a rule's features are worked out when it is asked."""
+    rows = docs.select(F.struct("*").alias("row"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    ordered = [m.rule for m in measure(rows, [*base, *rules], sample_rows, over_text)]
+    return rows.filter(cascade(ordered, over_text)).select("row.*")

@@ -3,6 +3,9 @@ from __future__ import annotations
 import random
 import re
 
+import pytest
+from pyspark.sql import functions as F
+
 from loomstat.llm import quality_rules as rules
 
 BLANK = re.compile(r"[^\x20\x09-\x0D]+")
@@ -70,3 +73,42 @@ def test_empty_table_and_no_python(spark):
     assert judged.collect() == []
     plan = judged._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+
+
+def test_features_of_text_alone(spark):
+    docs = spark.createDataFrame(list(enumerate(cases())), "doc_id int, text string")
+    names = list(rules.FEATURES)
+    own = [F.expr(sql).alias(f"own_{name}") for name, sql in rules.FEATURES.items()]
+    for r in rules.word_features(docs).select(*names, *own).collect():
+        assert [r[n] for n in names] == [r[f"own_{n}"] for n in names]
+
+
+def test_a_later_rule_is_not_evaluated_for_rejected_rows(spark):
+    """The later rule works out repeated windows and fails when it is asked."""
+    docs = spark.createDataFrame([(i, "too short") for i in range(50)], "doc_id int, text string")
+    costly = rules.Rule("costly", "n_repeat_words >= 0 and cast(raise_error('asked') as boolean)")
+    order = [rules.BASE[0], costly]
+    assert docs.filter(rules.cascade(order, rules.over_text)).collect() == []
+    with pytest.raises(Exception, match="asked"):
+        docs.filter(rules.cascade(order[::-1], rules.over_text)).collect()
+
+
+def test_costly_features_count_as_a_rule_s_cost(spark):
+    """With equal rejections the rule that works out windows comes after the one that counts characters."""
+    docs = spark.range(20_000).selectExpr("cast(id as int) doc_id", "repeat(concat('word', id, ' and more '), 200) text")
+    rows = docs.select("text")
+    cheap, costly = rules.Rule("z_cheap", "length(text) < 0"), rules.Rule("a_costly", "n_repeat_words < 0")
+    found = rules.measure(rows, [costly, cheap], 200, rules.over_text)
+    assert [m.rule for m in found] == [cheap, costly]
+
+
+def test_keep_passing_with_clashing_columns_and_empty_table(spark):
+    texts = cases()
+    schema = "doc_id int, text string, row string, n_words string, h int, w int"
+    docs = spark.createDataFrame([(i, t, "r", "n", 1, 2) for i, t in enumerate(texts)], schema)
+    kept = rules.keep_passing(docs)
+    judged = {r.row.doc_id for r in rules.judge(docs).select("row", "kept").collect() if r.kept}
+    assert kept.schema == docs.schema and {r.doc_id for r in kept.collect()} == judged
+    plan = kept._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+    assert rules.keep_passing(docs.limit(0)).collect() == []
