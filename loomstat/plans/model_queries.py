@@ -12,6 +12,7 @@ from loomstat.functions.nested import label_map
 from loomstat.operators import models as L
 from loomstat.operators import rows as R
 from loomstat.operators.metrics import classification_metrics
+from loomstat.operators.networks import train_network
 from loomstat.operators.scoring import score_batch
 from loomstat.plans.registry import query
 from loomstat.plans.views import sql_list
@@ -64,10 +65,6 @@ def ngrams(t):
     return tokens(t, 3).select("CommentID", F.array_join("ngrams", "|").alias("ngrams"))
 
 
-# Hash buckets of the network's input.
-NEURAL_BUCKETS = 4096
-
-
 def entries(vector: str):
     """The stored entries of a sparse vector column, as an array of (indices, values)."""
     raw = F.unwrap_udt(F.col(vector))
@@ -299,25 +296,16 @@ parts AS (SELECT Sentiment, 'test' AS split, CAST(floor(n * 0.1) AS BIGINT) AS n
   UNION ALL SELECT Sentiment, 'val', CAST(floor(n * 0.1) AS BIGINT) FROM sized)
 SELECT Sentiment, split, n, n AS n_classed FROM parts WHERE n > 0""")
 def train_neural(t):
-    """A small network on hashed text, trained on the train split and scored on the others: rows per class and split,
-    and those that got a class."""
+    """A small network on all words of the train split, scored on the others: rows per class and split, and those that
+    got a class."""
     names = F.array(*[F.lit(s) for s in SENTIMENTS])
     ids = F.array_position(names, F.col("Sentiment")).cast("int") - 1
     rows = t.comments.select("CommentID", "clean_text", ids.alias("label_id"))
     data = durable(R.stratified_split(rows, "label_id", "CommentID"), "neural-splits")
-    steps = [
-        FT.Tokenizer(inputCol="clean_text", outputCol="tokens"),
-        FT.HashingTF(numFeatures=NEURAL_BUCKETS, inputCol="tokens", outputCol="tf"),
-        FT.IDF(inputCol="tf", outputCol="features"),
-    ]
-    features = Pipeline(stages=steps).fit(data.filter("split = 'train'"))
-    vectors = durable(
-        features.transform(data).select("split", F.col("label_id").cast("double").alias("label"), "features"), "features"
-    )
-    model = L.neural_network([NEURAL_BUCKETS, 32, 3]).fit(vectors.filter("split = 'train'"))
-    found = model.transform(vectors.filter("split <> 'train'"))
-    return found.groupBy(F.get(names, F.col("label").cast("int")).alias("Sentiment"), "split").agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(F.col("prediction").isin(0.0, 1.0, 2.0)).alias("n_classed")
+    model = train_network(data.filter("split = 'train'"), len(SENTIMENTS), label="label_id")
+    found = model.predict(data.filter("split <> 'train'"))
+    return found.groupBy(F.get(names, F.col("label_id")).alias("Sentiment"), "split").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("prediction").isin(0, 1, 2)).alias("n_classed")
     )
 
 
