@@ -14,9 +14,9 @@ from pyspark.sql import types as T
 
 from loomstat.session import durable
 
-# Most classes a model may have to travel whole to every worker; rows and centroids of a block beyond that, and blocks of
-# rows for each salt of a block of centroids.
-MAX_CLASSES, BLOCK, CELLS = 10_000, 4096, 64
+# Most classes a model may have to travel whole to every worker; rows and centroids of a block beyond that, blocks of
+# rows for each salt of a pack of centroids, and bytes of a pack.
+MAX_CLASSES, BLOCK, CELLS, PACK_BYTES = 10_000, 4096, 64, 16 << 20
 ROW = "__row"
 
 
@@ -87,33 +87,55 @@ def _blocks(df: DataFrame, key: str, vector: str, block: int, n: int) -> DataFra
     return durable(packed.withColumn("id", F.monotonically_increasing_id()), "vector-blocks")
 
 
-def _met(rows: DataFrame, centres: DataFrame, spread: int) -> DataFrame:
-    """``id, labels, distances`` per row of ``rows`` (``id, norms, x, centre``): the nearest centroid of block ``centre``.
+def _packs(ranges: list, most: int) -> list[tuple[int, int]]:
+    """The pack of each block of centroids: blocks of like norms, ``most`` bytes of them or a single one."""
+    packs, pack, held = [], -1, most
+    for r in sorted(ranges, key=lambda r: (r["low"], r["id"])):
+        if held + r["bytes"] > most:
+            pack, held = pack + 1, 0
+        held += r["bytes"]
+        packs.append((r["id"], pack))
+    return packs
 
-    A block of centroids that many blocks of rows meet is one key, so it is given ``spread`` salts.
+
+def _met(asked: DataFrame, rows: DataFrame, centres: DataFrame, packs: DataFrame, spread: int) -> DataFrame:
+    """``id, labels, distances``: the nearest centroid for each row of block ``id``, among the blocks ``asked`` (``id, centre``).
+
+    Blocks of centroids travel in packs, so a block of rows is sent once per pack that holds one it asks, and has one
+    answer per pack. A pack that many blocks of rows ask is given ``spread`` salts.
     """
 
-    def nearest(batches):
-        for batch in batches:
-            for i in range(batch.num_rows):
-                row = batch.slice(i, 1).to_pylist()[0]
-                names = np.array(row["names"])
-                order = np.argsort(names)
-                centre = np.frombuffer(row["cx"]).reshape(len(names), -1)[order]
-                x, norms = np.frombuffer(row["x"]), np.frombuffer(row["norms"])
-                gaps = (centre**2).sum(axis=1) - 2.0 * x.reshape(len(norms), -1) @ centre.T
+    def nearest(left: pa.Table, right: pa.Table) -> pa.Table:
+        models: dict[int, tuple[np.ndarray, ...]] = {}
+        for r in right.select(["block", "names", "cx"]).to_pylist():
+            names = np.array(r["names"])
+            order = np.argsort(names)
+            centre = np.frombuffer(r["cx"]).reshape(len(names), -1)[order]
+            models[r["block"]] = names[order].astype(np.int64), centre, (centre**2).sum(axis=1)
+        out = []
+        for i in range(left.num_rows):
+            row = left.slice(i, 1).to_pylist()[0]
+            x = np.frombuffer(row["x"]).reshape(len(np.frombuffer(row["norms"])), -1)
+            labels = far = None
+            for block in row["asked"]:
+                names, centre, lengths = models[block]
+                gaps = lengths - 2.0 * x @ centre.T
                 best = gaps.argmin(axis=1)
-                far = gaps[np.arange(len(best)), best]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([row["id"]], pa.int64()), pa.array([names[order][best].astype(np.int64).tobytes()], pa.binary()), pa.array([far.tobytes()], pa.binary())],
-                    names=["id", "labels", "distances"],
-                )
-
-    left = rows.select("id", "norms", "x", "centre", F.pmod(F.xxhash64("id"), F.lit(spread)).cast("int").alias("salt"))
-    right = centres.select(
-        F.col("id").alias("centre"), F.col("keys").alias("names"), F.col("x").alias("cx"), F.explode(F.sequence(F.lit(0), F.lit(spread - 1))).alias("salt")
+                found, gap = names[best], gaps[np.arange(len(best)), best]
+                if labels is not None:
+                    nearer = (gap < far) | ((gap == far) & (found < labels))
+                    found, gap = np.where(nearer, found, labels), np.where(nearer, gap, far)
+                labels, far = found, gap
+            out.append((row["id"], labels.tobytes(), far.tobytes()))
+        return pa.table({"id": pa.array([o[0] for o in out], pa.int64()), "labels": pa.array([o[1] for o in out], pa.binary()), "distances": pa.array([o[2] for o in out], pa.binary())})
+
+    wanted = asked.join(F.broadcast(packs), "centre").groupBy("id", "pack").agg(F.collect_list("centre").alias("asked"))
+    left = rows.select("id", "norms", "x").join(wanted, "id").withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(spread)).cast("int"))
+    right = centres.withColumnRenamed("id", "centre").join(F.broadcast(packs), "centre").select(
+        F.col("centre").alias("block"), F.col("pack").alias("pack"), F.col("keys").alias("names"), F.col("x").alias("cx"), F.explode(F.sequence(F.lit(0), F.lit(spread - 1))).alias("salt")
     )
-    return left.join(right, ["centre", "salt"]).mapInArrow(nearest, "id bigint, labels binary, distances binary")
+    keys = "pack", "salt"
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(nearest, "id bigint, labels binary, distances binary")
 
 
 def _score_in_blocks(vectors: DataFrame, centres: DataFrame, vector: str, label: str, block: int) -> DataFrame:
@@ -126,9 +148,11 @@ def _score_in_blocks(vectors: DataFrame, centres: DataFrame, vector: str, label:
     packed = _blocks(rows.filter(F.col(vector).isNotNull()), ROW, vector, block, max(1, rows.count()))
     models = _blocks(centres, label, "centroid", block, centres.count())
     # a row per block of centroids: one ``block``-th of the classes
-    ranges = [(r["id"], r["low"], r["high"]) for r in models.select("id", "low", "high").collect()]
-    ids, low, high = (np.array(c) for c in zip(*ranges, strict=True))
-    spread = max(1, math.ceil(packed.count() / CELLS))
+    ranges = models.select("id", "low", "high", F.length("x").alias("bytes")).collect()
+    ids, low, high = (np.array([r[c] for r in ranges]) for c in ("id", "low", "high"))
+    packs = vectors.sparkSession.createDataFrame(_packs(ranges, PACK_BYTES), "centre bigint, pack int")
+    blocks, held = packed.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.length("x")), F.lit(0))).first()
+    spread = max(1, math.ceil(blocks / CELLS), math.ceil(held / PACK_BYTES))
 
     def home(batches):
         for batch in batches:
@@ -147,9 +171,10 @@ def _score_in_blocks(vectors: DataFrame, centres: DataFrame, vector: str, label:
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(near.sum(), row["id"]), pa.int64()), pa.array(ids[near], pa.int64())], names=["id", "centre"])
 
     homes = durable(packed.select("id", "low", "high").mapInArrow(home, "id bigint, home bigint"), "home-blocks")
-    first = durable(_met(packed.join(homes.withColumnRenamed("home", "centre"), "id"), models, spread), "nearest")
+    first = durable(_met(homes.withColumnRenamed("home", "centre"), packed, models, packs, spread), "nearest")
     asked = packed.select("id", "norms").join(first, "id").join(homes, "id").select("id", "norms", "distances", "home")
-    second = _met(packed.join(asked.mapInArrow(others, "id bigint, centre bigint"), "id"), models, spread)
+    further = durable(asked.mapInArrow(others, "id bigint, centre bigint"), "asked-blocks")
+    second = _met(further, packed, models, packs, spread)
 
     def least(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         labels, far = (np.array([np.frombuffer(v.as_py(), kind) for v in table.column(c)]) for c, kind in (("labels", np.int64), ("distances", np.float64)))

@@ -49,3 +49,18 @@ def test_ties_go_to_the_smaller_label(spark):
     rows = [(i, [float(i % 2)], 50 - i % 4) for i in range(40)]
     table = spark.createDataFrame(rows, "id bigint, embedding array<double>, label int")
     assert {r.prediction for r in scoring.score_batch(table, most=2, block=1).collect()} == {47, 48} == set(brute(rows).values())
+
+
+def test_blocks_of_rows_are_sent_once_per_pack(spark, monkeypatch):
+    """Not once per block of centroids: the bytes moved would grow with the product of both sides."""
+    answers, met = [], scoring._met
+    monkeypatch.setattr(scoring, "_met", lambda *a: answers.append(scoring.durable(met(*a), "answers")) or answers[-1])
+    rnd = np.random.default_rng(5)
+    rows = [(i, rnd.normal(size=6).tolist(), i // 2) for i in range(400)]
+    table = spark.createDataFrame(rows, "id bigint, embedding array<double>, label int")
+    for pack, packs in ((1 << 20, 1), (3 * 8 * 6 * 8, 9)):  # all centroids in one pack; three blocks of eight in a pack
+        monkeypatch.setattr(scoring, "PACK_BYTES", pack)
+        answers.clear()
+        assert {r.id: r.prediction for r in scoring.score_batch(table, most=10, block=8).collect()} == brute(rows)
+        per_block = answers[1].groupBy("id").count().agg({"count": "max"}).first()[0]
+        assert 1 <= per_block <= packs < 200 / 8
