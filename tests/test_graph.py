@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
+from loomstat.graph import build as B
 from loomstat.graph import overlap
 from loomstat.graph import projection as P
 from loomstat.graph.components import connected_components, group_sizes
@@ -16,6 +17,7 @@ from loomstat.graph.model import PropertyGraph, leg_order, motif_legs
 from loomstat.graph.paths import bfs_paths, landmark_distances, path_counts, shortest_paths
 from loomstat.graph.ranking import label_propagation, pagerank
 from loomstat.operators import skew
+from loomstat.session import bounded_tasks, durable
 
 GOLDEN = [("1", "2"), ("1", "3"), ("2", "3"), ("4", "3"), ("5", "4"), ("5", "4"), ("6", "5"), ("3", "7")]
 
@@ -378,3 +380,51 @@ def test_pairs_of_two_hubs_are_made_in_blocks(spark):
     want = {(f"i{i:03}", f"i{j:03}"): 2 for i in range(60) for j in range(i + 1, 60)}
     want["i000", "i001"] = 3
     assert found == want
+
+
+def paper_tables(spark):
+    """Three papers; an author, a reference and a name that belong to none of them, and rows that come twice."""
+    papers = spark.createDataFrame(
+        [(str(i), f"T{i}", 2000, 3, " Conf A ", "C", "conf a") for i in range(3)],
+        "id string, title string, year int, n_citation bigint, venue_raw string, venue_type string, venue_key string",
+    )
+    authors = spark.createDataFrame(
+        [("0", "a", "Ann"), ("0", "a", "Ann"), ("1", "a", "An"), ("9", "a", "Zed"), ("9", "b", "Bob"), (None, "a", "No")],
+        "paper_id string, author_id string, author_name string",
+    )
+    references = spark.createDataFrame([("0", "1"), ("0", "1"), ("1", "9"), ("9", "0"), (None, "0"), ("2", None)], "paper_id string, ref_id string")
+    fields = spark.createDataFrame([("0", "x")], "paper_id string, primary_field string")
+    return B.PaperTables(papers, authors, references, fields)
+
+
+def test_stored_tables_give_the_same_graph(spark):
+    tables = paper_tables(spark)
+    stored = tables.stored()
+    for build in (B.build_vertices, B.build_edges):
+        assert sorted(map(str, build(tables).collect())) == sorted(map(str, build(stored).collect()))
+    assert {r.src for r in B.build_wrote_edges(stored).collect()} == {"A:a"}
+    assert [(r.src, r.dst) for r in B.build_cites_edges(stored).collect()] == [("P:0", "P:1")]
+
+
+def test_ids_of_papers_are_not_broadcast(spark):
+    """They are small on disk and large in memory; what is stored is not looked up once more."""
+    stored = paper_tables(spark).stored()
+    plans = {build: build(stored)._jdf.queryExecution().executedPlan().toString() for build in (B.build_wrote_edges, B.build_cites_edges)}
+    assert not any("Broadcast" in plan for plan in plans.values())
+    assert "Join" not in plans[B.build_wrote_edges]
+    assert plans[B.build_cites_edges].count("SortMergeJoin") == 1
+
+
+def test_tasks_read_a_bounded_part(spark):
+    files, shuffles = "spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = [spark.conf.get(key) for key in (files, shuffles)]
+    try:
+        spark.conf.set(files, "134217728b")
+        spark.conf.set(shuffles, "48m")
+        durable(spark.range(3))
+        assert [spark.conf.get(key) for key in (files, shuffles)] == ["8m", "48m"]  # a caller's value stays
+        bounded_tasks(spark)
+        assert [spark.conf.get(key) for key in (files, shuffles)] == ["8m", "48m"]
+    finally:
+        for key, value in zip((files, shuffles), before, strict=True):
+            spark.conf.set(key, value)
