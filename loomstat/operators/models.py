@@ -115,11 +115,23 @@ def text_pipeline(classifier: Estimator, features: TextFeatures = TextFeatures()
     return Pipeline(stages=[*features.stages(), classifier])
 
 
+def stored_vectors(rows: DataFrame) -> DataFrame:
+    """``features, label`` of ``rows``, written without the names of single features.
+
+    The assembler names each of them in the column's metadata, some 45 bytes apiece, and all plans above it carry these
+    to every task of every pass. The number of features stays.
+    """
+    known = rows.schema["features"].metadata.get("ml_attr", {})
+    group = {"ml_attr": {"num_attrs": known["num_attrs"]}} if "num_attrs" in known else {}
+    return durable(rows.select(F.col("features").alias("features", metadata=group), "label"), "vectors")
+
+
 def featurize(train: DataFrame, features: TextFeatures = TextFeatures()) -> tuple[PipelineModel, DataFrame]:
     """Fitted feature stages and the training vectors.
 
-    Text is tokenised once: the stages that need no fitting run first, their result is written, and every fit and
-    every learner reads the written table.
+    Text is tokenised once: the stages that need no fitting run first, their result is written, and every fit reads the
+    written table. The vectors are written in turn, so that learners that pass over them many times do not weigh them
+    again.
     """
     fixed = features.token_stages()
     columns = [*TOKEN_COLUMNS, features.label]
@@ -131,7 +143,7 @@ def featurize(train: DataFrame, features: TextFeatures = TextFeatures()) -> tupl
         fitted_stages = [*features.count_stages(), *features.weight_stages()]
     counted = durable(PipelineModel(fixed).transform(train).select(*columns), "features")
     fitted = Pipeline(stages=[*fitted_stages, features.label_stage()]).fit(counted)
-    return PipelineModel([*fixed, *fitted.stages]), fitted.transform(counted).select("features", "label")
+    return PipelineModel([*fixed, *fitted.stages]), stored_vectors(fitted.transform(counted))
 
 
 def train(
@@ -155,7 +167,7 @@ def compare_models(
     """
     spark = train_rows.sparkSession
     feature_model, vectors = featurize(train_rows, features)
-    test = durable(feature_model.transform(test_rows).select("features", "label"), "features")
+    test = stored_vectors(feature_model.transform(test_rows))
     models, rows = {}, []
     for name, make in classifiers.items():
         fitted = make().fit(vectors)

@@ -35,3 +35,14 @@ def test_beats_the_largest_class(spark, parts, name):
     model = L.train(train, make(20) if name == "Random Forest" else make(max_iter=40) if "SVM" in name else make())
     found = classification_metrics(model.transform(held).select("label", "prediction")).first()
     assert found["accuracy"] > share + 0.05
+
+
+def test_vectors_are_stored_without_names_of_features(spark):
+    """The names of all features would travel with every task of every pass; the vectors stay the same."""
+    rows = spark.createDataFrame([(f"good film number {i % 4}", "a" if i % 3 else "b") for i in range(24)], "clean_text string, Sentiment string")
+    features = L.TextFeatures(buckets=50)
+    model, vectors = L.featurize(rows, features)
+    assert vectors.schema["features"].metadata == {"ml_attr": {"num_attrs": 100}}
+    assert vectors.schema["label"].metadata["ml_attr"]["vals"] == ["a", "b", "__unknown"]
+    assert "Project" not in vectors._jdf.queryExecution().analyzed().toString()
+    assert sorted(map(str, vectors.collect())) == sorted(map(str, model.transform(rows).select("features", "label").collect()))
