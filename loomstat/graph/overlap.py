@@ -13,7 +13,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from loomstat.session import durable
+from loomstat.session import PARTITION_ROWS, durable, partitions_for
+
+# Partitions that shuffled pairs are given at most.
+MOST_PARTITIONS = 4096
 
 # Items above which a context is a hub, items of one hub that a task pairs up, items that a top-k search begins with.
 HEAVY, BLOCK, SEED = 512, 2048, 256
@@ -129,6 +132,15 @@ def top_shared_pairs(occurrences: DataFrame, *, item: str, context: str, k: int
     """
     spark = occurrences.sparkSession
     rows = durable(occurrences.select(F.col(item).alias("item"), F.col(context).alias("context")), "top-pairs")
+    n = F.count(F.lit(1)).cast("double")
+    with partitions_for(spark, rows.count()):
+        pairs = rows.groupBy("context").agg((n * (n - 1) / 2).alias("pairs")).agg(F.sum("pairs")).first()[0] or 0
+    with partitions_for(spark, int(min(pairs, MOST_PARTITIONS * PARTITION_ROWS))):
+        return _top_shared_pairs(rows, k, seed)
+
+
+def _top_shared_pairs(rows: DataFrame, k: int, seed: int) -> DataFrame:
+    spark = rows.sparkSession
     often = durable(rows.groupBy("item").agg(F.count(F.lit(1)).alias("n")), "top-degrees")
     first = F.broadcast(often.orderBy(F.desc("n"), "item").limit(seed).select("item"))  # ``seed`` rows
     order = [F.desc("shared"), "a", "b"]

@@ -16,7 +16,7 @@ from pyspark.sql import Window
 
 from loomstat.graph.model import PropertyGraph
 from loomstat.operators.skew import SALT, Salting
-from loomstat.session import bucketed, durable
+from loomstat.session import bucketed, durable, partitions_for
 
 # Levels after which the tables of visited vertices are merged into one, and landmarks of one search word.
 MERGE_EVERY = 4
@@ -50,10 +50,11 @@ class _Links:
 @contextmanager
 def _links(g: PropertyGraph, key: str) -> Iterator[_Links]:
     other = {"src": "dst", "dst": "src"}[key]
-    edges = durable(g.edges.select("src", "dst").distinct(), "links")
-    hubs = Salting.measure(edges, key)
-    with bucketed(hubs.big(edges, key, other), *hubs.join_keys(key), label="links") as table:
-        yield _Links(table, key, hubs)
+    with partitions_for(g.edges.sparkSession, g.edges.count()):
+        edges = durable(g.edges.select("src", "dst").distinct(), "links")
+        hubs = Salting.measure(edges, key)
+        with bucketed(hubs.big(edges, key, other), *hubs.join_keys(key), label="links") as table:
+            yield _Links(table, key, hubs)
 
 
 @dataclass(frozen=True)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from loomstat.graph.model import PropertyGraph
 from loomstat.operators.skew import Salting, salted_lookup
-from loomstat.session import bucketed, durable
+from loomstat.session import bucketed, durable, partitions_for
 
 # Rounds between two cuts of the lineage: a lost executor costs at most this many rounds again.
 CUT_EVERY = 4
@@ -32,24 +32,26 @@ def pagerank(g: PropertyGraph, *, reset: float = 0.15, max_iter: int = 5) -> Dat
         raise ValueError("max_iter must be at least 1")
     out = durable(g.edges.groupBy("src").agg(F.count(F.lit(1)).alias("out_degree")), "out-degree")
     hubs = Salting.measure_counts(out, "src", "out_degree")
-    parallel = g.edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n"))
-    edges = salted_lookup(parallel, out, "src", spread="dst", how="inner", salting=hubs).select(
-        "src", "dst", (F.col("n") / F.col("out_degree")).alias("share")
-    )
-    by_source = hubs.join_keys("src")
-    with bucketed(hubs.big(edges, "src", "dst"), *by_source, label="shares") as shares:
-        incoming = shares.groupBy("dst").agg(F.sum("share").alias("inflow"))
-        for step in range(2, max_iter + 1):
-            lookup = hubs.lookup(incoming.withColumnRenamed("dst", "src"), "src")
-            incoming = (
-                shares.join(lookup, by_source, "left")
-                .groupBy("dst")
-                .agg(F.sum(F.col("share") * _rank(reset)).alias("inflow"))
-            )
-            if step % CUT_EVERY == 0 and step < max_iter:
-                incoming = durable(incoming, "inflow")
-        raw = g.vertices.select("id").join(incoming.withColumnRenamed("dst", "id"), "id", "left")
-        raw = durable(raw.select("id", _rank(reset).alias("raw")), "ranks")
+    rows = out.agg(F.coalesce(F.sum("out_degree"), F.lit(0))).first()[0]
+    with partitions_for(out.sparkSession, rows):
+        parallel = g.edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n"))
+        edges = salted_lookup(parallel, out, "src", spread="dst", how="inner", salting=hubs).select(
+            "src", "dst", (F.col("n") / F.col("out_degree")).alias("share")
+        )
+        by_source = hubs.join_keys("src")
+        with bucketed(hubs.big(edges, "src", "dst"), *by_source, label="shares") as shares:
+            incoming = shares.groupBy("dst").agg(F.sum("share").alias("inflow"))
+            for step in range(2, max_iter + 1):
+                lookup = hubs.lookup(incoming.withColumnRenamed("dst", "src"), "src")
+                incoming = (
+                    shares.join(lookup, by_source, "left")
+                    .groupBy("dst")
+                    .agg(F.sum(F.col("share") * _rank(reset)).alias("inflow"))
+                )
+                if step % CUT_EVERY == 0 and step < max_iter:
+                    incoming = durable(incoming, "inflow")
+            raw = g.vertices.select("id").join(incoming.withColumnRenamed("dst", "id"), "id", "left")
+            raw = durable(raw.select("id", _rank(reset).alias("raw")), "ranks")
     scale = raw.agg((F.count(F.lit(1)) / F.sum("raw")).alias("scale"))
     return raw.crossJoin(F.broadcast(scale)).select("id", (F.col("raw") * F.col("scale")).alias("pagerank"))
 
@@ -65,21 +67,22 @@ def label_propagation(g: PropertyGraph, *, max_iter: int = 5) -> DataFrame:
         F.struct(F.col("dst").alias("at"), F.col("src").alias("to")),
     )))
     links = durable(both.groupBy("at", "to").agg(F.count(F.lit(1)).alias("n")), "links")
-    hubs = Salting.measure_counts(links.groupBy("at").agg(F.count(F.lit(1)).alias("rows")), "at", "rows")
-    by_vertex = hubs.join_keys("at")
-    with bucketed(hubs.big(links, "at", "to"), *by_vertex, label="links") as near:
-        labels = None
-        for step in range(1, max_iter + 1):
-            if labels is None:
-                votes = near.select("to", F.col("at").alias("label"), "n")
-            else:
-                lookup = hubs.lookup(labels.withColumnRenamed("id", "at"), "at")
-                votes = near.join(lookup, by_vertex, "inner").select("to", "label", "n")
-            tally = votes.groupBy("to", "label").agg(F.sum("n").alias("n"))
-            best = F.min(F.struct((-F.col("n")).alias("n"), "label"))["label"]
-            labels = tally.groupBy(F.col("to").alias("id")).agg(best.alias("label"))
-            if step % CUT_EVERY == 0 or step == max_iter:
-                labels = durable(labels, "labels")
+    with partitions_for(links.sparkSession, links.count()):
+        hubs = Salting.measure_counts(links.groupBy("at").agg(F.count(F.lit(1)).alias("rows")), "at", "rows")
+        by_vertex = hubs.join_keys("at")
+        with bucketed(hubs.big(links, "at", "to"), *by_vertex, label="links") as near:
+            labels = None
+            for step in range(1, max_iter + 1):
+                if labels is None:
+                    votes = near.select("to", F.col("at").alias("label"), "n")
+                else:
+                    lookup = hubs.lookup(labels.withColumnRenamed("id", "at"), "at")
+                    votes = near.join(lookup, by_vertex, "inner").select("to", "label", "n")
+                tally = votes.groupBy("to", "label").agg(F.sum("n").alias("n"))
+                best = F.min(F.struct((-F.col("n")).alias("n"), "label"))["label"]
+                labels = tally.groupBy(F.col("to").alias("id")).agg(best.alias("label"))
+                if step % CUT_EVERY == 0 or step == max_iter:
+                    labels = durable(labels, "labels")
     if labels is None:
         return g.vertices.select("id", F.col("id").alias("label"))
     own = F.coalesce("label", F.col("id")).alias("label")

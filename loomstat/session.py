@@ -26,6 +26,9 @@ TASK_BYTES = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": ("67108864b", "16m"),
 }
 
+# Rows of a shuffle that meet in one partition on average, where their number is known; ids of papers and the like.
+PARTITION_ROWS = 250_000
+
 
 def build_session(
     app_name: str = "loomstat",
@@ -88,6 +91,27 @@ def durable(df: DataFrame, label: str = "cut") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def partitions_for(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Shuffles within have a partition per ``PARTITION_ROWS`` rows, at least as many as the session asks for.
+
+    Adaptive execution joins small partitions but never cuts a large one, and buckets are as many as partitions; with a
+    fixed number of either a task would hold more the larger the tables are.
+    """
+    key, first = "spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    before, before_first = spark.conf.get(key), spark.conf.get(first, None)
+    wanted = max(int(before), -(-rows // PARTITION_ROWS))
+    spark.conf.set(key, wanted)
+    if before_first is not None:
+        spark.conf.set(first, max(int(before_first), wanted))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+        if before_first is not None:
+            spark.conf.set(first, before_first)
+
+
 @contextmanager
 def bucketed(df: DataFrame, *keys: str, label: str = "bucketed") -> Iterator[DataFrame]:
     """``df`` as a durable table hash-bucketed on ``keys`` with one bucket per shuffle partition.

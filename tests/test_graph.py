@@ -5,19 +5,21 @@ from __future__ import annotations
 import itertools
 import random
 from collections import Counter, defaultdict
+from contextlib import contextmanager
 
 import pytest
 from pyspark.sql import functions as F
 
 from loomstat.graph import build as B
-from loomstat.graph import overlap
+from loomstat import session as sessions
+from loomstat.graph import overlap, paths, ranking
 from loomstat.graph import projection as P
 from loomstat.graph.components import connected_components, group_sizes
 from loomstat.graph.model import PropertyGraph, leg_order, motif_legs
 from loomstat.graph.paths import bfs_paths, landmark_distances, path_counts, shortest_paths
 from loomstat.graph.ranking import label_propagation, pagerank
 from loomstat.operators import skew
-from loomstat.session import bounded_tasks, durable
+from loomstat.session import bounded_tasks, bucketed, durable, partitions_for
 
 GOLDEN = [("1", "2"), ("1", "3"), ("2", "3"), ("4", "3"), ("5", "4"), ("5", "4"), ("6", "5"), ("3", "7")]
 
@@ -428,3 +430,35 @@ def test_tasks_read_a_bounded_part(spark):
     finally:
         for key, value in zip((files, shuffles), before, strict=True):
             spark.conf.set(key, value)
+
+
+def test_partitions_and_buckets_grow_with_the_rows(spark, make_graph, monkeypatch):
+    """Adaptive execution never cuts a partition, so a fixed number of them would grow with the tables."""
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    with pytest.raises(ZeroDivisionError), partitions_for(spark, 10 * sessions.PARTITION_ROWS):
+        assert spark.conf.get(key) == "10"
+        1 / 0
+    with partitions_for(spark, 1):
+        assert spark.conf.get(key) == before
+    graph = make_graph(GOLDEN)
+    searches = {
+        "ranks": lambda: sorted((r["id"], round(r["pagerank"], 9)) for r in pagerank(graph).collect()),
+        "labels": lambda: sorted(map(tuple, label_propagation(graph).collect())),
+        "hops": lambda: sorted(map(str, landmark_distances(graph, graph.vertices.filter("id = '3'").select("id"), max_hops=2).collect())),
+    }
+    plain = {name: search() for name, search in searches.items()}
+    found = []
+
+    @contextmanager
+    def seen(*args, **options):
+        with bucketed(*args, **options) as table:
+            found.append(int(spark.conf.get(key)))  # as many as there are buckets
+            yield table
+
+    monkeypatch.setattr(sessions, "PARTITION_ROWS", 1)
+    for module in (ranking, paths):
+        monkeypatch.setattr(module, "bucketed", seen)
+    assert {name: search() for name, search in searches.items()} == plain
+    assert len(found) >= 3 and min(found) >= 7
+    assert spark.conf.get(key) == before
