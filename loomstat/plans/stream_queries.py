@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from loomstat.constants import SENTIMENTS
@@ -24,12 +26,25 @@ def envelopes(t):
     return E.encode_messages(t.view("messages"), fetched_at=fetched)
 
 
-def stored_envelopes(t, rows: int = 200_000) -> str:
+# Envelopes of a file, which is a micro-batch.
+FILE_ROWS = 200_000
+
+
+def add_files(stored, path: str, rows: int = FILE_ROWS) -> None:
+    """Adds written envelopes to a folder in as few files of at most ``rows`` as hold them, and one at least.
+
+    A task's share of the input would be a file, and a micro-batch takes seconds however small it is.
+    """
+    dealt = stored.repartition(max(1, math.ceil(stored.count() / rows)))
+    dealt.write.option("maxRecordsPerFile", rows).mode("append").parquet(path)
+
+
+def stored_envelopes(t, rows: int = FILE_ROWS) -> str:
     """A folder of envelope files of bounded size, two of them at least, for several micro-batches."""
     path = new_path(t.spark, "envelopes")
     stored = durable(envelopes(t), "envelopes")
     for part in (F.xxhash64("key") > 0, F.xxhash64("key") <= 0):
-        stored.filter(part).write.option("maxRecordsPerFile", rows).mode("append").parquet(path)
+        add_files(stored.filter(part), path, rows)
     return path
 
 
@@ -190,7 +205,7 @@ def stream_restart(t):
     table, checkpoint, folder = scored_table(t), new_path(t.spark, "offsets"), new_path(t.spark, "envelopes")
     early = durable(envelopes(t), "envelopes").withColumn("early", F.xxhash64("key") > 0)
     for part in ("early", "NOT early"):
-        early.filter(part).select("key", "value").write.mode("append").parquet(folder)
+        add_files(early.filter(part).select("key", "value"), folder)
         stream = E.file_stream(t.spark, folder, files_per_batch=1)
         start_scoring(stream, rule_score, table, checkpoint, available_now=True).awaitTermination()
     again = E.file_stream(t.spark, folder)
@@ -223,7 +238,7 @@ def stream_counters(t):
     table, folder = scored_table(t), new_path(t.spark, "counters")
     plain, changed = stored_envelopes(t), new_path(t.spark, "envelopes")
     edits = t.view("messages").filter(EDITED).withColumn("author", F.lit("edited"))
-    E.encode_messages(edits, fetched_at=F.to_timestamp(F.lit(FETCHED))).write.parquet(changed)
+    add_files(durable(E.encode_messages(edits, fetched_at=F.to_timestamp(F.lit(FETCHED))), "envelopes"), changed)
     phases = []
     for phase, source in (("first", plain), ("again", plain), ("edited", changed)):
         checkpoint = new_path(t.spark, "offsets")

@@ -54,7 +54,8 @@ class Changes(StatefulProcessor):
                 newest, place = row, here
         if newest is None:  # a key of the initial state only
             return
-        before = self.stored.get()[0] if self.stored.exists() else None
+        known = self.stored.get()  # each call of the state is a message to the JVM and back
+        before = None if known is None else known[0]
         if before != newest["digest"]:
             self.stored.update((newest["digest"],))
         change = INSERTED if before is None else UNCHANGED if before == newest["digest"] else MODIFIED

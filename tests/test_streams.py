@@ -6,6 +6,7 @@ import random
 
 from pyspark.sql import functions as F
 
+from loomstat.plans.stream_queries import add_files
 from loomstat.session import new_path
 from loomstat.sources import files
 from loomstat.sources.messages import ENVELOPE_SCHEMA, encode_messages, file_stream
@@ -173,3 +174,16 @@ def test_run_for_a_while(spark):
     assert table.read().count() == 1
     ended = start_scoring(stream, score, table, new_path(spark, "offsets"), available_now=True)
     assert run_for(ended, seconds=60) is True
+
+
+def test_files_are_as_many_as_the_rows_need(spark):
+    """Not as many as tasks: each is a micro-batch."""
+    stored = spark.range(0, 1000, 1, 20).selectExpr("cast(id as string) AS key", "'x' AS value")
+    for rows, want in ((10_000, 1), (1000, 1), (400, 3)):
+        path = new_path(spark, "files")
+        add_files(stored, path, rows)
+        files_of = spark.read.parquet(path).groupBy(F.input_file_name()).count().collect()
+        assert len(files_of) == want and sum(r["count"] for r in files_of) == 1000 and max(r["count"] for r in files_of) <= rows
+    path = new_path(spark, "files")
+    add_files(stored.limit(0), path)
+    assert spark.read.parquet(path).count() == 0
