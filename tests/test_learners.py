@@ -46,3 +46,12 @@ def test_vectors_are_stored_without_names_of_features(spark):
     assert vectors.schema["label"].metadata["ml_attr"]["vals"] == ["a", "b", "__unknown"]
     assert "Project" not in vectors._jdf.queryExecution().analyzed().toString()
     assert sorted(map(str, vectors.collect())) == sorted(map(str, model.transform(rows).select("features", "label").collect()))
+
+
+def test_a_task_reads_few_vectors(spark):
+    """Vectors of one task's text, which take little disk, are dealt over many tasks of a learner."""
+    text = F.concat_ws(" ", F.concat(F.lit("w"), F.col("id") % 50), F.concat(F.lit("v"), F.col("id") % 7))
+    rows = spark.range(0, 30_000, 1, 1).select(text.alias("clean_text"), F.concat(F.lit("c"), F.col("id") % 2).alias("Sentiment"))
+    vectors = L.featurize(rows)[1]
+    sizes = [r["count"] for r in vectors.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 30_000 and max(sizes) <= 2 * L.VECTOR_ROWS
