@@ -16,7 +16,7 @@ from pyspark.sql import Window
 
 from loomstat.graph.model import PropertyGraph
 from loomstat.operators.skew import SALT, Salting
-from loomstat.session import bucketed, durable, partitions_for
+from loomstat.session import bucketed, durable, partitions_for, place
 
 # Levels after which the tables of visited vertices are merged into one, and landmarks of one search word.
 MERGE_EVERY = 4
@@ -51,9 +51,10 @@ class _Links:
 def _links(g: PropertyGraph, key: str) -> Iterator[_Links]:
     other = {"src": "dst", "dst": "src"}[key]
     with partitions_for(g.edges.sparkSession, g.edges.count()):
-        edges = durable(g.edges.select("src", "dst").distinct(), "links")
+        edges = g.edges.select("src", "dst")
         hubs = Salting.measure(edges, key)
-        with bucketed(hubs.big(edges, key, other), *hubs.join_keys(key), label="links") as table:
+        placed = place(hubs.big(edges, key, other), *hubs.join_keys(key)).distinct()
+        with bucketed(placed, *hubs.join_keys(key), label="links", placed=True) as table:
             yield _Links(table, key, hubs)
 
 
@@ -184,7 +185,8 @@ def _entries(reached: DataFrame, marks: DataFrame) -> DataFrame:
 def landmark_distances(g: PropertyGraph, landmarks: DataFrame, *, max_hops: int | None = None) -> DataFrame:
     """``id, landmark, hops`` for all pairs with a path from ``id`` to the landmark along the edges, of any length or of
     ``max_hops`` at most."""
-    marks = _numbered(landmarks)
+    with partitions_for(g.edges.sparkSession, g.edges.count()):
+        marks = _numbered(landmarks)
     return _entries(_reached(g, marks, max_hops), marks).select("id", F.inline("entries"))
 
 
@@ -193,7 +195,8 @@ def shortest_paths(g: PropertyGraph, landmarks: DataFrame) -> DataFrame:
 
     The map has one entry per landmark reached; 64 landmarks cost a search what one does.
     """
-    marks = _numbered(landmarks)
+    with partitions_for(g.edges.sparkSession, g.edges.count()):
+        marks = _numbered(landmarks)
     lists = _entries(_reached(g, marks), marks).groupBy("id").agg(F.flatten(F.collect_list("entries")).alias("entries"))
     reached = lists.select("id", F.map_from_entries(F.array_sort("entries")).alias("distances"))
     empty = F.expr("cast(map() as map<string,int>)")

@@ -114,10 +114,17 @@ def partitions_for(spark: SparkSession, rows: int) -> Iterator[None]:
             spark.conf.set(first, before_first)
 
 
+def place(df: DataFrame, *keys: str) -> DataFrame:
+    """``df`` with a task per shuffle partition and equal ``keys`` in one, so that groups and joins on them move it no more."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 @contextmanager
-def bucketed(df: DataFrame, *keys: str, label: str = "bucketed") -> Iterator[DataFrame]:
+def bucketed(df: DataFrame, *keys: str, label: str = "bucketed", placed: bool = False) -> Iterator[DataFrame]:
     """``df`` as a durable table hash-bucketed on ``keys`` with one bucket per shuffle partition.
 
+    ``placed`` rows come from :func:`place` on the same keys and are written where they are.
+
     Joins on ``keys`` read it without an exchange, which is what a loop that joins the same big side again and
     again needs. The catalog entry lives as long as the context, so what is built from it must be written inside.
     """
@@ -126,7 +133,7 @@ def bucketed(df: DataFrame, *keys: str, label: str = "bucketed") -> Iterator[Dat
     path = new_path(spark, label)
     table = "loomstat_" + path.rsplit("-", 1)[1]
     (
-        df.repartition(buckets, *keys)
+        (df if placed else place(df, *keys))
         .write.format("parquet")
         .bucketBy(buckets, *keys)
         .option("path", path)
