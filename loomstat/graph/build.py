@@ -10,6 +10,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 
 from loomstat.constants import MAX_YEAR, MIN_YEAR, UNKNOWN_VENUE
 from loomstat.functions.nested import primary_by_weight
@@ -19,6 +20,7 @@ from loomstat.operators.rows import dedupe_rows
 from loomstat.session import durable
 
 PAPER, AUTHOR, VENUE = "P:", "A:", "V:"
+FIRST = "__first"
 
 
 @dataclass(frozen=True)
@@ -33,11 +35,16 @@ class PaperTables:
     scoped: bool = False
 
     def stored(self) -> "PaperTables":
-        """The same tables written once, for builds that read each of them several times."""
+        """The same tables written once, for builds that read each of them several times.
+
+        As all authors of a paper are in one place then, the first row of each author of it is marked there.
+        """
         papers = durable(self.papers, "papers")
+        pair = Window.partitionBy("paper_id", "author_id").orderBy("author_name")
+        authors = in_scope(self.authors, papers).select("paper_id", "author_id", "author_name", (F.row_number().over(pair) == 1).alias(FIRST))
         return PaperTables(
             papers,
-            durable(in_scope(self.authors, papers).select("paper_id", "author_id", "author_name"), "authors"),
+            durable(authors, "authors"),
             durable(in_scope(self.references, papers), "references"),
             durable(self.primary_fields, "primary-fields"),
             scoped=True,
@@ -188,7 +195,9 @@ def build_vertices(tables: PaperTables) -> DataFrame:
 
 
 def build_wrote_edges(tables: PaperTables) -> DataFrame:
-    written = tables.own_authors().select("author_id", "paper_id").distinct()
+    authors = tables.own_authors()
+    pairs = ["author_id", "paper_id"]
+    written = authors.filter(FIRST).select(*pairs) if FIRST in authors.columns else authors.select(*pairs).distinct()
     return _edge(written, (AUTHOR, "author_id"), (PAPER, "paper_id"), "wrote")
 
 

@@ -6,10 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomstat.graph.model import PropertyGraph
-from loomstat.operators.skew import Salting, salted_lookup
-from loomstat.session import bucketed, durable, partitions_for
+from loomstat.operators.skew import Salting
+from loomstat.session import bucketed, durable, partitions_for, place
 
-# Rounds between two cuts of the lineage: a lost executor costs at most this many rounds again.
+# Rounds between two cuts of the lineage: a lost executor costs at most this many rounds again, or one more at the end.
 CUT_EVERY = 4
 
 
@@ -34,12 +34,11 @@ def pagerank(g: PropertyGraph, *, reset: float = 0.15, max_iter: int = 5) -> Dat
     hubs = Salting.measure_counts(out, "src", "out_degree")
     rows = out.agg(F.coalesce(F.sum("out_degree"), F.lit(0))).first()[0]
     with partitions_for(out.sparkSession, rows):
-        parallel = g.edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n"))
-        edges = salted_lookup(parallel, out, "src", spread="dst", how="inner", salting=hubs).select(
-            "src", "dst", (F.col("n") / F.col("out_degree")).alias("share")
-        )
         by_source = hubs.join_keys("src")
-        with bucketed(hubs.big(edges, "src", "dst"), *by_source, label="shares") as shares:
+        # moved once: counted, joined and written where their source is
+        parallel = place(hubs.big(g.edges.select("src", "dst"), "src", "dst"), *by_source).groupBy(*by_source, "dst").agg(F.count(F.lit(1)).alias("n"))
+        edges = parallel.join(hubs.lookup(out, "src"), by_source).select(*by_source, "dst", (F.col("n") / F.col("out_degree")).alias("share"))
+        with bucketed(edges, *by_source, label="shares", placed=True) as shares:
             incoming = shares.groupBy("dst").agg(F.sum("share").alias("inflow"))
             for step in range(2, max_iter + 1):
                 lookup = hubs.lookup(incoming.withColumnRenamed("dst", "src"), "src")
@@ -48,7 +47,7 @@ def pagerank(g: PropertyGraph, *, reset: float = 0.15, max_iter: int = 5) -> Dat
                     .groupBy("dst")
                     .agg(F.sum(F.col("share") * _rank(reset)).alias("inflow"))
                 )
-                if step % CUT_EVERY == 0 and step < max_iter:
+                if step % CUT_EVERY == 0 and step + 1 < max_iter:
                     incoming = durable(incoming, "inflow")
             raw = g.vertices.select("id").join(incoming.withColumnRenamed("dst", "id"), "id", "left")
             raw = durable(raw.select("id", _rank(reset).alias("raw")), "ranks")

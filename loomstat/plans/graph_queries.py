@@ -21,7 +21,7 @@ from loomstat.graph.ranking import pagerank as rank
 from loomstat.operators.comments import top_per_group
 from loomstat.plans.registry import query
 from loomstat.plans.views import FIELD_LIST, FIXTURE_FIELDS, FIXTURE_MAX_YEAR, FIXTURE_MIN_YEAR
-from loomstat.session import durable, new_path
+from loomstat.session import durable, new_path, partitions_for
 from loomstat.sources import tables as S
 
 FIELD = FIXTURE_FIELDS[0]
@@ -351,13 +351,13 @@ SELECT pr.id, round(pagerank, 6) AS pagerank, coalesce(c.n, 0) AS in_degree, v.n
 FROM pr JOIN paper_vertices v ON pr.id = v.id LEFT JOIN cited c ON pr.id = c.id""")
 def pagerank_vs_degree(t):
     g = t.citations
-    return (
-        rank(g)
-        .join(g.in_degrees(), "id", "left")
-        .join(g.vertices.select("id", "n_citation"), "id")
-        .fillna(0, ["in_degree"])
-        .select("id", F.round("pagerank", 6).alias("pagerank"), "in_degree", "n_citation")
-    )
+    ranked = rank(g)
+    with partitions_for(t.spark, g.edges.count()):
+        rows = ranked.join(g.in_degrees(), "id", "left").join(g.vertices.select("id", "n_citation"), "id")
+        return durable(
+            rows.fillna(0, ["in_degree"]).select("id", F.round("pagerank", 6).alias("pagerank"), "in_degree", "n_citation"),
+            "rank-and-degree",
+        )
 
 
 @query("field_top_papers", f"""

@@ -6,6 +6,7 @@ import itertools
 import random
 from collections import Counter, defaultdict
 from contextlib import contextmanager
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -19,6 +20,8 @@ from loomstat.graph.model import PropertyGraph, leg_order, motif_legs
 from loomstat.graph.paths import bfs_paths, landmark_distances, path_counts, shortest_paths
 from loomstat.graph.ranking import label_propagation, pagerank
 from loomstat.operators import skew
+from loomstat.plans import inputs as inputs_module
+from loomstat.plans.views import SHARED_VIEWS
 from loomstat.session import bounded_tasks, bucketed, durable, partitions_for
 
 GOLDEN = [("1", "2"), ("1", "3"), ("2", "3"), ("4", "3"), ("5", "4"), ("5", "4"), ("6", "5"), ("3", "7")]
@@ -462,3 +465,83 @@ def test_partitions_and_buckets_grow_with_the_rows(spark, make_graph, monkeypatc
     assert {name: search() for name, search in searches.items()} == plain
     assert len(found) >= 3 and min(found) >= 7
     assert spark.conf.get(key) == before
+
+
+def moves(df) -> int:
+    """How often rows are moved by hash in the plan."""
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def sold(spark, folder, orders: int = 60):
+    """Orders that nearly all hold part 1, lines without a part, an order or a supplier, and lines and orders that come twice."""
+    lines = [(o, part, o % 3) for o in range(orders) for part in {1, 2 + o % 5}]
+    lines += [(3, 1, 0), (3, 1, 0), (4, None, 1), (9, None, 2), (None, 1, 1), (None, None, 1), (7, 1, None), (8, 1, 77)]
+    dated = [(o, datetime(1996 + o % 3, 1 + o * 7 % 12, 1 + o % 28)) for o in range(orders)] + [(5, datetime(1996 + 5 % 3, 12, 6)), (2, None)]
+    tables = {
+        "lineitem": ([(o, p, s, 1.0 + (o or 0) % 4) for o, p, s in lines], "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_quantity double"),
+        "orders": (dated, "o_orderkey bigint, o_orderdate timestamp_ntz"),
+        "supplier": ([(0, 0), (1, 1), (1, 0), (2, None), (2, 1)], "s_suppkey bigint, s_nationkey int"),
+        "nation": ([(0, "FRANCE"), (1, "PERU"), (1, "PERU")], "n_nationkey int, n_name string"),
+        "part": ([(1, "x"), (1, "y"), (2, "x"), (3, None), (4, "z"), (None, "x")], "p_partkey bigint, p_brand string"),
+    }
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).write.mode("overwrite").parquet(f"{folder}/{name}.parquet")
+    return inputs_module.Inputs(spark, str(folder)), lines, dated
+
+
+def test_references_look_up_hot_parts_by_month(spark, tmp_path, monkeypatch):
+    """The order before that has the same part, whether the part is looked up as a whole or month by month."""
+    fresh, lines, dated = sold(spark, tmp_path)
+    bought = sorted(
+        ((p is not None, p or 0), (d is not None, d or datetime.min), o) for o, p in {(o, p) for o, p, _ in lines if o is not None} for at, d in dated if at == o
+    )
+    expected = {(str(b[2]), str(a[2])) for a, b in zip(bought, bought[1:]) if a[0] == b[0]}
+    found = [tuple(r) for r in fresh.references.collect()]
+    assert len(found) == len(set(found)) and set(found) == expected
+    monkeypatch.setattr(inputs_module, "HEAVY_ROWS", 4)
+    monkeypatch.setattr(inputs_module, "SAMPLED", 1)
+    by_month = inputs_module.Inputs(spark, str(tmp_path)).references
+    assert "month" in by_month._jdf.queryExecution().analyzed().toString()
+    assert sorted(map(tuple, by_month.collect())) == sorted(found)
+
+
+def test_derived_views_are_those_of_their_sql(spark, tmp_path):
+    fresh, _, _ = sold(spark, tmp_path)
+    for name in ("p_author", "p_field"):
+        for table in ("lineitem", "supplier", "nation", "part"):
+            fresh.table(table).createOrReplaceTempView(table)
+        plain = spark.sql(SHARED_VIEWS[name])
+        assert fresh.view(name).columns == plain.columns
+        assert sorted(map(str, fresh.view(name).collect())) == sorted(map(str, plain.collect()))
+
+
+def test_lines_move_once_to_their_paper(spark, tmp_path):
+    """Not once more to be told apart, summed by field or matched with the papers."""
+    fresh, _, _ = sold(spark, tmp_path)
+    papers = spark.range(9).select(F.col("id").cast("string").alias("id"))
+    assert moves(B.heaviest_field(fresh.paper_fields)) == 1
+    assert moves(B.in_scope(fresh.authors, papers)) == 2  # one is that of the papers
+    # lines by order, by part and by citing paper
+    assert moves(B.in_scope(fresh.references, papers)) <= 5
+    assert moves(B.build_wrote_edges(paper_tables(spark).stored())) == 0
+
+
+def test_edges_move_once_into_their_buckets(spark, make_graph, monkeypatch):
+    graph, found = make_graph([*GOLDEN, *GOLDEN[:2]]), []
+
+    @contextmanager
+    def seen(df, *keys, **options):
+        found.append((options.get("placed"), moves(df)))
+        with bucketed(df, *keys, **options) as table:
+            yield table
+
+    for module in (ranking, paths):
+        monkeypatch.setattr(module, "bucketed", seen)
+    plain = {r["id"]: r["pagerank"] for r in pagerank(graph).collect()}
+    assert len(landmark_distances(graph, graph.vertices.filter("id = '3'").select("id"), max_hops=2).collect())
+    assert found[0][0] and found[0][1] <= 2  # the second is that of the counts by source
+    assert found[1] == (True, 1)
+    # hubs split over salts have the same ranks
+    monkeypatch.setattr(ranking.Salting, "measure_counts", classmethod(lambda cls, *a, **k: cls(("1", "3"), 4)))
+    salted = {r["id"]: r["pagerank"] for r in pagerank(graph).collect()}
+    assert salted.keys() == plain.keys() and all(abs(salted[v] - plain[v]) < 1e-9 for v in plain)
