@@ -15,8 +15,8 @@ from pyspark.sql import types as T
 from loomstat.session import durable
 
 # Most classes a model may have to travel whole to every worker; rows and centroids of a block beyond that, blocks of
-# rows for each salt of a pack of centroids, and bytes of a pack.
-MAX_CLASSES, BLOCK, CELLS, PACK_BYTES = 10_000, 4096, 64, 16 << 20
+# rows for each salt of a pack of centroids as long as there are too few groups, bytes of a pack and of the rows of a salt.
+MAX_CLASSES, BLOCK, CELLS, PACK_BYTES, SALT_BYTES = 10_000, 4096, 64, 16 << 20, 32 << 20
 ROW = "__row"
 
 
@@ -98,6 +98,11 @@ def _packs(ranges: list, most: int) -> list[tuple[int, int]]:
     return packs
 
 
+def _spread(blocks: int, held: int, packs: int, tasks: int) -> int:
+    """Salts of the rows, each of which gets all packs: as few as keep ``SALT_BYTES`` of rows together and all tasks busy."""
+    return max(1, math.ceil(held / SALT_BYTES), min(math.ceil(blocks / CELLS), math.ceil(tasks / packs)))
+
+
 def _met(asked: DataFrame, rows: DataFrame, centres: DataFrame, packs: DataFrame, spread: int) -> DataFrame:
     """``id, labels, distances``: the nearest centroid for each row of block ``id``, among the blocks ``asked`` (``id, centre``).
 
@@ -150,9 +155,11 @@ def _score_in_blocks(vectors: DataFrame, centres: DataFrame, vector: str, label:
     # a row per block of centroids: one ``block``-th of the classes
     ranges = models.select("id", "low", "high", F.length("x").alias("bytes")).collect()
     ids, low, high = (np.array([r[c] for r in ranges]) for c in ("id", "low", "high"))
-    packs = vectors.sparkSession.createDataFrame(_packs(ranges, PACK_BYTES), "centre bigint, pack int")
+    numbered = _packs(ranges, PACK_BYTES)
+    packs = vectors.sparkSession.createDataFrame(numbered, "centre bigint, pack int")
     blocks, held = packed.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.length("x")), F.lit(0))).first()
-    spread = max(1, math.ceil(blocks / CELLS), math.ceil(held / PACK_BYTES))
+    tasks = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = _spread(blocks, held, len({pack for _, pack in numbered}), tasks)
 
     def home(batches):
         for batch in batches:

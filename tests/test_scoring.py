@@ -64,3 +64,11 @@ def test_blocks_of_rows_are_sent_once_per_pack(spark, monkeypatch):
         assert {r.id: r.prediction for r in scoring.score_batch(table, most=10, block=8).collect()} == brute(rows)
         per_block = answers[1].groupBy("id").count().agg({"count": "max"}).first()[0]
         assert 1 <= per_block <= packs < 200 / 8
+
+
+def test_packs_are_sent_to_few_salts():
+    """Each salt of the rows gets all packs: many small blocks must not make many salts once there are enough groups."""
+    blocks, block_bytes = 2400, 256 * 64 * 8
+    assert scoring._spread(blocks, blocks * block_bytes, 10, 12) == 10  # 38 by blocks alone
+    assert scoring._spread(blocks, blocks * block_bytes, 1, 12) == 12  # as many groups as tasks
+    assert scoring._spread(3, 3 * block_bytes, 1, 200) == 1
