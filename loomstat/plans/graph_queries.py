@@ -628,10 +628,10 @@ def venue_diversity(t):
 
 
 @query("specialised_venues", f"""
-WITH {VENUE_FIELDS.replace(FIELD_LIST, f"'{FIELD}'")} SELECT venue, v.name, n_papers FROM vf JOIN vertices v ON vf.venue = v.id
+WITH {VENUE_FIELDS} SELECT venue, v.name, n_papers FROM vf JOIN vertices v ON vf.venue = v.id
 WHERE n_papers >= 10 AND n_fields = 1""")
 def specialised_venues(t):
-    return Q.specialised_venues(Q.venue_diversity(t.graph, [FIELD])).select("venue", "name", "n_papers")
+    return Q.specialised_venues(Q.venue_diversity(t.graph, t.fields)).select("venue", "name", "n_papers")
 
 
 @query("field_venues", f"""

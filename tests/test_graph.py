@@ -7,6 +7,7 @@ import random
 from collections import Counter, defaultdict
 from contextlib import contextmanager
 from datetime import datetime
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -20,8 +21,9 @@ from loomstat.graph.model import PropertyGraph, leg_order, motif_legs
 from loomstat.graph.paths import bfs_paths, landmark_distances, path_counts, shortest_paths
 from loomstat.graph.ranking import label_propagation, pagerank
 from loomstat.operators import skew
+from loomstat.plans import graph_queries
 from loomstat.plans import inputs as inputs_module
-from loomstat.plans.views import SHARED_VIEWS
+from loomstat.plans.views import FIXTURE_FIELDS, SHARED_VIEWS
 from loomstat.session import bounded_tasks, bucketed, durable, partitions_for
 
 GOLDEN = [("1", "2"), ("1", "3"), ("2", "3"), ("4", "3"), ("5", "4"), ("5", "4"), ("6", "5"), ("3", "7")]
@@ -545,3 +547,13 @@ def test_edges_move_once_into_their_buckets(spark, make_graph, monkeypatch):
     monkeypatch.setattr(ranking.Salting, "measure_counts", classmethod(lambda cls, *a, **k: cls(("1", "3"), 4)))
     salted = {r["id"]: r["pagerank"] for r in pagerank(graph).collect()}
     assert salted.keys() == plain.keys() and all(abs(salted[v] - plain[v]) < 1e-9 for v in plain)
+
+
+def test_specialised_venues_count_all_fields(spark):
+    fields = {"V:one": ["Brand#10"] * 10, "V:few": ["Brand#10"] * 9, "V:two": ["Brand#1"] * 10 + ["Brand#11"]}
+    papers = [(f"P:{venue}{i}", f, venue) for venue, each in fields.items() for i, f in enumerate(each)]
+    kinds = "id string, node_type string, primary_field string, name string"
+    vertices = [(p, "paper", f, None) for p, f, _ in papers] + [(v, "venue", None, v[2:]) for v in fields]
+    edges = spark.createDataFrame([(p, v, "published_in") for p, _, v in papers], "src string, dst string, rel_type string")
+    t = SimpleNamespace(graph=PropertyGraph(spark.createDataFrame(vertices, kinds), edges), fields=FIXTURE_FIELDS)
+    assert [tuple(row) for row in graph_queries.specialised_venues(t).collect()] == [("V:one", "one", 10)]
