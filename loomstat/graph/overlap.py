@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from loomstat.operators.skew import HEAVY_ROWS, heavy_keys
 from loomstat.session import PARTITION_ROWS, durable, partitions_for
 
 # Partitions that shuffled pairs are given at most.
@@ -34,6 +35,31 @@ def _small_pairs(rows: DataFrame) -> DataFrame:
     return first.select("context", "a", F.explode(F.slice("items", F.col("at") + 2, F.size("items"))).alias("b"))
 
 
+def _pair_counts(rows: DataFrame, sizes: DataFrame) -> DataFrame:
+    """``a, b, shared`` for all items a < b of contexts with a bounded number of items.
+
+    A context sends each of its items the list of those behind it, and pairs are made and counted where the first item
+    is: a list moves in a fraction of the bytes of its pairs. Items of very many contexts would meet in one task each, so
+    their pairs are made first and counted before they move.
+    """
+    size = sizes.agg(F.sum("n").alias("rows"), F.sum((F.col("n").cast("double") * (F.col("n") - 1) / 2)).alias("pairs")).first()
+    hot = [key for key in heavy_keys(rows, "item") if key is not None] if (size["rows"] or 0) >= HEAVY_ROWS else []
+    lists = rows.groupBy("context").agg(F.sort_array(F.collect_list("item")).alias("items")).filter(F.size("items") > 1)
+    lists = lists.withColumn("last", F.size("items"))
+    first = lists.select("items", F.posexplode("items").alias("at", "a"), "last").filter(F.col("at") + 1 < F.col("last"))
+    behind = first.select("a", F.slice("items", F.col("at") + 2, F.col("last")).alias("behind"))
+    parts = min(int(size["pairs"] or 0) // PARTITION_ROWS, MOST_PARTITIONS)
+    usual = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cold = behind.filter(~F.col("a").isin(hot)) if hot else behind
+    placed = cold.repartition(parts, "a") if parts > usual else cold.repartition("a")
+    shared = F.count(F.lit(1)).alias("shared")
+    counts = placed.select("a", F.explode("behind").alias("b")).groupBy("a", "b").agg(shared)
+    if not hot:
+        return counts
+    spread = behind.filter(F.col("a").isin(hot)).select("a", F.explode("behind").alias("b"))
+    return counts.unionByName(spread.groupBy("a", "b").agg(shared))
+
+
 def _block_pairs(rows: DataFrame, sizes: DataFrame, block: int, *, carry: tuple[str, ...] = (), where: Column | None = None) -> DataFrame:
     """``context, a, b`` of hubs. A hub is cut into blocks and each pair of blocks is a key of its own, so many tasks
     make its pairs; ``where`` may refuse a pair by the columns ``carry`` of both, named with ``_a`` and ``_b``."""
@@ -51,13 +77,9 @@ def _block_pairs(rows: DataFrame, sizes: DataFrame, block: int, *, carry: tuple[
     return (met if where is None else met.filter(where)).drop("low", "high", "side_a", "side_b")
 
 
-def pairs_within(rows: DataFrame, *, heavy: int = HEAVY, block: int = BLOCK) -> DataFrame:
-    """``context, a, b`` for all items a < b of each context; ``rows`` holds distinct ``context, item``."""
-    large = hubs(rows, heavy)
-    if large.isEmpty():
-        return _small_pairs(rows)
-    small = rows.join(large.select("context"), "context", "left_anti")
-    return _small_pairs(small).unionByName(_block_pairs(rows, large, block))
+def pairs_within(rows: DataFrame, sizes: DataFrame, *, block: int = BLOCK) -> DataFrame:
+    """``context, a, b`` for all items a < b of the hubs in ``sizes``; ``rows`` holds distinct ``context, item``."""
+    return _block_pairs(rows, sizes, block)
 
 
 def _shared_hubs(left: str, right: str) -> Column:
@@ -103,10 +125,11 @@ def shared_pairs(
     if min_shared > 2:
         often = rows.groupBy("item").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_shared)
         rows = durable(rows.join(often.select("item"), "item", "left_semi"), "overlap")
-    large = hubs(rows, heavy)
+    sizes = durable(rows.groupBy("context").agg(F.count(F.lit(1)).alias("n")), "context-sizes")
+    large = sizes.filter(F.col("n") > heavy)
     plain = large.isEmpty()
     small = rows if plain else rows.join(large.select("context"), "context", "left_anti")
-    near = _small_pairs(small).groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"))
+    near = _pair_counts(small, sizes.filter(F.col("n") <= heavy))
     if plain:
         return near.filter(F.col("shared") >= min_shared)
     numbered = durable(large.select("context", F.monotonically_increasing_id().alias("hub")), "hub-numbers")
