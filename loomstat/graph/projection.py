@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from loomstat.constants import SOCIAL_FIELDS
 from loomstat.graph.model import PropertyGraph
-from loomstat.graph.overlap import BLOCK, HEAVY, pairs_within, shared_pairs, top_shared_pairs
+from loomstat.graph.overlap import BLOCK, HEAVY, hubs, pairs_within, shared_pairs, top_shared_pairs
 from loomstat.graph.paths import bfs_paths, path_counts
 from loomstat.session import durable
 
@@ -31,8 +31,9 @@ def triangle_count(g: PropertyGraph, *, heavy: int = HEAVY, block: int = BLOCK)
     """``id, triangles`` of every vertex; direction, parallel edges and self-loops are ignored.
 
     Each edge points from the end of lower degree to the end of higher degree, so no vertex has more than
-    sqrt(2 * edges) out-edges and a hub is never paired up with itself. A vertex that still has many out-edges has its
-    pairs of them made block by block, in many tasks.
+    sqrt(2 * edges) out-edges and a hub is never paired up with itself. A vertex sends each of its out-neighbours the list
+    of those of higher degree, and what the neighbour points to as well closes a triangle, so lists move instead of pairs.
+    A vertex that still has many out-edges has its pairs of them made block by block, in many tasks.
     """
     links = (
         g.edges.select(F.least("src", "dst").alias("u"), F.greatest("src", "dst").alias("v"))
@@ -46,15 +47,26 @@ def triangle_count(g: PropertyGraph, *, heavy: int = HEAVY, block: int = BLOCK)
         .join(degree.select(F.col("id").alias("v"), F.struct("d", "id").alias("rv")), "v")
         .select(F.least("ru", "rv").alias("low"), F.greatest("ru", "rv").alias("high"))
     )
-    arcs = durable(ranked.select(F.col("low.id").alias("low"), F.col("high.id").alias("high")), "arcs")
-    ends = arcs.select(F.col("low").alias("context"), F.col("high").alias("item"))
-    wedges = pairs_within(ends, heavy=heavy, block=block).toDF("low", "x", "y")
-    closed = wedges.join(links.select(F.col("u").alias("x"), F.col("v").alias("y")), ["x", "y"], "left_semi")
-    per_vertex = (
-        closed.select(F.explode(F.array("low", "x", "y")).alias("id"))
-        .groupBy("id")
-        .agg(F.count(F.lit(1)).alias("triangles"))
+    arcs = durable(ranked.select(F.col("low.id").alias("low"), "high"), "arcs")
+    ends = arcs.select(F.col("low").alias("context"), F.col("high.id").alias("item"))
+    large = hubs(ends, heavy)
+    plain = large.isEmpty()
+    light = arcs if plain else arcs.join(large.select(F.col("context").alias("low")), "low", "left_anti")
+    lists = light.groupBy("low").agg(F.sort_array(F.collect_list("high"))["id"].alias("highs")).withColumn("last", F.size("highs"))
+    first = lists.select("low", "highs", "last", F.posexplode("highs").alias("at", "x")).filter(F.col("at") + 1 < F.col("last"))
+    behind = first.select("low", "x", F.slice("highs", F.col("at") + 2, F.col("last")).alias("behind"))
+    out = arcs.groupBy(F.col("low").alias("x")).agg(F.collect_list("high.id").alias("near"))
+    met = behind.join(out, "x").select("low", "x", F.array_intersect("behind", "near").alias("y")).filter(F.size("y") > 0)
+    corners = F.concat(
+        F.array(*[F.struct(F.col(c).alias("id"), F.size("y").cast("bigint").alias("n")) for c in ("low", "x")]),
+        F.transform("y", lambda y: F.struct(y.alias("id"), F.lit(1).cast("bigint").alias("n"))),
     )
+    found = met.select(F.inline(corners))
+    if not plain:
+        wedges = pairs_within(ends, large, block=block).toDF("low", "x", "y")
+        closed = wedges.join(links.select(F.col("u").alias("x"), F.col("v").alias("y")), ["x", "y"], "left_semi")
+        found = found.unionByName(closed.select(F.explode(F.array("low", "x", "y")).alias("id"), F.lit(1).cast("bigint").alias("n")))
+    per_vertex = found.groupBy("id").agg(F.sum("n").alias("triangles"))
     return g.vertices.select("id").join(per_vertex, "id", "left").fillna(0, ["triangles"])
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import itertools
 import random
+import re
 from collections import Counter, defaultdict
 from contextlib import contextmanager
 from datetime import datetime
@@ -557,3 +558,44 @@ def test_specialised_venues_count_all_fields(spark):
     edges = spark.createDataFrame([(p, v, "published_in") for p, _, v in papers], "src string, dst string, rel_type string")
     t = SimpleNamespace(graph=PropertyGraph(spark.createDataFrame(vertices, kinds), edges), fields=FIXTURE_FIELDS)
     assert [tuple(row) for row in graph_queries.specialised_venues(t).collect()] == [("V:one", "one", 10)]
+
+
+def exchanges(df):
+    """Keys of the plan's hash exchanges, without the columns' numbers."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [re.sub(r"#\d+L?", "", keys) for keys in re.findall(r"hashpartitioning\((.*?), \d+\)", plan)]
+
+
+@pytest.mark.parametrize("hot_rows", [10**9, 2])
+def test_pairs_are_counted_where_their_first_item_is(spark, monkeypatch, hot_rows):
+    """Lists of items move, not a row per pair; items of very many contexts are counted before they move."""
+    monkeypatch.setattr(overlap, "HEAVY_ROWS", hot_rows)
+    monkeypatch.setattr(overlap, "heavy_keys", lambda df, key: ["i03", "i07"])
+    rng = random.Random(5)
+    rows = {(f"i{rng.randrange(20):02d}", f"c{rng.randrange(30):02d}") for _ in range(200)}
+    expected = Counter()
+    for context in {c for _, c in rows}:
+        expected.update(itertools.combinations(sorted(i for i, c in rows if c == context), 2))
+    df = spark.createDataFrame(sorted(rows), "item string, context string")
+    found = overlap.shared_pairs(df, item="item", context="context")
+    assert {(r["a"], r["b"]): r["shared"] for r in found.collect()} == {k: n for k, n in expected.items() if n > 1}
+    assert ("a, b" in exchanges(found)) == (hot_rows == 2) and "a" in exchanges(found)
+
+
+@pytest.mark.parametrize("heavy", [512, 3])
+def test_triangles_close_where_the_middle_vertex_is(spark, make_graph, heavy):
+    edges = random_edges(8, n=30, m=140)
+    near = defaultdict(set)
+    for a, b in edges:
+        if a != b:
+            near[a].add(b)
+            near[b].add(a)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        found = P.triangle_count(make_graph(edges, ["alone"]), heavy=heavy, block=2)
+        moved = exchanges(found)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    expected = {v: sum(b in near[a] for a, b in itertools.combinations(sorted(near[v]), 2)) for v in [*near, "alone"]}
+    assert values(found, "id", "triangles") == expected
+    assert ("x, y" in moved) == (heavy == 3)
