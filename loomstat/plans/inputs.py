@@ -160,9 +160,11 @@ class Inputs:
         )
         references = listed(self.references, F.col("ref_id"), "references")
         fields = listed(self.view("p_field"), F.struct("name", F.col("w").cast("string").alias("w")), "fos")
-        lists = authors.join(references, "id", "full").join(fields, "id", "full")
         papers = self.view("p_paper")
-        return papers.join(lists, "id", "left").select(
+        # Each list lies by its paper already; joined to the papers one by one, none of them moves again.
+        for lists in (authors, references, fields):
+            papers = papers.join(lists, "id", "left")
+        return papers.select(
             "id", "title", "year", "n_citation",
             F.lit("fixture").alias("doc_type"),
             "authors",

@@ -8,14 +8,15 @@ from loomstat.functions.nested import array_size_default as size_of
 from loomstat.functions.nested import primary_by_weight as heaviest
 from loomstat.graph import build as B
 from loomstat.plans.registry import query
-from loomstat.session import new_path
+from loomstat.session import new_path, partitions_for
 from loomstat.sources import tables as S
 
 
 def stored_lines(t):
     """Nested papers as JSON Lines plus one malformed line, read back under the declared schema."""
     path = new_path(t.spark, "papers-jsonl")
-    t.nested_papers.write.json(path)
+    with partitions_for(t.spark, t.table("lineitem").count()):
+        t.nested_papers.write.json(path)
     t.spark.createDataFrame([('{"id": "broken", "title": ',)], "value string").write.mode("append").text(path)
     return S.scan_json_lines(t.spark, path)
 
@@ -35,7 +36,8 @@ def scan_json_lines(t):
 @query("json_array_to_lines", "SELECT id, title, year, n_citation FROM p_paper")
 def json_array_to_lines(t):
     source, target = new_path(t.spark, "papers-array"), new_path(t.spark, "papers-lines")
-    S.write_json_array(t.nested_papers, source)
+    with partitions_for(t.spark, t.table("lineitem").count()):
+        S.write_json_array(t.nested_papers, source)
     S.json_array_to_lines(t.spark, source, target)
     again = S.json_array_to_lines(t.spark, source, target)  # the second call finds the target and keeps it
     return again.select("id", "title", "year", "n_citation")

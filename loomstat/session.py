@@ -100,6 +100,7 @@ def partitions_for(spark: SparkSession, rows: int) -> Iterator[None]:
     Adaptive execution joins small partitions but never cuts a large one, and buckets are as many as partitions; with a
     fixed number of either a task would hold more the larger the tables are.
     """
+    bounded_tasks(spark)  # or joined partitions would be as large as before
     key, first = "spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     before, before_first = spark.conf.get(key), spark.conf.get(first, None)
     wanted = max(int(before), -(-rows // PARTITION_ROWS))
