@@ -38,8 +38,12 @@ def scan_json_array(spark: SparkSession, path: str, schema: str = PAPER_SCHEMA)
 
 
 def json_array_to_lines(spark: SparkSession, source: str, target: str, schema: str = PAPER_SCHEMA) -> DataFrame:
-    """Write a JSON array as JSON Lines of the declared fields, once: an existing target is kept as it is."""
-    scan_json_array(spark, source, schema).write.mode("ignore").json(target)
+    """Write a JSON array as JSON Lines of the declared fields, once: an existing target is kept as it is.
+
+    Lines repeat the names of all fields, so they are compressed to a tenth or so. A file is what one task wrote, hence of
+    bounded size, and is read by one task.
+    """
+    scan_json_array(spark, source, schema).write.mode("ignore").json(target, compression="gzip")
     return scan_json_lines(spark, target, schema)
 
 

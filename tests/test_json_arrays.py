@@ -143,3 +143,15 @@ def test_any_array_at_any_cuts(data, indent, rnd):
         key = (pa.scalar(file), pa.scalar(owner))
         found += J._joined(edges)(key, pa.Table.from_pylist(rows, schema=pa.schema([("at", pa.int64()), ("record", pa.binary())]))).column("record").to_pylist()
     assert sorted(map(str, map(json.loads, found))) == sorted(map(str, data))
+
+
+def test_lines_are_compressed_and_read_again(spark, tmp_path):
+    source, target = f"{tmp_path}/array", f"{tmp_path}/lines"
+    rows = spark.createDataFrame([(str(i), f"title {i}\n") for i in range(20)], "id string, title string")
+    S.write_json_array(rows, source)
+    first = S.json_array_to_lines(spark, source, target, "id string, title string")
+    assert [f.suffix for f in (tmp_path / "lines").glob("part-*")] and all(f.suffix == ".gz" for f in (tmp_path / "lines").glob("part-*"))
+    again = S.json_array_to_lines(spark, source, target, "id string, title string")
+    expected = [(str(i), f"title {i}\n") for i in range(20)]
+    for found in (first, again):
+        assert sorted((r["id"], r["title"]) for r in found.collect()) == sorted(expected)
