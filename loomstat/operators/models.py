@@ -22,6 +22,9 @@ from loomstat.session import durable
 TOKEN_COLUMNS = ("terms", "ngrams")
 # Vectors of a file. A tree learner keeps 4 bytes for each feature of a vector, 80 KB where there are 20,000.
 VECTOR_ROWS = 4096
+# Vectors that a task of a linear learner passes over: it keeps them sparse, 12 bytes for each feature that a text has.
+PASS_ROWS = 1 << 15
+TREES = (K.DecisionTreeClassifier, K.RandomForestClassifier)
 
 
 @dataclass(frozen=True)
@@ -148,12 +151,25 @@ def featurize(train: DataFrame, features: TextFeatures = TextFeatures()) -> tupl
     return PipelineModel([*fixed, *fitted.stages]), stored_vectors(fitted.transform(counted))
 
 
+def fit(classifier: Estimator, vectors: DataFrame):
+    """``classifier`` fitted on stored vectors.
+
+    Every pass of a linear learner sends its weights to each task and gets a sum as long as they are from it, and makes
+    hundreds of passes. So its tasks are as many as the cores, or one for ``PASS_ROWS`` vectors, not one per file. Trees
+    keep dense rows and read the files as they are.
+    """
+    if not isinstance(classifier, TREES):
+        cores = vectors.sparkSession.sparkContext.defaultParallelism
+        vectors = vectors.coalesce(max(cores, -(-vectors.count() // PASS_ROWS)))
+    return classifier.fit(vectors)
+
+
 def train(
     data: DataFrame, classifier: Estimator, features: TextFeatures = TextFeatures()
 ) -> PipelineModel:
     """Fit features and classifier on ``data``."""
     feature_model, vectors = featurize(data, features)
-    return PipelineModel([*feature_model.stages, classifier.fit(vectors)])
+    return PipelineModel([*feature_model.stages, fit(classifier, vectors)])
 
 
 def compare_models(
@@ -172,7 +188,7 @@ def compare_models(
     test = stored_vectors(feature_model.transform(test_rows))
     models, rows = {}, []
     for name, make in classifiers.items():
-        fitted = make().fit(vectors)
+        fitted = fit(make(), vectors)
         models[name] = PipelineModel([*feature_model.stages, fitted])
         metrics = classification_metrics(fitted.transform(test).select("label", "prediction")).first()
         rows.append((name, *metrics))

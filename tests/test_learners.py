@@ -55,3 +55,24 @@ def test_a_task_reads_few_vectors(spark):
     vectors = L.featurize(rows)[1]
     sizes = [r["count"] for r in vectors.groupBy(F.spark_partition_id()).count().collect()]
     assert sum(sizes) == 30_000 and max(sizes) <= 2 * L.VECTOR_ROWS
+
+
+def test_linear_learners_pass_over_few_partitions(spark, monkeypatch):
+    """As many tasks as cores, or one per so many vectors; trees get the vectors as they are stored."""
+
+    class Linear:
+        def fit(self, rows):
+            return rows
+
+    class Tree(Linear):
+        pass
+
+    cores = spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(L, "TREES", (Tree,))
+    rows = spark.range(1000).repartition(5 * cores)
+    assert L.fit(Linear(), rows).rdd.getNumPartitions() == cores
+    assert L.fit(Tree(), rows).rdd.getNumPartitions() == 5 * cores
+    monkeypatch.setattr(L, "PASS_ROWS", 1000 // (2 * cores))
+    many = L.fit(Linear(), rows)
+    assert cores < many.rdd.getNumPartitions() < 5 * cores
+    assert sorted(r["id"] for r in many.collect()) == list(range(1000))
