@@ -65,22 +65,26 @@ def label_propagation(g: PropertyGraph, *, max_iter: int = 5) -> DataFrame:
         F.struct(F.col("src").alias("at"), F.col("dst").alias("to")),
         F.struct(F.col("dst").alias("at"), F.col("src").alias("to")),
     )))
-    links = durable(both.groupBy("at", "to").agg(F.count(F.lit(1)).alias("n")), "links")
-    with partitions_for(links.sparkSession, links.count()):
-        hubs = Salting.measure_counts(links.groupBy("at").agg(F.count(F.lit(1)).alias("rows")), "at", "rows")
+    labels = None
+    with partitions_for(both.sparkSession, 2 * g.edges.count()):
+        hubs = Salting.measure_counts(both.groupBy("at").agg(F.count(F.lit(1)).alias("rows")), "at", "rows")
         by_vertex = hubs.join_keys("at")
-        with bucketed(hubs.big(links, "at", "to"), *by_vertex, label="links") as near:
-            labels = None
+        # moved once: counted and written where the vertex is that they are looked up by
+        links = place(hubs.big(both, "at", "to"), *by_vertex).groupBy(*by_vertex, "to").agg(F.count(F.lit(1)).alias("n"))
+        with bucketed(links, *by_vertex, label="links", placed=True) as near:
             for step in range(1, max_iter + 1):
                 if labels is None:
                     votes = near.select("to", F.col("at").alias("label"), "n")
                 else:
                     lookup = hubs.lookup(labels.withColumnRenamed("id", "at"), "at")
-                    votes = near.join(lookup, by_vertex, "inner").select("to", "label", "n")
+                    # a bucket's labels are few and fit a hash table, so its links need no sorting
+                    votes = near.join(lookup.hint("shuffle_hash"), by_vertex, "inner").select("to", "label", "n")
+                # Votes move once, to their vertex; those of hot vertices are added up by label before they meet.
+                votes = votes if hubs.keys else place(votes, "to")
                 tally = votes.groupBy("to", "label").agg(F.sum("n").alias("n"))
                 best = F.min(F.struct((-F.col("n")).alias("n"), "label"))["label"]
                 labels = tally.groupBy(F.col("to").alias("id")).agg(best.alias("label"))
-                if step % CUT_EVERY == 0 or step == max_iter:
+                if step == max_iter or step % CUT_EVERY == 0 and step + 1 < max_iter:
                     labels = durable(labels, "labels")
     if labels is None:
         return g.vertices.select("id", F.col("id").alias("label"))

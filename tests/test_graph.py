@@ -599,3 +599,24 @@ def test_triangles_close_where_the_middle_vertex_is(spark, make_graph, heavy):
     expected = {v: sum(b in near[a] for a, b in itertools.combinations(sorted(near[v]), 2)) for v in [*near, "alone"]}
     assert values(found, "id", "triangles") == expected
     assert ("x, y" in moved) == (heavy == 3)
+
+
+@pytest.mark.parametrize("hot_rows", [10**6, 2])
+def test_votes_move_once(make_graph, monkeypatch, hot_rows):
+    """A round shuffles votes by vertex only; where a vertex is hot they are added up by label first."""
+    plans, measure = [], skew.Salting.measure_counts.__func__
+    monkeypatch.setattr(skew.Salting, "measure_counts", classmethod(lambda cls, *a: measure(cls, *a, min_rows=hot_rows, salts=2)))
+    monkeypatch.setattr(ranking, "durable", lambda df, label: plans.append(exchanges(df)) or durable(df, label))
+    edges = [("a", "b"), ("b", "c"), ("c", "a"), ("c", "d"), ("c", "d"), ("e", "f")]
+    found = label_propagation(make_graph(edges, ["g"]), max_iter=1)
+    assert values(found, "id", "label") == {"a": "b", "b": "a", "c": "d", "d": "c", "e": "f", "f": "e", "g": "g"}
+    assert plans == [["to", "to, label"] if hot_rows == 2 else ["to"]]
+
+
+def test_lists_of_nested_papers_move_once(spark, inputs):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        moved = exchanges(inputs.nested_papers)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert not [keys for keys in moved if "coalesce" in keys]
